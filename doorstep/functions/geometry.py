@@ -1,12 +1,16 @@
-"""Polygon text as edges, and the exact containment test as a column expression.
+"""Polygon text as edges, and the exact containment test, as SQL expressions.
 
 A polygon is cut along a square grid (``cover`` in ``operators.contains``).  The
 cell side is a power of two, so the cell of a coordinate and the cell borders are
-computed without rounding.
+computed without rounding.  The expressions are SQL text, where a lambda is short;
+``e`` stands for one segment.
 """
 
 from pyspark.sql import functions as F
 
+X_LOW, X_HIGH = "least(e.x1, e.x2)", "greatest(e.x1, e.x2)"
+Y_LOW, Y_HIGH = "least(e.y1, e.y2)", "greatest(e.y1, e.y2)"
+
 
 def edges(wkt):
     """All ring segments of a polygon text as array<struct<x1,y1,x2,y2>>.
@@ -14,85 +18,63 @@ def edges(wkt):
     Every innermost parenthesis is a ring; holes and further parts need no special
     care because containment counts crossings over all rings.
     """
-    rings = F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1))
-
-    def vertices(ring):
-        return F.transform(
-            F.split(ring, ","),
-            lambda pair: F.split(F.trim(pair), r"\s+"),
-        )
-
-    def number(vertex, position):
-        return F.get(vertex, F.lit(position)).cast("double")
-
-    def segment(a, b):
-        return F.struct(
-            number(a, 0).alias("x1"),
-            number(a, 1).alias("y1"),
-            number(b, 0).alias("x2"),
-            number(b, 1).alias("y2"),
-        )
-
-    def ring_edges(ring):
-        n = F.size(ring) - 1
-        return F.zip_with(
-            F.slice(ring, F.lit(1), n), F.slice(ring, F.lit(2), n), segment
-        )
-
-    return F.flatten(F.transform(F.transform(rings, vertices), ring_edges))
-
-
-def x_low(e):
-    return F.least(e["x1"], e["x2"])
-
-
-def x_high(e):
-    return F.greatest(e["x1"], e["x2"])
+    return F.expr(
+        rf"""
+        flatten(transform(
+          transform(
+            regexp_extract_all(`{wkt}`, r'\(([^()]+)\)', 1),
+            ring -> transform(split(ring, ','), pair -> split(trim(pair), r'\s+'))),
+          v -> zip_with(
+            slice(v, 1, size(v) - 1),
+            slice(v, 2, size(v) - 1),
+            (a, b) -> named_struct(
+              'x1', cast(a[0] AS double), 'y1', cast(a[1] AS double),
+              'x2', cast(b[0] AS double), 'y2', cast(b[1] AS double)))))
+        """
+    )
 
 
-def y_low(e):
-    return F.least(e["y1"], e["y2"])
+def lowest(column, value):
+    return f"array_min(transform({column}, e -> {value}))"
 
 
-def y_high(e):
-    return F.greatest(e["y1"], e["y2"])
+def highest(column, value):
+    return f"array_max(transform({column}, e -> {value}))"
 
 
 def grid_cell(coordinate, side):
-    return F.floor(coordinate / F.lit(side))
+    return f"floor({coordinate} / {side!r}D)"
 
 
-def _side_of(e, x, y):
-    return (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
+def _side_of(x, y):
+    return f"((e.x2 - e.x1) * ({y} - e.y1) - ({x} - e.x1) * (e.y2 - e.y1))"
 
 
-def touches(e, x, y):
+def touches(x, y):
     """The point lies on the segment."""
     return (
-        (x >= x_low(e))
-        & (x <= x_high(e))
-        & (y >= y_low(e))
-        & (y <= y_high(e))
-        & (_side_of(e, x, y) == 0)
+        f"{y} >= {Y_LOW} AND {y} <= {Y_HIGH} AND {x} >= {X_LOW} AND {x} <= {X_HIGH}"
+        f" AND {_side_of(x, y)} = 0"
     )
 
 
-def crosses(e, x, y):
+def crosses(x, y):
     """A ray from the point towards larger x crosses the segment (half-open in y)."""
-    upward = e["y2"] > e["y1"]
-    return ((e["y1"] > y) != (e["y2"] > y)) & ((_side_of(e, x, y) > 0) == upward)
+    return (
+        f"(e.y1 > {y}) <> (e.y2 > {y})"
+        f" AND ({_side_of(x, y)} > 0) = (e.y2 > e.y1)"
+    )
 
 
-def strictly_inside(x, y, cell_edges, far_parity, far_ys):
+def strictly_inside(x, y):
     """Interior test against one mixed cell of a cover; boundary points are outside.
 
-    ``cell_edges`` are the segments near the cell.  Segments wholly to its right are
-    crossed exactly when they straddle y, so they are kept only as a constant parity
-    and the end heights that do not cancel out.
+    ``_edges`` are the segments near the cell.  Segments wholly to its right are
+    crossed exactly when they straddle y, so they are kept only as a constant parity,
+    ``_far_parity``, and the end heights that do not cancel out, ``_far_ys``.
     """
-    crossings = (
-        F.size(F.filter(cell_edges, lambda e: crosses(e, x, y)))
-        + far_parity
-        + F.size(F.filter(far_ys, lambda v: v > y))
+    return (
+        f"(size(filter(_edges, e -> {crosses(x, y)})) + _far_parity"
+        f" + size(filter(_far_ys, v -> v > {y}))) % 2 = 1"
+        f" AND NOT exists(_edges, e -> {touches(x, y)})"
     )
-    return ~F.exists(cell_edges, lambda e: touches(e, x, y)) & (crossings % 2 == 1)

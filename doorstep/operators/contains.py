@@ -72,31 +72,21 @@ def measure_cover(polygons, wkt="geometry"):
     if payload:
         weight = weight + 2 * F.octet_length(F.to_json(F.struct(*payload)))
 
-    def total(f):
-        return F.aggregate("_edges", F.lit(0.0), lambda acc, e: acc + f(e))
+    width, height = f"({G.X_HIGH} - {G.X_LOW})", f"({G.Y_HIGH} - {G.Y_LOW})"
 
-    def width(e):
-        return G.x_high(e) - G.x_low(e)
-
-    def height(e):
-        return G.y_high(e) - G.y_low(e)
+    def total(value):
+        return f"aggregate(_edges, 0D, (acc, e) -> acc + {value})"
 
     pieces = (
         polygons.where(F.col(wkt).isNotNull())
         .select(weight.cast("double").alias("_w"), G.edges(wkt).alias("_edges"))
-        .select(
+        .selectExpr(
             "_w",
-            F.size("_edges").alias("_n"),
-            (
-                F.array_max(F.transform("_edges", G.x_high))
-                - F.array_min(F.transform("_edges", G.x_low))
-            ).alias("_dx"),
-            (
-                F.array_max(F.transform("_edges", G.y_high))
-                - F.array_min(F.transform("_edges", G.y_low))
-            ).alias("_dy"),
-            total(lambda e: width(e) + height(e)).alias("_ee"),
-            total(lambda e: width(e) * height(e)).alias("_ea"),
+            "size(_edges) AS _n",
+            f"{G.highest('_edges', G.X_HIGH)} - {G.lowest('_edges', G.X_LOW)} AS _dx",
+            f"{G.highest('_edges', G.Y_HIGH)} - {G.lowest('_edges', G.Y_LOW)} AS _dy",
+            f"{total(f'({width} + {height})')} AS _ee",
+            f"{total(f'{width} * {height}')} AS _ea",
         )
     )
     extent = F.col("_dx") + F.col("_dy")
@@ -125,96 +115,66 @@ def cover(polygons, level, wkt="geometry"):
     projection would be moved below it and compute them once more.
     """
     side = 2.0**-level
-    payload = [c for c in polygons.columns if c != wkt]
+    payload = [f"`{c}`" for c in polygons.columns if c != wkt]
+    low_y, high_y = f"_cy * {side!r}D", f"(_cy + 1) * {side!r}D"
+    low_x, high_x = f"_cx * {side!r}D", f"(_cx + 1) * {side!r}D"
+
+    def cells(edges, low, high):
+        first = G.grid_cell(G.lowest(edges, low), side)
+        return f"explode(sequence({first}, {G.grid_cell(G.highest(edges, high), side)}))"
 
     # A polygon without segments has no cell range and leaves no row.
     rows = (
         polygons.where(F.col(wkt).isNotNull())
-        .select(*payload, G.edges(wkt).alias("_all"))
-        .select(
-            *payload,
-            "_all",
-            F.explode(
-                F.sequence(
-                    G.grid_cell(F.array_min(F.transform("_all", G.y_low)), side),
-                    G.grid_cell(F.array_max(F.transform("_all", G.y_high)), side),
-                )
-            ).alias("_cy"),
-        )
+        .select(*[F.col(c) for c in payload], G.edges(wkt).alias("_all"))
+        .selectExpr(*payload, "_all", f"{cells('_all', G.Y_LOW, G.Y_HIGH)} AS _cy")
     )
-    low_y, high_y = F.col("_cy") * side, (F.col("_cy") + 1) * side
-    bands = rows.select(
+    banded = rows.selectExpr(
         *payload,
         "_cy",
-        F.filter(
-            "_all", lambda e: (G.y_low(e) <= high_y) & (G.y_high(e) >= low_y)
-        ).alias("_band"),
+        f"filter(_all, e -> {G.Y_LOW} <= {high_y} AND {G.Y_HIGH} >= {low_y}) AS _band",
+    ).selectExpr(
+        *payload, "_cy", "_band", f"{cells('_band', G.X_LOW, G.X_HIGH)} AS _cx"
     )
-    cells = bands.select(
-        *payload,
-        "_cy",
-        "_band",
-        F.explode(
-            F.sequence(
-                G.grid_cell(F.array_min(F.transform("_band", G.x_low)), side),
-                G.grid_cell(F.array_max(F.transform("_band", G.x_high)), side),
-            )
-        ).alias("_cx"),
-    )
-    low_x, high_x = F.col("_cx") * side, (F.col("_cx") + 1) * side
-    # Heights of both ends of every segment wholly right of the cell.
-    with_ends = cells.select(
+    # Beside the segments near the cell, the heights of both ends of every segment
+    # wholly to its right.
+    with_ends = banded.selectExpr(
         *payload,
         "_cx",
         "_cy",
-        F.filter(
-            "_band", lambda e: (G.x_low(e) <= high_x) & (G.x_high(e) >= low_x)
-        ).alias("_edges"),
-        F.flatten(
-            F.transform(
-                F.filter("_band", lambda e: G.x_low(e) > high_x),
-                lambda e: F.array(e["y1"], e["y2"]),
-            )
-        ).alias("_ends"),
+        f"filter(_band, e -> {G.X_LOW} <= {high_x} AND {G.X_HIGH} >= {low_x}) AS _edges",
+        f"""flatten(transform(
+              filter(_band, e -> {G.X_LOW} > {high_x}), e -> array(e.y1, e.y2))) AS _ends""",
     )
     # A segment straddles y when exactly one end is above y, so equal heights cancel
     # in pairs: a chain of segments leaves only its two loose ends.
-    uncancelled = F.aggregate(
-        F.array_sort(F.filter("_ends", lambda v: (v > low_y) & (v < high_y))),
-        F.array().cast("array<double>"),
-        lambda kept, v: F.when(
-            (F.size(kept) > 0) & (F.try_element_at(kept, F.lit(-1)) == v),
-            F.slice(kept, F.lit(1), F.size(kept) - 1),
-        ).otherwise(F.concat(kept, F.array(v))),
-    )
-    far_parity = F.size(F.filter("_ends", lambda v: v >= high_y)) % 2
-    labelled = with_ends.select(
+    uncancelled = f"""
+        aggregate(
+          array_sort(filter(_ends, v -> v > {low_y} AND v < {high_y})),
+          cast(array() AS array<double>),
+          (kept, v) -> CASE
+            WHEN size(kept) > 0 AND try_element_at(kept, -1) = v
+            THEN slice(kept, 1, size(kept) - 1)
+            ELSE concat(kept, array(v)) END)"""
+    labelled = with_ends.selectExpr(
         *payload,
         "_cx",
         "_cy",
-        F.inline(
-            F.array(
-                F.struct(
-                    F.col("_edges"),
-                    far_parity.alias("_far_parity"),
-                    uncancelled.alias("_far_ys"),
-                )
-            )
-        ),
+        f"""inline(array(named_struct(
+              '_edges', _edges,
+              '_far_parity', size(filter(_ends, v -> v >= {high_y})) % 2,
+              '_far_ys', {uncancelled})))""",
     )
     # Without a segment near, the whole cell is on one side: its lower border decides.
-    mixed = F.size("_edges") > 0
-    inside = (
-        F.col("_far_parity") + F.size(F.filter("_far_ys", lambda v: v > low_y))
-    ) % 2 == 1
-    return labelled.where(mixed | inside).select(
+    mixed = "size(_edges) > 0"
+    inside = f"(_far_parity + size(filter(_far_ys, v -> v > {low_y}))) % 2 = 1"
+    return labelled.where(f"{mixed} OR {inside}").selectExpr(
         *payload,
         "_cx",
         "_cy",
-        (~mixed).alias("_full"),
-        F.when(mixed, F.col("_edges")).alias("_edges"),
-        F.when(mixed, F.col("_far_parity")).alias("_far_parity"),
-        F.when(mixed, F.col("_far_ys")).alias("_far_ys"),
+        f"NOT {mixed} AS _full",
+        *[f"CASE WHEN {mixed} THEN {c} END AS {c}" for c in
+          ("_edges", "_far_parity", "_far_ys")],
     )
 
 
@@ -252,17 +212,15 @@ def contains_join(
         1 + size.pieces // PIECES_PER_TASK,
     )
     right = cover(polygons.repartition(tasks), level, wkt)
-    left = points.withColumns(
-        {"_pcx": G.grid_cell(F.col(x), side), "_pcy": G.grid_cell(F.col(y), side)}
+    left = points.selectExpr(
+        "*", f"{G.grid_cell(x, side)} AS _pcx", f"{G.grid_cell(y, side)} AS _pcy"
     )
     renamed = {c: f"_r_{c}" for c in on}
     right = right.withColumnsRenamed({**renamed, "_cx": "_pcx_r", "_cy": "_pcy_r"})
 
     keys = [("_pcx", "_pcx_r"), ("_pcy", "_pcy_r")] + [(c, renamed[c]) for c in on]
     # _full comes first so that a full cell skips the segment test.
-    inside = F.col("_full") | G.strictly_inside(
-        F.col(x), F.col(y), F.col("_edges"), F.col("_far_parity"), F.col("_far_ys")
-    )
+    inside = F.expr(f"_full OR ({G.strictly_inside(x, y)})")
     if size.bytes(level) <= broadcast_bytes:
         condition = inside
         for mine, theirs in keys:

@@ -1,0 +1,62 @@
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from doorstep import fixtures as fx
+from doorstep import schemas
+from doorstep.operators.quality import LayerCheckFailed
+from doorstep.plans import layers, outcodes
+from doorstep.sources import tables
+
+from conftest import rows_of
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_all_three_layers(spark, folder):
+    raw = entry._raw(spark, SF)
+    raw_path, out = f"{folder}/raw", f"{folder}/out"
+    tables.write_raw_addresses(raw, raw_path)
+    base = layers.bake_address_base(spark, raw_path, out)
+    assert base.count() == raw.count()
+    assert base.select("addressbase_source").distinct().first()[0] == raw_path
+
+    derive = lambda text: entry._derive(spark, SF, text)
+    ballots = layers.bake_current_elections(
+        spark, raw_path, base, derive(fx.ELECTIONS), derive(fx.DIVISION_PIECES),
+        derive(fx.ORGANISATION_PIECES), out, entry.AS_OF,
+    )
+    units = outcodes.read_outcodes(spark, f"{out}/current_elections", schemas.BALLOTS_BY_ADDRESS)
+    wanted = ballots.where(F.size("ballot_ids") > 0).select("uprn", "ballot_ids")
+    assert wanted.count() > 0
+    assert rows_of(units.where(F.size("ballot_ids") > 0).select("uprn", "ballot_ids")) == rows_of(wanted)
+
+    source = {
+        "reviews": derive(fx.REVIEWS),
+        "organisations": derive(fx.ORGANISATIONS),
+        "organisation_geographies": derive(fx.ORGANISATION_GEOGRAPHIES),
+        "divisionsets": derive(fx.DIVISIONSETS),
+        "divisions": derive(fx.DIVISIONS),
+        "division_geographies": derive(fx.DIVISION_GEOGRAPHIES),
+        # one strip of the addresses' plane per division
+        "division_pieces": derive(fx.REVIEW_PIECES)
+        .select("division_geography_id")
+        .distinct()
+        .withColumn("_x", F.col("division_geography_id") % 4)
+        .selectExpr(
+            "division_geography_id",
+            "concat('POLYGON((', _x, ' 0,', _x + 1, ' 0,', _x + 1, ' 5,', _x, ' 5,', _x, ' 0))') AS geography",
+        ),
+    }
+    reviewed = layers.bake_boundary_reviews(
+        spark, raw_path, base, source, entry.TILES, out, review_ids=[3, 5]
+    )
+    assert reviewed.count() == base.count()
+    assert reviewed.where(F.size("boundary_reviews") > 0).count() > 0
+
+
+def test_a_repeated_uprn_fails_the_gate(spark, folder):
+    raw = entry._raw(spark, SF)
+    tables.write_raw_addresses(raw.unionAll(raw.limit(1)), f"{folder}/raw")
+    with pytest.raises(LayerCheckFailed):
+        layers.bake_address_base(spark, f"{folder}/raw", f"{folder}/out")
