@@ -129,6 +129,18 @@ def ballots_by_address(spark, d):
     return _by_address(elections.ballots_by_address(_base(spark, d), _ballots(spark, d)))
 
 
+def ballots_by_unique_address(spark, d):
+    """The form without any shuffle of addresses, for a base without repeats."""
+    base = _base(spark, d)
+    return _by_address(
+        elections.ballots_by_address(
+            base,
+            _ballots(spark, d),
+            unique_addresses=duplicates.has_unique_keys(base),
+        )
+    )
+
+
 def ballots_by_address_shuffled(spark, d):
     """The join beyond the broadcast bound, with a third of the addresses on one spot."""
     base = _base(spark, d)
@@ -375,6 +387,7 @@ QUERIES = [
     first_letter_counts,
     letters_filter,
     ballots_by_address,
+    ballots_by_unique_address,
     ballots_by_address_shuffled,
     ballots_many_areas,
     ballots_union_form,
@@ -666,6 +679,7 @@ WHERE cast(uprn AS bigint) % 13 = 0""",
         ),
         "current_ballots": _with(CURRENT_BALLOTS, "SELECT * FROM exported"),
         "ballots_by_address": _with(BALLOT_LAYER, "SELECT * FROM layer"),
+        "ballots_by_unique_address": _with(BALLOT_LAYER, "SELECT * FROM layer"),
         "ballots_union_form": _with(BALLOT_LAYER, "SELECT * FROM layer"),
         "ballots_by_address_shuffled": _with(
             {**ADDRESSES, **ballots, "crowded": crowded, **_ballot_lists("crowded", "ballots")},

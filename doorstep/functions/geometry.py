@@ -66,15 +66,16 @@ def crosses(x, y):
     )
 
 
-def strictly_inside(x, y):
+def strictly_inside(x, y, cell=""):
     """Interior test against one mixed cell of a cover; boundary points are outside.
 
     ``_edges`` are the segments near the cell.  Segments wholly to its right are
     crossed exactly when they straddle y, so they are kept only as a constant parity,
-    ``_far_parity``, and the end heights that do not cancel out, ``_far_ys``.
+    ``_far_parity``, and the end heights that do not cancel out, ``_far_ys``.  With
+    ``cell`` (as ``c.``) these are fields of a struct.
     """
     return (
-        f"(size(filter(_edges, e -> {crosses(x, y)})) + _far_parity"
-        f" + size(filter(_far_ys, v -> v > {y}))) % 2 = 1"
-        f" AND NOT exists(_edges, e -> {touches(x, y)})"
+        f"(size(filter({cell}_edges, e -> {crosses(x, y)})) + {cell}_far_parity"
+        f" + size(filter({cell}_far_ys, v -> v > {y}))) % 2 = 1"
+        f" AND NOT exists({cell}_edges, e -> {touches(x, y)})"
     )

@@ -178,6 +178,30 @@ def cover(polygons, level, wkt="geometry"):
     )
 
 
+def _placed(points, x, y, level):
+    """Points with the grid cell they lie in, null where they have no place."""
+    side = 2.0**-level
+    return points.selectExpr(
+        "*", f"{G.grid_cell(x, side)} AS _pcx", f"{G.grid_cell(y, side)} AS _pcy"
+    )
+
+
+def _cells(polygons, size, level, wkt):
+    """The cover under names apart from the points' cells.
+
+    The pieces are few and their cells many, so the pieces are spread before cutting.
+    """
+    tasks = min(
+        polygons.sparkSession.sparkContext.defaultParallelism,
+        1 + size.pieces // PIECES_PER_TASK,
+    )
+    cells = cover(polygons.repartition(tasks), level, wkt)
+    return cells.withColumnsRenamed({"_cx": "_pcx_r", "_cy": "_pcy_r"})
+
+
+CELL_KEYS = [("_pcx", "_pcx_r"), ("_pcy", "_pcy_r")]
+
+
 def contains_join(
     points,
     polygons,
@@ -202,23 +226,12 @@ def contains_join(
     size = measure_cover(polygons, wkt)
     if level is None:
         level = size.level(broadcast_bytes)
-    side = 2.0**-level
-    on = list(on)
     payload = [c for c in polygons.columns if c != wkt and c not in on]
-
-    # The pieces are few and their cells many, so spread the pieces before cutting.
-    tasks = min(
-        points.sparkSession.sparkContext.defaultParallelism,
-        1 + size.pieces // PIECES_PER_TASK,
-    )
-    right = cover(polygons.repartition(tasks), level, wkt)
-    left = points.selectExpr(
-        "*", f"{G.grid_cell(x, side)} AS _pcx", f"{G.grid_cell(y, side)} AS _pcy"
-    )
     renamed = {c: f"_r_{c}" for c in on}
-    right = right.withColumnsRenamed({**renamed, "_cx": "_pcx_r", "_cy": "_pcy_r"})
 
-    keys = [("_pcx", "_pcx_r"), ("_pcy", "_pcy_r")] + [(c, renamed[c]) for c in on]
+    left = _placed(points, x, y, level)
+    right = _cells(polygons, size, level, wkt).withColumnsRenamed(renamed)
+    keys = CELL_KEYS + list(renamed.items())
     # _full comes first so that a full cell skips the segment test.
     inside = F.expr(f"_full OR ({G.strictly_inside(x, y)})")
     if size.bytes(level) <= broadcast_bytes:
@@ -231,6 +244,49 @@ def contains_join(
     return joined.select(*points.columns, *payload)
 
 
+def contains_lists(
+    points,
+    polygons,
+    value,
+    *,
+    x="longitude",
+    y="latitude",
+    wkt="geometry",
+    level=None,
+    broadcast_bytes=BROADCAST_BYTES,
+):
+    """Each point once, with the list of ``value`` of the polygons holding it.
+
+    Needs no shuffle of the points: the cover is gathered per cell, which its size
+    bound allows, and each point meets its one cell.  None when the bound is exceeded;
+    ``contains_join`` and a grouping are the way then.
+    """
+    size = measure_cover(polygons, wkt)
+    if level is None:
+        level = size.level(broadcast_bytes)
+    if size.bytes(level) > broadcast_bytes:
+        return None
+    cells = (
+        _cells(polygons.select(value, wkt), size, level, wkt)
+        .withColumnRenamed(value, "value")
+        .groupBy("_pcx_r", "_pcy_r")
+        .agg(
+            F.collect_list(
+                F.struct("value", "_full", "_edges", "_far_parity", "_far_ys")
+            ).alias("_near")
+        )
+    )
+    condition = F.lit(True)
+    for mine, theirs in CELL_KEYS:
+        condition = condition & (F.col(mine) == F.col(theirs))
+    joined = _placed(points, x, y, level).join(F.broadcast(cells), condition, "left")
+    holding = f"c -> c._full OR ({G.strictly_inside(x, y, 'c.')})"
+    found = f"transform(filter(_near, {holding}), c -> c.value)"
+    return joined.select(
+        *points.columns, F.expr(f"coalesce({found}, array())").alias(value)
+    )
+
+
 def describe_cover(polygons, wkt="geometry", level=None):
     """The chosen grid and its bounds, for logs and tests."""
     size = measure_cover(polygons, wkt)

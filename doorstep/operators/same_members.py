@@ -1,58 +1,72 @@
 """Which groups of two groupings hold exactly the same members."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 
 def same_members(rows, first, second, member, within):
     """Pairs (``first``, ``second``) whose member multisets are equal, per ``within``.
 
-    Equal to comparing the two sorted member lists, without building a list: a pair is
-    the same when every distinct member of either group occurs equally often in both.
-    Rows are combined before each shuffle, so repeats of one member cost nothing.  A
-    null member equals nothing, so a group with one is never the same as another;
-    groups without a name are left out.
+    Equal to comparing the two sorted member lists, without building one: a pair is
+    the same when each distinct member of either group occurs equally often in both.
+    Every member votes for its groups and for the pairs where its counts agree; a pair
+    with as many votes as both its groups is the same.
+
+    Repeats are counted before the first shuffle, so a member is left with at most one
+    entry per pair of groups.  A null member votes for no pair, so its groups are the
+    same as no other; groups without a name are left out.
     """
     within = list(within)
-    counted = rows.groupBy(*within, member, first, second).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    # One placement by member serves both groupings and the join below.
-    placed = counted.repartition(*within, member)
-    in_first = (
-        placed.where(F.col(first).isNotNull())
-        .groupBy(*within, member, first)
-        .agg(F.sum("_n").alias("_n"))
-    )
-    in_second = (
-        placed.where(F.col(second).isNotNull())
-        .groupBy(*within, member, second)
-        .agg(F.sum("_n").alias("_n2"))
-        .withColumnsRenamed({c: f"_b_{c}" for c in [*within, member]})
-    )
-    on_member = F.col("_n") == F.col("_n2")
-    for c in [*within, member]:
-        on_member = on_member & (F.col(c) == F.col(f"_b_{c}"))
-    shared = (
-        in_first.join(in_second, on_member)
-        .groupBy(*within, first, second)
-        .agg(F.count(F.lit(1)).alias("_shared"))
+    by_pair = rows.groupBy(
+        *within,
+        F.col(member).alias("_member"),
+        F.col(first).alias("_f"),
+        F.col(second).alias("_s"),
+    ).agg(F.count(F.lit(1)).alias("_n"))
+    by_member = by_pair.groupBy(*within, "_member").agg(
+        F.collect_list(F.struct("_f", "_s", "_n")).alias("_entries")
     )
-    size_first = in_first.groupBy(*within, first).agg(
-        F.count(F.lit(1)).alias("_size1")
+
+    def totals(field):
+        names = f"""array_distinct(transform(
+            filter(_entries, e -> e.{field} IS NOT NULL), e -> e.{field}))"""
+        count = f"""aggregate(
+            filter(_entries, e -> e.{field} = name), 0L, (sum, e) -> sum + e._n)"""
+        return f"transform({names}, name -> named_struct('name', name, 'n', {count}))"
+
+    # A vote for a single group has null in the other's place.
+    no_f, no_s = (
+        f"CAST(NULL AS {rows.schema[c].dataType.simpleString()})"
+        for c in (first, second)
     )
-    size_second = (
-        in_second.withColumnsRenamed({f"_b_{c}": c for c in within})
-        .groupBy(*within, second)
-        .agg(F.count(F.lit(1)).alias("_size2"))
+    votes = f"""explode(concat(
+        transform(_firsts, a -> named_struct('f', a.name, 's', {no_s})),
+        transform(_seconds, b -> named_struct('f', {no_f}, 's', b.name)),
+        flatten(transform(_firsts, a -> transform(
+            filter(_seconds, b -> b.n = a.n AND _member IS NOT NULL),
+            b -> named_struct('f', a.name, 's', b.name))))))"""
+    keys = [f"`{c}`" for c in within]
+    counted = (
+        by_member.selectExpr(
+            *keys, "_member", f"{totals('_f')} AS _firsts", f"{totals('_s')} AS _seconds"
+        )
+        .selectExpr(*keys, f"{votes} AS _vote")
+        .groupBy(*within, "_vote.f", "_vote.s")
+        .agg(F.count(F.lit(1)).alias("_votes"))
     )
+    # From here on there is one row per group or pair of groups.
+    alone_f = F.sum(F.when(F.col("s").isNull(), F.col("_votes")))
+    alone_s = F.sum(F.when(F.col("f").isNull(), F.col("_votes")))
     return (
-        shared.join(size_first, [*within, first])
-        .join(size_second, [*within, second])
+        counted.withColumn("_size_f", alone_f.over(Window.partitionBy(*within, "f")))
+        .withColumn("_size_s", alone_s.over(Window.partitionBy(*within, "s")))
         .where(
-            (F.col("_shared") == F.col("_size1"))
-            & (F.col("_shared") == F.col("_size2"))
+            F.col("f").isNotNull()
+            & F.col("s").isNotNull()
+            & (F.col("_votes") == F.col("_size_f"))
+            & (F.col("_votes") == F.col("_size_s"))
         )
-        .select(*within, first, second)
+        .select(*within, F.col("f").alias(first), F.col("s").alias(second))
     )
 
 

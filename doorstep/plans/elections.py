@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from ..operators.contains import BROADCAST_BYTES, contains_join
-from ..operators.skew import salted_join
+from ..operators.contains import BROADCAST_BYTES, contains_join, contains_lists
+from ..operators.skew import lookup_join, salted_join
 
 # Fixed values of source_table.
 ORGANISATION = "Organisation"
@@ -66,39 +66,73 @@ def current_ballots(elections, division_pieces, organisation_pieces, as_of=None)
 
 
 def ballot_areas(ballots):
-    """The distinct areas worth joining: a ballot repeats per piece combination."""
+    """(area, geometry, election ids): every distinct polygon with the ballots on it.
+
+    Ballots often share a polygon, and the export repeats a ballot per combination of
+    pieces; the join then tests each polygon once.
+    """
     return (
         ballots.where(
             F.col("source_table").isin(ORGANISATION, DIVISION)
             & F.col("geometry").isNotNull()
         )
-        .select("election_id", "geometry")
-        .distinct()
+        .groupBy("geometry")
+        .agg(F.sort_array(F.collect_set("election_id")).alias("election_ids"))
+        .withColumn("area", F.unhex(F.sha2("geometry", 256)))
     )
 
 
-def ballots_by_address(addresses, ballots, level=None, broadcast_bytes=BROADCAST_BYTES):
-    """One row per address with its sorted distinct ballot ids, [] when it has none.
+def ballots_at(points, ballots, level=None, broadcast_bytes=BROADCAST_BYTES):
+    """Each point once per area it lies in, with that area's ballots (null if none).
 
-    With a broadcast cover the only shuffle is the grouping, and the rows an address
-    gets from several areas are combined before it.
+    The cover repeats its columns per cell, so it carries the area's key alone.
     """
-    points = addresses.select(*ADDRESS_KEYS, "longitude", "latitude")
+    areas = ballot_areas(ballots)
     matched = contains_join(
         points,
-        ballot_areas(ballots),
+        areas.select("area", "geometry"),
         how="left",
         level=level,
         broadcast_bytes=broadcast_bytes,
     )
-    # collect_set skips the null of an address without an area.
-    return (
-        matched.groupBy(*ADDRESS_KEYS)
-        .agg(F.array_sort(F.collect_set("election_id")).alias("ballot_ids"))
-        .select(
-            "uprn", "address", "postcode", "addressbase_source", "ballot_ids",
-            "first_letter",
+    lists = areas.select(F.col("area").alias("_area"), "election_ids")
+    joined = lookup_join(matched, lists, [("area", "_area")], "left", broadcast_bytes)
+    return joined.select(*points.columns, "election_ids")
+
+
+def ballots_by_address(
+    addresses,
+    ballots,
+    level=None,
+    broadcast_bytes=BROADCAST_BYTES,
+    unique_addresses=False,
+):
+    """One row per address with its sorted distinct ballot ids, [] when it has none.
+
+    With a broadcast cover the only shuffle is the grouping, and the rows an address
+    gets from several areas are combined before it.  ``unique_addresses`` states that
+    no address occurs twice, as the checks of the address base establish: then each
+    row is a group of its own and nothing is shuffled.
+    """
+    points = addresses.select(*ADDRESS_KEYS, "longitude", "latitude")
+    listed = None
+    if unique_addresses:
+        areas = ballot_areas(ballots).select("election_ids", "geometry")
+        listed = contains_lists(
+            points, areas, "election_ids", level=level, broadcast_bytes=broadcast_bytes
         )
+    if listed is None:
+        # collect_set skips the null of an address without an area, and holds the
+        # lists of an address's copies once.
+        listed = (
+            ballots_at(points, ballots, level, broadcast_bytes)
+            .groupBy(*ADDRESS_KEYS)
+            .agg(F.collect_set("election_ids").alias("election_ids"))
+        )
+    ids = F.array_sort(F.array_distinct(F.flatten("election_ids")))
+    return listed.select(
+        "uprn", "address", "postcode", "addressbase_source", ids.alias("ballot_ids"),
+        "first_letter",
     )
 
 
@@ -109,13 +143,11 @@ def ballots_by_address_union(
     points = addresses.select(*ADDRESS_KEYS, "longitude", "latitude")
 
     def branch(kind):
-        areas = ballot_areas(ballots.where(F.col("source_table") == kind))
-        joined = contains_join(
-            points, areas, how="left", level=level, broadcast_bytes=broadcast_bytes
-        )
-        return joined.select(*ADDRESS_KEYS, "election_id")
+        areas = ballots.where(F.col("source_table") == kind)
+        found = ballots_at(points, areas, level, broadcast_bytes)
+        return found.select(*ADDRESS_KEYS, F.explode_outer("election_ids").alias("id"))
 
     both = branch(ORGANISATION).union(branch(DIVISION)).distinct()
     return both.groupBy(*ADDRESS_KEYS).agg(
-        F.array_sort(F.collect_set("election_id")).alias("ballot_ids")
+        F.array_sort(F.collect_set("id")).alias("ballot_ids")
     )

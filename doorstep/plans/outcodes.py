@@ -52,7 +52,12 @@ def write_outcodes(
     rows = with_outcode(resolve_duplicates(layer, **duplicates))
     outcode_index(rows, column).write.mode("overwrite").parquet(index_path(path))
     index = read_index(spark, path)
-    total = index.where("has_data").agg(F.sum("n_addresses")).first()[0] or 0
+    units, total = index.where("has_data").agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("n_addresses"), F.lit(0))
+    ).first()
+    # Enough ranges for the file size, and for all cores when there are enough units.
+    cores = spark.sparkContext.defaultParallelism
+    ranges = max(1, math.ceil(total / rows_per_file), min(cores, units))
 
     # The default partition stands for a missing outcode; as '' it sorts like others.
     filled = F.coalesce("outcode", F.lit(""))
@@ -63,7 +68,7 @@ def write_outcodes(
     )
     order = ["outcode", "postcode", "uprn"]
     (
-        kept.repartitionByRange(max(1, math.ceil(total / rows_per_file)), *order)
+        kept.repartitionByRange(ranges, *order)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if refresh else "static")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators.contains import BROADCAST_BYTES, contains_join
 from ..operators.same_members import same_members
-from ..operators.skew import lookup_join, salted_join
+from ..operators.skew import lookup_join
 from ..sources.stage import materialise
 
 # Generations, change scenarios, and the keys of the two detail maps.
@@ -281,7 +281,7 @@ def address_scenarios(addresses, changes, level=None, broadcast_bytes=BROADCAST_
     divided = materialise(
         address_divisions(addresses, changes, level, broadcast_bytes), "divided"
     )
-    return with_scenario(divided, same_boundary(divided))
+    return with_scenario(divided, materialise(same_boundary(divided), "same"))
 
 
 def address_changes(addresses, changes, level=None, broadcast_bytes=BROADCAST_BYTES):
@@ -296,7 +296,7 @@ def address_changes(addresses, changes, level=None, broadcast_bytes=BROADCAST_BY
         in_old_and_new(addresses, old_pieces, new_pieces, level, broadcast_bytes),
         "divided",
     )
-    rows = with_scenario(divided, same_boundary(divided))
+    rows = with_scenario(divided, materialise(same_boundary(divided), "same"))
     for generation, details in ((OLD, old_details), (NEW, new_details)):
         mine, theirs = f"{generation}_key", f"_{generation}_key"
         rows = lookup_join(
@@ -368,10 +368,16 @@ def review_lists(changes):
 
 
 def reviews_by_address(addresses, changes):
-    """Every address with its list of reviews, [] when there is none."""
-    lists = review_lists(changes).withColumnRenamed("uprn", "_uprn")
+    """Every address with its list of reviews, [] when there is none.
+
+    The lists are stored first: when they turn out small the addresses are not
+    shuffled, and otherwise they are read back rather than built twice.
+    """
+    lists = materialise(review_lists(changes), "reviews")
     every = addresses.select(*ADDRESS, "first_letter")
-    joined = salted_join(every, lists, [("uprn", "_uprn")])
+    joined = lookup_join(
+        every, lists.withColumnRenamed("uprn", "_uprn"), [("uprn", "_uprn")]
+    )
     return joined.select(
         *ADDRESS,
         F.coalesce(

@@ -70,15 +70,17 @@ def read_boundary_changes(spark, path):
     )
 
 
-def write_by_letter(df, path):
+def write_by_letter(df, path, rebalance=True):
     """Parquet by first letter.
 
     Rebalancing gathers a letter's rows into well-sized files and, with adaptive
-    execution, splits a letter that holds much of the table over many tasks.
+    execution, splits a letter that holds much of the table over many tasks.  Rows
+    that come unshuffled from a table stored this way are already gathered.
     """
+    if rebalance:
+        df = df.hint("rebalance", "first_letter")
     (
-        df.hint("rebalance", "first_letter")
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("compression", "snappy")
         .partitionBy("first_letter")
         .parquet(path)

@@ -4,7 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from doorstep.operators import contains
-from doorstep.operators.contains import contains_join, cover, measure_cover
+from doorstep.operators.contains import (
+    contains_join,
+    contains_lists,
+    cover,
+    measure_cover,
+)
 
 from conftest import rows_of
 
@@ -97,6 +102,18 @@ def test_left_keeps_points_without_area(case, limit):
     assert found.columns == ["id", "longitude", "latitude", "k"]
 
 
+@pytest.mark.parametrize("level", [None, -2, 1, 3])
+def test_lists_equal_the_join(case, level):
+    points, areas, expected = case
+    found = contains_lists(points, areas, "k", level=level)
+    got = {r["id"]: sorted(r["k"]) for r in found.collect()}
+    want = {r["id"]: [] for r in points.collect()}
+    for i, k in expected:
+        want[i].append(k)
+    assert got == {i: sorted(v) for i, v in want.items()}
+    assert contains_lists(points, areas, "k", broadcast_bytes=0) is None
+
+
 def test_extra_key(spark, case):
     points, areas, expected = case
     points = points.withColumn("g", F.col("id") % 3)

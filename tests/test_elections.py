@@ -113,6 +113,35 @@ def test_ballot_lists(spark):
             assert rows_of(out.select("uprn", "ballot_ids")) == want
 
 
+def test_unique_addresses_need_no_grouping(spark):
+    base = addresses(spark, [
+        ("1", "a", "AA1 1AA", "v", "A", 0.5, 0.5),
+        ("2", "a", "AA1 1AA", "v", "A", 5.0, 5.0),
+        ("3", "a", "AA1 1AA", "v", "A", None, None),
+    ])
+    areas = ballots(spark, [
+        ("b", "1", PIECE, "Division"), ("a", "2", PIECE, "Organisation"),
+        ("b", "3", "POLYGON((0 0,2 0,2 2,0 2,0 0))", "Division"),
+    ])
+    for limit in (0, 1 << 26):
+        out = elections.ballots_by_address(
+            base, areas, broadcast_bytes=limit, unique_addresses=True
+        )
+        assert rows_of(out.select("uprn", "ballot_ids")) == [("1", ["a", "b"]), ("2", []), ("3", [])]
+
+
+def test_unique_addresses_are_not_shuffled(spark, folder):
+    rows = [(str(i), "a", "AA1 1AA", "v", "A", 0.5, 0.5) for i in range(10)]
+    addresses(spark, rows).write.parquet(f"{folder}/base")
+    base = spark.read.parquet(f"{folder}/base")
+    out = elections.ballots_by_address(
+        base, ballots(spark, [("b", "1", PIECE, "Division")]), unique_addresses=True
+    )
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("BroadcastExchange")[0].split("BroadcastHashJoin")[1]
+    assert "SortMergeJoin" not in plan
+
+
 def test_no_ballots_at_all(spark):
     base = addresses(spark, [("1", "a", "AA1 1AA", "v", "A", 0.5, 0.5)])
     out = elections.ballots_by_address(base, ballots(spark, []))
