@@ -9,6 +9,7 @@ tests every point against every segment, without any grid.
 from __future__ import annotations
 
 import os
+import re
 import sys
 from collections.abc import Callable
 
@@ -34,10 +35,11 @@ TILES = "https://tiles.example/store/"
 
 
 def _derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    for name in fx.TABLES:
-        if name in text:
-            table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-            spread(table).createOrReplaceTempView(name)
+    for name in set(re.findall(r"(?:FROM|JOIN) (\w+)", text)) & set(fx.TABLES):
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        if name not in ("region", "nation"):
+            table = spread(table)
+        table.createOrReplaceTempView(name)
     return spark.sql(fx.spark_text(text))
 
 

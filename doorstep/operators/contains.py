@@ -15,7 +15,7 @@ from .skew import BROADCAST_BYTES, salted_join
 
 # Wanted cells per piece: more cells mean fewer segment tests but a larger cover.
 FINE_CELLS, CELLS_PER_PIECE = 256, 64
-PIECES_PER_TASK = 32
+PIECES_PER_TASK, CELLS_PER_TASK = 32, 20_000
 LEVELS = range(-12, 31)
 # Fixed bytes of one cover row beside the caller's columns, and bytes of one kept
 # segment with the at most two end heights it can leave behind.
@@ -105,12 +105,15 @@ def measure_cover(polygons, wkt="geometry"):
     return CoverSize(*[v or 0 for v in row])
 
 
-def cover(polygons, level, wkt="geometry"):
-    """One row per (polygon, grid cell it meets), narrow: no shuffle.
+def cover(polygons, level, wkt="geometry", tasks=None):
+    """One row per (polygon, grid cell it meets).
 
     Adds ``_cx``, ``_cy``, ``_full`` and, for mixed cells, ``_edges``,
     ``_far_parity`` and ``_far_ys``; the polygon text is dropped.
 
+    Without ``tasks`` this is narrow; with it the rows of cells of each polygon are
+    spread over that many tasks, so that a polygon of very many cells is not cut by one.
+
     Each step hands its arrays on through a generator, since a filter over a plain
     projection would be moved below it and compute them once more.
     """
@@ -133,7 +136,10 @@ def cover(polygons, level, wkt="geometry"):
         *payload,
         "_cy",
         f"filter(_all, e -> {G.Y_LOW} <= {high_y} AND {G.Y_HIGH} >= {low_y}) AS _band",
-    ).selectExpr(
+    )
+    if tasks is not None:
+        banded = banded.repartition(tasks)
+    banded = banded.selectExpr(
         *payload, "_cy", "_band", f"{cells('_band', G.X_LOW, G.X_HIGH)} AS _cx"
     )
     # Beside the segments near the cell, the heights of both ends of every segment
@@ -189,13 +195,18 @@ def _placed(points, x, y, level):
 def _cells(polygons, size, level, wkt):
     """The cover under names apart from the points' cells.
 
-    The pieces are few and their cells many, so the pieces are spread before cutting.
+    The pieces are few and their cells many, so the pieces are spread before cutting,
+    and the cells of a large cover once more.
     """
-    tasks = min(
-        polygons.sparkSession.sparkContext.defaultParallelism,
-        1 + size.pieces // PIECES_PER_TASK,
+    cores = polygons.sparkSession.sparkContext.defaultParallelism
+    tasks = min(cores, 1 + size.pieces // PIECES_PER_TASK)
+    rows = size.rows(level)
+    cells = cover(
+        polygons.repartition(tasks),
+        level,
+        wkt,
+        tasks=min(cores, int(rows // CELLS_PER_TASK)) if rows > CELLS_PER_TASK else None,
     )
-    cells = cover(polygons.repartition(tasks), level, wkt)
     return cells.withColumnsRenamed({"_cx": "_pcx_r", "_cy": "_pcy_r"})
 
 
@@ -213,17 +224,19 @@ def contains_join(
     on=(),
     level=None,
     broadcast_bytes=BROADCAST_BYTES,
+    size=None,
 ):
     """Join each point with the polygons that hold it in their interior.
 
     ``on`` names further columns both sides must agree on.  The result has the
-    points' columns and the polygons' other columns except ``wkt``.
+    points' columns and the polygons' other columns except ``wkt``.  ``size`` is the
+    polygons' ``measure_cover`` where the caller has it already.
 
     The cover is broadcast when its proven size bound is within ``broadcast_bytes``:
     the points are then not shuffled at all.  Otherwise both sides are shuffled by
     cell, and cells holding a large share of the points are split.
     """
-    size = measure_cover(polygons, wkt)
+    size = size or measure_cover(polygons, wkt)
     if level is None:
         level = size.level(broadcast_bytes)
     payload = [c for c in polygons.columns if c != wkt and c not in on]

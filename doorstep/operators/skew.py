@@ -54,9 +54,16 @@ def fits_broadcast(df, limit_bytes=BROADCAST_BYTES):
     return (size or 0) <= limit_bytes
 
 
-def lookup_join(left, dimension, keys, how="left", limit_bytes=BROADCAST_BYTES):
-    """Join with a side expected to be small: broadcast if it is, salted otherwise."""
-    if not fits_broadcast(dimension, limit_bytes):
+def lookup_join(
+    left, dimension, keys, how="left", limit_bytes=BROADCAST_BYTES, fits=None
+):
+    """Join with a side expected to be small: broadcast if it is, salted otherwise.
+
+    ``fits`` is the answer of ``fits_broadcast`` where the caller has it already.
+    """
+    if fits is None:
+        fits = fits_broadcast(dimension, limit_bytes)
+    if not fits:
         return salted_join(left, dimension, keys, how)
     condition = F.lit(True)
     for a, b in keys:

@@ -2,7 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from ..operators.contains import BROADCAST_BYTES, contains_join, contains_lists
+from ..operators.contains import (
+    BROADCAST_BYTES,
+    contains_join,
+    contains_lists,
+    measure_cover,
+)
 from ..operators.skew import lookup_join, salted_join
 
 # Fixed values of source_table.
@@ -83,18 +88,18 @@ def ballot_areas(ballots):
 
 
 def ballots_at(points, ballots, level=None, broadcast_bytes=BROADCAST_BYTES):
-    """Each point once per area it lies in, with that area's ballots (null if none).
-
-    The cover repeats its columns per cell, so it carries the area's key alone.
-    """
+    """Each point once per area it lies in, with that area's ballots (null if none)."""
     areas = ballot_areas(ballots)
-    matched = contains_join(
-        points,
-        areas.select("area", "geometry"),
-        how="left",
-        level=level,
-        broadcast_bytes=broadcast_bytes,
-    )
+    options = {"how": "left", "level": level, "broadcast_bytes": broadcast_bytes}
+
+    whole = areas.select("election_ids", "geometry")
+    size = measure_cover(whole)
+    grid = size.level(broadcast_bytes) if level is None else level
+    if size.bytes(grid) <= broadcast_bytes:
+        return contains_join(points, whole, size=size, **options)
+
+    # The cover repeats its columns per cell: a large one carries the area's key alone.
+    matched = contains_join(points, areas.select("area", "geometry"), **options)
     lists = areas.select(F.col("area").alias("_area"), "election_ids")
     joined = lookup_join(matched, lists, [("area", "_area")], "left", broadcast_bytes)
     return joined.select(*points.columns, "election_ids")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators.contains import BROADCAST_BYTES, contains_join
 from ..operators.same_members import same_members
-from ..operators.skew import lookup_join
+from ..operators.skew import fits_broadcast, lookup_join
 from ..sources.stage import materialise
 
 # Generations, change scenarios, and the keys of the two detail maps.
@@ -34,6 +34,9 @@ REVIEW_KEYS = [
     "organisation_gss",
 ]
 
+# More rows than this under one uprn are counted before they are gathered.
+GATHER_LIMIT = 10_000
+
 PAIR = ["boundary_review_id", "division_type"]
 SLUGS = ["old_division_slug", "new_division_slug"]
 ADDRESS = ["uprn", "address", "postcode", "addressbase_source"]
@@ -297,11 +300,13 @@ def address_changes(addresses, changes, level=None, broadcast_bytes=BROADCAST_BY
         "divided",
     )
     rows = with_scenario(divided, materialise(same_boundary(divided), "same"))
+    # Both sets of details are distinct parts of the changes, without the polygons.
+    fits = fits_broadcast(changes.drop("division_boundary_wkt"))
     for generation, details in ((OLD, old_details), (NEW, new_details)):
         mine, theirs = f"{generation}_key", f"_{generation}_key"
-        rows = lookup_join(
-            rows, details.withColumnRenamed(mine, theirs), [(mine, theirs)], "inner"
-        ).drop(mine, theirs)
+        details = details.withColumnRenamed(mine, theirs)
+        rows = lookup_join(rows, details, [(mine, theirs)], "inner", fits=fits)
+        rows = rows.drop(mine, theirs)
 
     def details_map(keys):
         return F.map_from_arrays(
@@ -328,24 +333,36 @@ def details_json(details, keys):
     )
 
 
-def review_lists(changes):
+def review_lists(changes, gather_limit=GATHER_LIMIT):
     """Per uprn the JSON texts of its reviews, ordered by review id.
 
-    One shuffle: the rows of a uprn are gathered once and nested inside the row.  A
-    uprn has a handful of them, since the address base is gated on unique uprns.  Rows
-    without a uprn belong to no address and are left out before the shuffle.
+    The rows of a uprn are gathered once and nested inside the row.  A uprn has a
+    handful of them, as the address base is gated on unique uprns; should one have
+    very many, being repeated, its copies are counted before they are gathered and
+    put back at the end.  Rows without a uprn belong to no address and are left out.
     """
-    entry = F.struct(
+    named = changes.where(F.col("uprn").isNotNull())
+    entries = named.select(
+        "uprn",
         F.col("boundary_review_id").alias("review"),
         F.col("division_type").alias("type"),
         details_json(F.col("boundary_change_details"), CHANGE_KEYS).alias("change"),
         details_json(F.col("boundary_review_details"), REVIEW_KEYS).alias("about"),
     )
-    gathered = (
-        changes.where(F.col("uprn").isNotNull())
-        .groupBy("uprn")
-        .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
-    )
+    fields = ["review", "type", "change", "about"]
+    most = named.groupBy("uprn").count().agg(F.max("count")).first()[0] or 0
+    if most <= gather_limit:
+        gathered = entries.groupBy("uprn").agg(
+            F.array_sort(F.collect_list(F.struct(*fields))).alias("_entries")
+        )
+    else:
+        counted = entries.groupBy("uprn", *fields).agg(F.count(F.lit(1)).alias("n"))
+        distinct = F.array_sort(F.collect_list(F.struct(*fields, "n")))
+        gathered = counted.groupBy("uprn").agg(
+            F.flatten(
+                F.transform(distinct, lambda e: F.array_repeat(e, e["n"].cast("int")))
+            ).alias("_entries")
+        )
 
     def review_json(review):
         mine = F.filter("_entries", lambda e: e["review"] == review)

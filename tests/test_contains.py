@@ -154,6 +154,7 @@ def test_cover_is_exact_once_per_cell_and_within_its_bound(case):
         n = cells.count()
         assert n == cells.select("k", "_cx", "_cy").distinct().count()
         assert n <= size.rows(level)
+        assert rows_of(cover(areas, level, tasks=3)) == rows_of(cells)
         held = cells.agg(
             F.sum(F.when(~F.col("_full"), F.size("_edges"))),
             F.sum(F.when(~F.col("_full"), F.size("_far_ys"))),
