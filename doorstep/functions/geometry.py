@@ -67,15 +67,22 @@ def crosses(x, y):
 
 
 def strictly_inside(x, y, cell=""):
-    """Interior test against one mixed cell of a cover; boundary points are outside.
+    """Interior test against one cell of a cover; boundary points are outside.
 
     ``_edges`` are the segments near the cell.  Segments wholly to its right are
     crossed exactly when they straddle y, so they are kept only as a constant parity,
-    ``_far_parity``, and the end heights that do not cancel out, ``_far_ys``.  With
-    ``cell`` (as ``c.``) these are fields of a struct.
+    ``_far_parity``, and the end heights that do not cancel out, ``_far_ys``.  Most
+    pairs are settled by the polygon's extent, ``_x0`` to ``_y1``, or a full cell.
+    With ``cell`` (as ``c.``) these are fields of a struct.
     """
+    extent = (
+        f"{x} > {cell}_x0 AND {x} < {cell}_x1 AND {y} > {cell}_y0 AND {y} < {cell}_y1"
+    )
+    crossings = (
+        f"size(filter({cell}_edges, e -> {crosses(x, y)})) + {cell}_far_parity"
+        f" + size(filter({cell}_far_ys, v -> v > {y}))"
+    )
     return (
-        f"(size(filter({cell}_edges, e -> {crosses(x, y)})) + {cell}_far_parity"
-        f" + size(filter({cell}_far_ys, v -> v > {y}))) % 2 = 1"
-        f" AND NOT exists({cell}_edges, e -> {touches(x, y)})"
+        f"{extent} AND ({cell}_full OR (({crossings}) % 2 = 1"
+        f" AND NOT exists({cell}_edges, e -> {touches(x, y)})))"
     )

@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from .skew import BROADCAST_BYTES, salted_join
 
-# Wanted cells per piece: more cells mean fewer segment tests but a larger cover.
-FINE_CELLS, CELLS_PER_PIECE = 256, 64
+# Wanted cells per piece: more cells mean fewer segment tests but a larger cover.  The
+# first grid that can be broadcast is taken, and the one to shuffle by otherwise.
+BROADCAST_CELLS, SHUFFLED_CELLS = (256, 128, 64), 128
 PIECES_PER_TASK, CELLS_PER_TASK = 32, 20_000
 LEVELS = range(-12, 31)
 # Fixed bytes of one cover row beside the caller's columns, and bytes of one kept
 # segment with the at most two end heights it can leave behind.
-ROW_BYTES = 160
+ROW_BYTES = 192
 EDGE_BYTES = 48
 
 
@@ -58,11 +59,11 @@ class CoverSize:
         return max((n for n in LEVELS if self.rows(n) <= budget), default=min(LEVELS))
 
     def level(self, broadcast_bytes=BROADCAST_BYTES):
-        """The finest wanted grid that can be broadcast, else the usual one."""
-        fine = self._finest(FINE_CELLS)
-        if self.bytes(fine) <= broadcast_bytes:
-            return fine
-        return self._finest(CELLS_PER_PIECE)
+        """The finest wanted grid that can be broadcast, else one to shuffle by."""
+        for cells in BROADCAST_CELLS:
+            if self.bytes(self._finest(cells)) <= broadcast_bytes:
+                return self._finest(cells)
+        return self._finest(SHUFFLED_CELLS)
 
 
 def measure_cover(polygons, wkt="geometry"):
@@ -108,8 +109,9 @@ def measure_cover(polygons, wkt="geometry"):
 def cover(polygons, level, wkt="geometry", tasks=None):
     """One row per (polygon, grid cell it meets).
 
-    Adds ``_cx``, ``_cy``, ``_full`` and, for mixed cells, ``_edges``,
-    ``_far_parity`` and ``_far_ys``; the polygon text is dropped.
+    Adds ``_cx``, ``_cy``, the polygon's extent in the cell's row of cells (``_x0`` to
+    ``_y1``), ``_full`` and, for mixed cells, ``_edges``, ``_far_parity`` and
+    ``_far_ys``; the polygon text is dropped.
 
     Without ``tasks`` this is narrow; with it the rows of cells of each polygon are
     spread over that many tasks, so that a polygon of very many cells is not cut by one.
@@ -122,30 +124,41 @@ def cover(polygons, level, wkt="geometry", tasks=None):
     low_y, high_y = f"_cy * {side!r}D", f"(_cy + 1) * {side!r}D"
     low_x, high_x = f"_cx * {side!r}D", f"(_cx + 1) * {side!r}D"
 
-    def cells(edges, low, high):
-        first = G.grid_cell(G.lowest(edges, low), side)
-        return f"explode(sequence({first}, {G.grid_cell(G.highest(edges, high), side)}))"
+    def cells(low, high):
+        return f"sequence({G.grid_cell(low, side)}, {G.grid_cell(high, side)})"
 
     # A polygon without segments has no cell range and leaves no row.
     rows = (
         polygons.where(F.col(wkt).isNotNull())
         .select(*[F.col(c) for c in payload], G.edges(wkt).alias("_all"))
-        .selectExpr(*payload, "_all", f"{cells('_all', G.Y_LOW, G.Y_HIGH)} AS _cy")
+        .selectExpr(
+            *payload,
+            "_all",
+            f"{G.lowest('_all', G.Y_LOW)} AS _y0",
+            f"{G.highest('_all', G.Y_HIGH)} AS _y1",
+        )
+        .selectExpr("*", f"explode({cells('_y0', '_y1')}) AS _cy")
     )
     banded = rows.selectExpr(
         *payload,
+        "_y0",
+        "_y1",
         "_cy",
         f"filter(_all, e -> {G.Y_LOW} <= {high_y} AND {G.Y_HIGH} >= {low_y}) AS _band",
     )
     if tasks is not None:
         banded = banded.repartition(tasks)
+    extent = ["_x0", "_x1", "_y0", "_y1"]
     banded = banded.selectExpr(
-        *payload, "_cy", "_band", f"{cells('_band', G.X_LOW, G.X_HIGH)} AS _cx"
-    )
+        "*",
+        f"{G.lowest('_band', G.X_LOW)} AS _x0",
+        f"{G.highest('_band', G.X_HIGH)} AS _x1",
+    ).selectExpr("*", f"explode({cells('_x0', '_x1')}) AS _cx")
     # Beside the segments near the cell, the heights of both ends of every segment
     # wholly to its right.
     with_ends = banded.selectExpr(
         *payload,
+        *extent,
         "_cx",
         "_cy",
         f"filter(_band, e -> {G.X_LOW} <= {high_x} AND {G.X_HIGH} >= {low_x}) AS _edges",
@@ -164,6 +177,7 @@ def cover(polygons, level, wkt="geometry", tasks=None):
             ELSE concat(kept, array(v)) END)"""
     labelled = with_ends.selectExpr(
         *payload,
+        *extent,
         "_cx",
         "_cy",
         f"""inline(array(named_struct(
@@ -176,6 +190,7 @@ def cover(polygons, level, wkt="geometry", tasks=None):
     inside = f"(_far_parity + size(filter(_far_ys, v -> v > {low_y}))) % 2 = 1"
     return labelled.where(f"{mixed} OR {inside}").selectExpr(
         *payload,
+        *extent,
         "_cx",
         "_cy",
         f"NOT {mixed} AS _full",
@@ -210,6 +225,7 @@ def _cells(polygons, size, level, wkt):
     return cells.withColumnsRenamed({"_cx": "_pcx_r", "_cy": "_pcy_r"})
 
 
+TEST_COLUMNS = ["_x0", "_x1", "_y0", "_y1", "_full", "_edges", "_far_parity", "_far_ys"]
 CELL_KEYS = [("_pcx", "_pcx_r"), ("_pcy", "_pcy_r")]
 
 
@@ -245,8 +261,7 @@ def contains_join(
     left = _placed(points, x, y, level)
     right = _cells(polygons, size, level, wkt).withColumnsRenamed(renamed)
     keys = CELL_KEYS + list(renamed.items())
-    # _full comes first so that a full cell skips the segment test.
-    inside = F.expr(f"_full OR ({G.strictly_inside(x, y)})")
+    inside = F.expr(G.strictly_inside(x, y))
     if size.bytes(level) <= broadcast_bytes:
         condition = inside
         for mine, theirs in keys:
@@ -285,7 +300,7 @@ def contains_lists(
         .groupBy("_pcx_r", "_pcy_r")
         .agg(
             F.collect_list(
-                F.struct("value", "_full", "_edges", "_far_parity", "_far_ys")
+                F.struct("value", *TEST_COLUMNS)
             ).alias("_near")
         )
     )
@@ -293,7 +308,7 @@ def contains_lists(
     for mine, theirs in CELL_KEYS:
         condition = condition & (F.col(mine) == F.col(theirs))
     joined = _placed(points, x, y, level).join(F.broadcast(cells), condition, "left")
-    holding = f"c -> c._full OR ({G.strictly_inside(x, y, 'c.')})"
+    holding = f"c -> {G.strictly_inside(x, y, 'c.')}"
     found = f"transform(filter(_near, {holding}), c -> c.value)"
     return joined.select(
         *points.columns, F.expr(f"coalesce({found}, array())").alias(value)
