@@ -120,7 +120,7 @@ SELECT s_suppkey + 1 AS id, s_suppkey AS organisation_id, concat('review-', cast
        concat('Order "', cast(s_suppkey AS varchar(20)), '", part 1') AS legislation_title,
        DATE '2026-05-07' AS effective_date, DATE '2025-01-01' AS created, DATE '2025-06-01' AS modified,
        CASE WHEN s_suppkey % 6 = 0 THEN s_suppkey * 20 ELSE s_suppkey * 20 + 19 END AS divisionset_id
-FROM supplier WHERE s_suppkey % 2 = 0
+FROM supplier
 """
 
 # Twenty per organisation, with open ends, ties and organisations with open ends only.

@@ -81,7 +81,7 @@ def case(spark):
     return p.repartition(4), a, expected
 
 
-@pytest.mark.parametrize("level", [None, -3, 0, 2, 4])
+@pytest.mark.parametrize("level", [None, -2, 3])
 @pytest.mark.parametrize("limit", [contains.BROADCAST_BYTES, 0])
 def test_equals_brute_force(case, level, limit):
     points, areas, expected = case
@@ -102,7 +102,7 @@ def test_left_keeps_points_without_area(case, limit):
     assert found.columns == ["id", "longitude", "latitude", "k"]
 
 
-@pytest.mark.parametrize("level", [None, -2, 1, 3])
+@pytest.mark.parametrize("level", [None, 1])
 def test_lists_equal_the_join(case, level):
     points, areas, expected = case
     found = contains_lists(points, areas, "k", level=level)
@@ -132,7 +132,7 @@ def test_points_on_the_boundary_are_outside(spark):
         [(0.0, 0.0), (1.0, 0.0), (2.0, 1.0), (1.0, 2.0), (1.0, 1.0), (2.5, 1.0)],
         "longitude double, latitude double",
     )
-    for level in (-1, 0, 1, 3):
+    for level in (-1, 1):
         found = contains_join(points, square, how="inner", level=level)
         assert rows_of(found) == [(1.0, 1.0, 1)]
 
@@ -149,7 +149,7 @@ def test_seam_between_pieces_belongs_to_neither(spark):
 def test_cover_is_exact_once_per_cell_and_within_its_bound(case):
     _, areas, _ = case
     size = measure_cover(areas)
-    for level in (-1, 1, 3, 5):
+    for level in (0, 3):
         cells = cover(areas, level)
         n = cells.count()
         assert n == cells.select("k", "_cx", "_cy").distinct().count()
