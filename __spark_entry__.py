@@ -23,6 +23,7 @@ from doorstep.functions.text import outcode
 from doorstep.operators import duplicates, quality, same_members
 from doorstep.plans import address_base as base_plan
 from doorstep.plans import elections, outcodes, reviews
+from doorstep.sources.stage import materialise
 from doorstep.sources.tables import spread
 from doorstep.streaming import triggers
 
@@ -51,6 +52,11 @@ def _base(spark, d):
     return base_plan.build_address_base(_raw(spark, d), SOURCE)
 
 
+def _stored_base(spark, d):
+    """The address base as a stored table, as the review layer reads it."""
+    return materialise(_base(spark, d), "base")
+
+
 def _ballots(spark, d):
     return _derive(spark, d, fx.BALLOTS)
 
@@ -204,7 +210,7 @@ def review_pairs(spark, d):
 
 
 def _divided(spark, d):
-    return reviews.address_divisions(_base(spark, d), _changes(spark, d))
+    return reviews.address_divisions(_stored_base(spark, d), _changes(spark, d))
 
 
 def address_in_old_and_new(spark, d):
@@ -240,14 +246,16 @@ def same_orders_by_part(spark, d):
 
 
 def change_scenario(spark, d):
-    return reviews.address_scenarios(_base(spark, d), _changes(spark, d)).select(
+    base = _stored_base(spark, d)
+    return reviews.address_scenarios(base, _changes(spark, d)).select(
         "uprn", *reviews.PAIR, *reviews.SLUGS, "boundary_same", "name_same",
         "change_scenario",
     )
 
 
-def _address_changes(spark, d):
-    return reviews.address_changes(_base(spark, d), _changes(spark, d))
+def _address_changes(spark, d, base=None):
+    base = base or _stored_base(spark, d)
+    return reviews.address_changes(base, _changes(spark, d))
 
 
 def change_details(spark, d):
@@ -270,7 +278,8 @@ def review_rollup(spark, d):
 
 
 def reviews_by_address(spark, d):
-    found = reviews.reviews_by_address(_base(spark, d), _address_changes(spark, d))
+    base = _stored_base(spark, d)
+    found = reviews.reviews_by_address(base, _address_changes(spark, d, base))
     return found.select(
         "uprn", "address", "postcode", "addressbase_source", "first_letter",
         _joined("boundary_reviews"),

@@ -134,26 +134,26 @@ def cover(polygons, level, wkt="geometry", tasks=None):
         .selectExpr(
             *payload,
             "_all",
-            f"{G.lowest('_all', G.Y_LOW)} AS _y0",
-            f"{G.highest('_all', G.Y_HIGH)} AS _y1",
+            f"{G.lowest('_all', G.Y_LOW)} AS _bottom",
+            f"{G.highest('_all', G.Y_HIGH)} AS _top",
         )
-        .selectExpr("*", f"explode({cells('_y0', '_y1')}) AS _cy")
+        .selectExpr("*", f"explode({cells('_bottom', '_top')}) AS _cy")
     )
     banded = rows.selectExpr(
         *payload,
-        "_y0",
-        "_y1",
+        "_bottom",
+        "_top",
         "_cy",
         f"filter(_all, e -> {G.Y_LOW} <= {high_y} AND {G.Y_HIGH} >= {low_y}) AS _band",
     )
     if tasks is not None:
         banded = banded.repartition(tasks)
-    extent = ["_x0", "_x1", "_y0", "_y1"]
+    extent = ["_left", "_right", "_bottom", "_top"]
     banded = banded.selectExpr(
         "*",
-        f"{G.lowest('_band', G.X_LOW)} AS _x0",
-        f"{G.highest('_band', G.X_HIGH)} AS _x1",
-    ).selectExpr("*", f"explode({cells('_x0', '_x1')}) AS _cx")
+        f"{G.lowest('_band', G.X_LOW)} AS _left",
+        f"{G.highest('_band', G.X_HIGH)} AS _right",
+    ).selectExpr("*", f"explode({cells('_left', '_right')}) AS _cx")
     # Beside the segments near the cell, the heights of both ends of every segment
     # wholly to its right.
     with_ends = banded.selectExpr(
@@ -177,10 +177,10 @@ def cover(polygons, level, wkt="geometry", tasks=None):
             ELSE concat(kept, array(v)) END)"""
     labelled = with_ends.selectExpr(
         *payload,
-        *extent,
         "_cx",
         "_cy",
         f"""inline(array(named_struct(
+              '_x0', _left, '_x1', _right, '_y0', _bottom, '_y1', _top,
               '_edges', _edges,
               '_far_parity', size(filter(_ends, v -> v >= {high_y})) % 2,
               '_far_ys', {uncancelled})))""",
@@ -190,7 +190,10 @@ def cover(polygons, level, wkt="geometry", tasks=None):
     inside = f"(_far_parity + size(filter(_far_ys, v -> v > {low_y}))) % 2 = 1"
     return labelled.where(f"{mixed} OR {inside}").selectExpr(
         *payload,
-        *extent,
+        "_x0",
+        "_x1",
+        "_y0",
+        "_y1",
         "_cx",
         "_cy",
         f"NOT {mixed} AS _full",
