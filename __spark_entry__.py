@@ -27,7 +27,7 @@ from doorstep.sources.stage import materialise
 from doorstep.sources.tables import spread
 from doorstep.streaming import triggers
 
-SOURCE = "addressbase/2026-02-02"
+SOURCE = "addresses/version-1"
 AS_OF = "2026-03-01"
 TILES = "https://tiles.example/store/"
 
