@@ -12,6 +12,7 @@ import os
 import re
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -441,12 +442,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return ballots_by_address(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def _optional():
+    """The training-text subpackage and the pipeline over it, where both are present."""
+    if not find_spec("doorstep.llm") or not find_spec("corpus_pipeline"):
+        return {}, {}
+    import corpus_pipeline
+    from doorstep.llm import queries as more
+
+    sql = dict(more.SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**more.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
+def layer_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {query.__name__: query for query in QUERIES}
     found["current_ballots"] = current_ballots
     return found
 
 
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return layer_queries() | _optional()[0]
+
+
 # --- comparison SQL --------------------------------------------------------------
 
 
@@ -664,6 +682,10 @@ SELECT (SELECT count(*) FROM raw) AS source_row_count, (SELECT count(*) FROM {ta
 
 
 def oracle_sql() -> dict[str, str]:
+    return layer_sql() | _optional()[1]
+
+
+def layer_sql() -> dict[str, str]:
     crowded = """
 SELECT * REPLACE (CASE WHEN cast(uprn AS bigint) % 3 = 0 THEN 0.75 ELSE longitude END AS longitude,
                   CASE WHEN cast(uprn AS bigint) % 3 = 0 THEN 0.375 ELSE latitude END AS latitude) FROM base"""

@@ -19,10 +19,10 @@ def database():
 
 
 def test_every_query_has_comparison_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.layer_queries()) == set(entry.layer_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.layer_queries()))
 def test_query_equals_sql(spark, database, name):
     df = entry.queries()[name](spark, SF)
     columns = sorted(df.columns)
