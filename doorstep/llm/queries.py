@@ -2,13 +2,16 @@
 
 import functools
 
-from . import language, packing, simhash, toxicity
+from . import chunks, language, packing, pivots, quality, simhash, toxicity
 from .shared import ship
 
 _QUERIES = [
     language.op3_language,
     packing.op4_packing,
     simhash.op5_simhash,
+    quality.op6_quality,
+    pivots.op7_pivots,
+    chunks.op9_chunks,
     toxicity.op10_toxicity,
 ]
 
