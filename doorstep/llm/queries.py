@@ -2,15 +2,29 @@
 
 import functools
 
-from . import chunks, language, packing, pivots, quality, simhash, toxicity
+from . import (
+    chunks,
+    gru,
+    language,
+    packing,
+    pivots,
+    quality,
+    separators,
+    simhash,
+    tokenfiles,
+    toxicity,
+)
 from .shared import ship
 
 _QUERIES = [
+    separators.op1_separators,
+    gru.op2_gru,
     language.op3_language,
     packing.op4_packing,
     simhash.op5_simhash,
     quality.op6_quality,
     pivots.op7_pivots,
+    tokenfiles.op8_tokens,
     chunks.op9_chunks,
     toxicity.op10_toxicity,
 ]
