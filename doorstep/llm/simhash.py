@@ -25,6 +25,7 @@ table gives an empty result.  Extra columns are ignored.
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .shared import stored, widened
@@ -119,11 +120,9 @@ def links(distinct):
 
     Every pair at most two bits apart is either among them or joined by a path of them.
     """
-    variants = _variants(distinct)
-    shared = stored(
-        variants.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "simhash-keys"
-    )
-    held = stored(variants.join(shared, "key"), "simhash-held")
+    # one shuffle of the variants: each is counted where its holders lie together
+    holders = F.count("*").over(Window.partitionBy("key"))
+    held = stored(_variants(distinct).withColumn("n", holders).where("n > 1"), "simhash-held")
     few = held.where(F.col("n") <= CROWD)
     pairs = (
         few.select("key", F.col("fp").alias("a"))
