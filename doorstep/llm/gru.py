@@ -172,7 +172,9 @@ def prepare(docs, held_out):
     ready = by_part.groupBy("part").cogroup(texts.groupBy("of")).applyInArrow(
         _score_base(total, kinds, rare_total, rare_kinds), _DOCS
     )
-    frequencies = np.array([ends, rare_total] + [r.c for r in best], np.float64)
+    # the rare words' share of the base distribution, all of them together
+    rare = rare_total + 0.5 * rare_kinds
+    frequencies = np.array([ends, rare] + [r.c for r in best], np.float64)
     return stored(ready, "gru-docs"), total, kinds, frequencies
 
 
@@ -184,7 +186,7 @@ class Model:
 
     def __init__(self, frequencies):
         words = len(frequencies)
-        f = frequencies + 1.0
+        f = frequencies + 0.5
         rng = np.random.default_rng(5)
 
         def small(*shape):
@@ -201,9 +203,9 @@ class Model:
             "into": small(EMBED, 3 * HIDDEN),
             "back": small(HIDDEN, 3 * HIDDEN),
             "gate": np.zeros(3 * HIDDEN, np.float32),
-            "classes": small(HIDDEN, classes),
+            "classes": np.zeros((HIDDEN, classes), np.float32),  # at first, frequencies only
             "class_bias": np.log(mass / mass.sum()).astype(np.float32),
-            "words": small(words, HIDDEN),
+            "words": np.zeros((words, HIDDEN), np.float32),
             "word_bias": np.log(f / mass[self.class_of]).astype(np.float32),
         }
 
