@@ -107,7 +107,7 @@ class Parser:
             tables.append(table.astype(np.int32).ravel())
             self.roots.append(base)
             base += table.size
-        self.table = np.concatenate(tables)
+        self.table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
         self.bits = np.array([np.log2(max(len(t), 2)) for t in texts])
 
     def phrases(self, data, offsets):

@@ -172,7 +172,8 @@ def boost(x, y, directions, trees=TREES, depth=DEPTH):
     share = (y.sum() + 0.5) / (len(y) + 1)
     bias = float(np.log(share / (1 - share)))
     nodes, ends = 2**depth - 1, 2**depth
-    edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
+    grid = np.linspace(0, 1, BINS + 1)[1:-1]
+    edges = [np.unique(np.quantile(c, grid)) if len(c) else c for c in x.T]
     binned = np.stack([np.searchsorted(e, c, "left") for e, c in zip(edges, x.T)], 1)
     all_f, all_t, all_v = [], [], []
     margin = np.full(len(y), bias)
@@ -186,7 +187,8 @@ def boost(x, y, directions, trees=TREES, depth=DEPTH):
             low, high = bounds[node]
             mine = np.flatnonzero(where == node)
             g, h = grad[mine].sum(), hess[mine].sum()
-            value[node] = np.clip(g / (h + 1.0), low, high)
+            # a branch that nothing of the sample reaches answers as its parent does
+            value[node] = np.clip(g / (h + 1.0) if len(mine) else value[(node - 1) // 2], low, high)
             if node >= nodes:
                 continue
             best = (1e-6, 0, None, value[node], value[node])
@@ -218,14 +220,6 @@ def boost(x, y, directions, trees=TREES, depth=DEPTH):
             elif directions[j] < 0:
                 bounds[2 * node + 1], bounds[2 * node + 2] = (middle, high), (low, middle)
             where[mine] = 2 * node + 1 + (x[mine, j] > cut)
-        # a branch that nothing of the sample reaches answers as its parent does
-        reached = np.bincount(where, minlength=nodes + ends) > 0
-        for node in range(nodes, nodes + ends):
-            up = node
-            while not reached[node] and up and not (where_count(where, up, nodes)):
-                up = (up - 1) // 2
-            if not reached[node]:
-                value[node] = np.clip(value[up], *bounds[node])
         leaves = RATE * value[nodes:]
         margin += leaves[where - nodes]
         all_f.append(feature)
@@ -238,14 +232,6 @@ def boost(x, y, directions, trees=TREES, depth=DEPTH):
     )
 
 
-def where_count(where, node, nodes):
-    """How many rows ended in a leaf below ``node``."""
-    low = high = node
-    while low < nodes:
-        low, high = 2 * low + 1, 2 * high + 2
-    return int(((where >= low) & (where <= high)).sum())
-
-
 def with_statistics(docs):
     """``docs`` with the columns COUNTS and MORE of each whole text."""
     docs, schema = widened(docs, **dict.fromkeys(COUNTS + MORE, "long"))
