@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+import uuid
 from collections.abc import Callable
 from importlib.util import find_spec
 
@@ -25,6 +26,7 @@ from doorstep.operators import duplicates, quality, same_members
 from doorstep.plans import address_base as base_plan
 from doorstep.plans import elections, outcodes, reviews
 from doorstep.sources.stage import materialise
+from doorstep.sources.stage import folder as stage_folder
 from doorstep.sources.tables import spread
 from doorstep.streaming import triggers
 
@@ -246,6 +248,12 @@ def same_orders_by_part(spark, d):
     return same_members.same_members(rows, "part", "pair", "member", ["flag"])
 
 
+def same_members_crowded(spark, d):
+    """One member in every group, and all groups under one key."""
+    rows = _derive(spark, d, fx.CROWDED_GROUPS)
+    return same_members.same_members(rows, "part", "pair", "member", ["flag"])
+
+
 def change_scenario(spark, d):
     base = _stored_base(spark, d)
     return reviews.address_scenarios(base, _changes(spark, d)).select(
@@ -381,6 +389,17 @@ def lookup_batch(spark, d):
     )
 
 
+def stored_units(spark, d):
+    """The elections layer written as units of whole outcodes, and read back."""
+    path = f"{stage_folder(spark)}/doorstep-units-{uuid.uuid4().hex}"
+    layer = materialise(
+        elections.ballots_by_address(_base(spark, d), _ballots(spark, d)), "layer"
+    )
+    outcodes.write_outcodes(layer, path, "ballot_ids")
+    units = outcodes.read_outcodes(spark, path, layer.schema)
+    return units.select("unit", "outcode", "postcode", "uprn", _joined("ballot_ids"))
+
+
 def rebuild_requests(spark, d):
     requests = triggers.rebuild_requests(_derive(spark, d, fx.CHANGE_EVENTS))
     return requests.withColumn(
@@ -412,6 +431,7 @@ QUERIES = [
     same_boundary,
     same_name,
     same_orders_by_part,
+    same_members_crowded,
     change_scenario,
     change_details,
     review_rollup,
@@ -428,6 +448,7 @@ QUERIES = [
     stale_outcodes,
     stale_outcodes_null_source,
     lookup_batch,
+    stored_units,
     rebuild_requests,
     routed_events,
 ]
@@ -700,8 +721,9 @@ SELECT * REPLACE (CASE WHEN cast(uprn AS bigint) % 3 = 0 THEN 0.75 ELSE longitud
                 "spoiled": """
 SELECT uprn, CASE WHEN cast(uprn AS bigint) % 13 = 0 THEN replace(location, ' ', '; ') ELSE location END AS location FROM raw""",
             },
-            """SELECT uprn, location FROM spoiled
-WHERE cast(uprn AS bigint) % 13 = 0""",
+            r"""SELECT uprn, location FROM spoiled
+WHERE split_part(location, ';', 2) <> ''
+  AND NOT regexp_full_match(split_part(location, ';', 2), 'POINT\(\d\.\d{3} \d\.\d{3}\)')""",
         ),
         "first_letter_counts": _with(
             ADDRESSES, "SELECT first_letter, count(*) AS n_addresses FROM base GROUP BY 1"
@@ -769,6 +791,14 @@ FROM lineitem),
 a AS (SELECT flag, part, list(member ORDER BY member) AS members FROM rows_ GROUP BY ALL),
 b AS (SELECT flag, pair, list(member ORDER BY member) AS members FROM rows_ GROUP BY ALL)
 SELECT a.flag, a.part, b.pair FROM a JOIN b ON a.flag = b.flag AND a.members = b.members""",
+        "same_members_crowded": _with(
+            {"rows_": fx.CROWDED_GROUPS},
+            """
+SELECT a.flag, a.part, b.pair
+FROM (SELECT flag, part, list(member ORDER BY member) AS members FROM rows_ GROUP BY ALL) a
+JOIN (SELECT flag, pair, list(member ORDER BY member) AS members FROM rows_ GROUP BY ALL) b
+  ON a.flag = b.flag AND a.members = b.members""",
+        ),
         "change_scenario": _with(
             SAME, f"SELECT uprn, {slugs}, boundary_same, name_same, change_scenario FROM scenarios"
         ),
@@ -847,6 +877,13 @@ UNION ALL SELECT outcode, cast(cast(uprn AS bigint) + 1 AS varchar) FROM base"""
             """
 SELECT k.outcode, k.uprn, coalesce(l.ballot_ids, '') AS ballot_ids
 FROM asked k LEFT JOIN layer l ON l.uprn = k.uprn AND split_part(l.postcode, ' ', 1) = k.outcode""",
+        ),
+        "stored_units": _with(
+            BALLOT_LAYER,
+            """
+SELECT u.outcode AS unit, u.outcode, u.postcode, u.uprn, u.ballot_ids
+FROM (SELECT *, split_part(postcode, ' ', 1) AS outcode FROM layer) u
+WHERE u.outcode IN (SELECT split_part(postcode, ' ', 1) FROM layer WHERE ballot_ids <> '')""",
         ),
         "rebuild_requests": _with(
             EVENTS,

@@ -171,3 +171,12 @@ def spark_text(text):
 
 def ansi_text(text):
     return text.replace("{q}", '"')
+
+
+# Every group holds one common member, all groups stand under one key, and few are equal.
+CROWDED_GROUPS = """
+SELECT 'all' AS flag, concat('a', cast(o AS varchar(20))) AS part,
+       concat('b', cast(o - CASE WHEN o % 5 = 1 THEN 1 ELSE 0 END AS varchar(20))) AS pair, member
+FROM (SELECT l_orderkey AS o, cast(l_partkey AS varchar(20)) AS member FROM lineitem
+      UNION ALL SELECT DISTINCT l_orderkey, 'everyone' FROM lineitem) held
+"""

@@ -5,7 +5,6 @@ met by a segment carries just the segments near it, an outside cell is dropped.
 point has one cell, so it meets each polygon at most once and no duplicates arise.
 """
 
-import json
 from dataclasses import dataclass
 
 from pyspark.sql import functions as F
@@ -214,17 +213,11 @@ def _cells(polygons, size, level, wkt):
     """The cover under names apart from the points' cells.
 
     The pieces are few and their cells many, so the pieces are spread before cutting,
-    and the cells of a large cover once more.
+    and their cells once more, over as many tasks as their measured number asks for.
     """
-    cores = polygons.sparkSession.sparkContext.defaultParallelism
-    tasks = min(cores, 1 + size.pieces // PIECES_PER_TASK)
-    rows = size.rows(level)
-    cells = cover(
-        polygons.repartition(tasks),
-        level,
-        wkt,
-        tasks=min(cores, int(rows // CELLS_PER_TASK)) if rows > CELLS_PER_TASK else None,
-    )
+    tasks = 1 + size.pieces // PIECES_PER_TASK
+    cut = 1 + int(size.rows(level)) // CELLS_PER_TASK
+    cells = cover(polygons.repartition(tasks), level, wkt, tasks=cut)
     return cells.withColumnsRenamed({"_cx": "_pcx_r", "_cy": "_pcy_r"})
 
 
@@ -316,17 +309,3 @@ def contains_lists(
     return joined.select(
         *points.columns, F.expr(f"coalesce({found}, array())").alias(value)
     )
-
-
-def describe_cover(polygons, wkt="geometry", level=None):
-    """The chosen grid and its bounds, for logs and tests."""
-    size = measure_cover(polygons, wkt)
-    level = size.level() if level is None else level
-    return json.dumps(
-        {
-            "level": level,
-            "pieces": size.pieces,
-            "rows_bound": round(size.rows(level)),
-            "bytes_bound": round(size.bytes(level)),
-        }
-    )

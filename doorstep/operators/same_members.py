@@ -1,75 +1,108 @@
 """Which groups of two groupings hold exactly the same members."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+_SIGNATURE = ["_size", "_h1", "_h2"]
+
 
 def same_members(rows, first, second, member, within):
     """Pairs (``first``, ``second``) whose member multisets are equal, per ``within``.
 
-    Equal to comparing the two sorted member lists, without building one: a pair is
-    the same when each distinct member of either group occurs equally often in both.
-    Every member votes for its groups and for the pairs where its counts agree; a pair
-    with as many votes as both its groups is the same.
+    Equal to comparing the two sorted member lists, without building one.  A group is
+    summed up by its number of distinct members and two independent 64-bit hashes over
+    (member, how often); groups with the same sums form a class, and an equi-join of
+    the two groupings by class gives the pairs.
+
+    The classes are then confirmed by exact counts: all groups of a class are the same
+    if each (member, how often) of the class is in every one of them.  That takes one
+    row per group and member, however many pairs there are.  Should hashes have met by
+    chance, the groups of that class are compared member by member.
 
-    Repeats are counted before the first shuffle, so a member is left with at most one
-    entry per pair of groups.  A null member votes for no pair, so its groups are the
-    same as no other; groups without a name are left out.
+    A null member makes its groups the same as no other; groups without a name are
+    left out.
     """
     within = list(within)
-    by_pair = rows.groupBy(
-        *within,
-        F.col(member).alias("_member"),
-        F.col(first).alias("_f"),
-        F.col(second).alias("_s"),
-    ).agg(F.count(F.lit(1)).alias("_n"))
-    by_member = by_pair.groupBy(*within, "_member").agg(
-        F.collect_list(F.struct("_f", "_s", "_n")).alias("_entries")
-    )
+    held = [_members(rows, name, member, within) for name in (first, second)]
+    sums = [_sums(side, within) for side in held]
+    keys = [*within, *_SIGNATURE]
+    pairs = _join(_named(sums[0], "_f"), _named(sums[1], "_s"), keys)
 
-    def totals(field):
-        names = f"""array_distinct(transform(
-            filter(_entries, e -> e.{field} IS NOT NULL), e -> e.{field}))"""
-        count = f"""aggregate(
-            filter(_entries, e -> e.{field} = name), 0L, (sum, e) -> sum + e._n)"""
-        return f"transform({names}, name -> named_struct('name', name, 'n', {count}))"
-
-    # A vote for a single group has null in the other's place.
-    no_f, no_s = (
-        f"CAST(NULL AS {rows.schema[c].dataType.simpleString()})"
-        for c in (first, second)
+    # Only classes with a group on either side matter.
+    classes = pairs.select(*keys).distinct()
+    candidates = [_join(side, classes, keys) for side in sums]
+    groups = candidates[0].unionByName(candidates[1]).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_groups")
+    )
+    entries = [
+        _join(side, chosen, [*within, "_name"]).select(*keys, "_member", "_n")
+        for side, chosen in zip(held, candidates)
+    ]
+    tally = entries[0].unionByName(entries[1]).groupBy(*keys, "_member", "_n").agg(
+        F.count(F.lit(1)).alias("_held")
+    )
+    mixed = (
+        _join(tally, groups, keys).where(F.col("_held") != F.col("_groups"))
+        .select(*keys).distinct()
     )
-    votes = f"""explode(concat(
-        transform(_firsts, a -> named_struct('f', a.name, 's', {no_s})),
-        transform(_seconds, b -> named_struct('f', {no_f}, 's', b.name)),
-        flatten(transform(_firsts, a -> transform(
-            filter(_seconds, b -> b.n = a.n AND _member IS NOT NULL),
-            b -> named_struct('f', a.name, 's', b.name))))))"""
-    keys = [f"`{c}`" for c in within]
-    counted = (
-        by_member.selectExpr(
-            *keys, "_member", f"{totals('_f')} AS _firsts", f"{totals('_s')} AS _seconds"
+    confirmed = _join(pairs, mixed, keys, "left_anti")
+    suspects = [
+        _join(side, _join(chosen, mixed, keys), [*within, "_name"])
+        for side, chosen in zip(held, candidates)
+    ]
+    met = (
+        _join(
+            _named(suspects[0], "_f"), _named(suspects[1], "_s").drop(*_SIGNATURE),
+            [*within, "_member", "_n"],
         )
-        .selectExpr(*keys, f"{votes} AS _vote")
-        .groupBy(*within, "_vote.f", "_vote.s")
-        .agg(F.count(F.lit(1)).alias("_votes"))
+        .groupBy(*within, "_f", "_s", "_size").agg(F.count(F.lit(1)).alias("_met"))
+        .where(F.col("_met") == F.col("_size"))
     )
-    # From here on there is one row per group or pair of groups.
-    alone_f = F.sum(F.when(F.col("s").isNull(), F.col("_votes")))
-    alone_s = F.sum(F.when(F.col("f").isNull(), F.col("_votes")))
+    # groups that met are equal if the second has no further member
+    settled = _join(pairs, met.select(*within, "_f", "_s"), [*within, "_f", "_s"])
+    return (
+        confirmed.select(*within, "_f", "_s")
+        .unionByName(settled.select(*within, "_f", "_s"))
+        .withColumnsRenamed({"_f": first, "_s": second})
+    )
+
+
+def _members(rows, name, member, within):
+    """How often each member is in each group."""
     return (
-        counted.withColumn("_size_f", alone_f.over(Window.partitionBy(*within, "f")))
-        .withColumn("_size_s", alone_s.over(Window.partitionBy(*within, "s")))
-        .where(
-            F.col("f").isNotNull()
-            & F.col("s").isNotNull()
-            & (F.col("_votes") == F.col("_size_f"))
-            & (F.col("_votes") == F.col("_size_s"))
+        rows.where(F.col(name).isNotNull())
+        .groupBy(*within, F.col(name).alias("_name"), F.col(member).alias("_member"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+
+
+def _sums(held, within):
+    """One row per group without a missing member: its size and hashes."""
+    return (
+        held.groupBy(*within, "_name")
+        .agg(
+            F.count(F.lit(1)).alias("_size"),
+            F.bit_xor(F.xxhash64("_member", "_n")).alias("_h1"),
+            F.bit_xor(F.xxhash64(F.lit("again"), "_n", "_member")).alias("_h2"),
+            F.bool_or(F.col("_member").isNull()).alias("_missing"),
         )
-        .select(*within, F.col("f").alias(first), F.col("s").alias(second))
+        .where(~F.col("_missing"))
+        .drop("_missing")
     )
 
 
+def _named(df, name):
+    return df.withColumnRenamed("_name", name)
+
+
+def _join(left, right, keys, how="inner"):
+    """Equi-join on columns of the same names, a null equal to a null."""
+    theirs = right.withColumnsRenamed({k: f"_r{k}" for k in keys})
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_r{k}"))
+    return left.join(theirs, condition, how).drop(*[f"_r{k}" for k in keys])
+
+
 def same_member_lists(rows, first, second, member, within):
     """The same question by comparing whole sorted lists; for checking small inputs."""
     within = list(within)

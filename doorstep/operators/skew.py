@@ -2,10 +2,9 @@
 
 from pyspark.sql import functions as F
 
-# At most this many keys can each hold 1/HOT_KEYS of the rows, so the list of hot
-# keys has a fixed bound whatever the data.
-HOT_KEYS = 64
-TRACKED_KEYS = 8192
+# Counters of the sketch per key that it looks for.
+TRACKED_PER_KEY = 64
+TRACKED_MOST = 1_000_000
 
 BROADCAST_BYTES = 64 << 20
 
@@ -14,13 +13,22 @@ def _key_hash(columns):
     return F.xxhash64(*columns)
 
 
-def hot_keys(df, columns):
-    """{key hash: share of rows} for keys holding at least 1/64 of ``df``.
+def _partitions(df):
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
+
+
+def hot_keys(df, columns, partitions=None):
+    """{key hash: share of rows} for keys that alone would fill a shuffle partition.
+
+    With ``partitions`` shuffle partitions these are the keys with at least that part of
+    the rows, so there are no more of them than partitions.
 
     One pass with a fixed-size sketch per task and one row back.  A missed or extra
     key changes only the balance of a join, never its result.  Also returns the share
     of rows with a null among ``columns``.
     """
+    partitions = partitions or _partitions(df)
+    tracked = min(max(partitions * TRACKED_PER_KEY, 4096), TRACKED_MOST)
     names = [F.col(c) for c in columns]
     any_null = F.lit(False)
     for name in names:
@@ -30,7 +38,7 @@ def hot_keys(df, columns):
         .agg(
             F.expr(
                 f"approx_top_k(CASE WHEN NOT _null THEN _hash END,"
-                f" {HOT_KEYS}, {TRACKED_KEYS})"
+                f" {partitions}, {tracked})"
             ).alias("top"),
             F.count(F.lit(1)).alias("n"),
             F.count_if("_null").alias("nulls"),
@@ -41,7 +49,7 @@ def hot_keys(df, columns):
     hot = {
         item["item"]: item["count"] / total
         for item in (row["top"] or [])
-        if item["item"] is not None and item["count"] * HOT_KEYS >= total
+        if item["item"] is not None and item["count"] * partitions >= total
     }
     return hot, (row["nulls"] / total if total else 0.0)
 
@@ -86,17 +94,17 @@ def salted_join(left, right, keys, how="left", extra=None):
     # The hash depends on the type, so both sides hash a key as the left side's type.
     kinds = [left.schema[a].dataType for a in left_keys]
     right_keys = [F.col(b).cast(t) for (_, b), t in zip(keys, kinds)]
-    hot, null_share = hot_keys(left, left_keys)
+    partitions = _partitions(left)
+    hot, null_share = hot_keys(left, left_keys, partitions)
 
     condition = F.lit(True)
     for a, b in keys:
         condition = condition & (F.col(a) == F.col(b))
     if extra is not None:
         condition = condition & extra
-    if not hot and null_share * HOT_KEYS < 1:
+    if not hot and null_share * partitions < 1:
         return left.join(right, condition, how)
 
-    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = {h: max(2, round(2 * share * partitions)) for h, share in hot.items()}
 
     def salts(columns):

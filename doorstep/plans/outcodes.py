@@ -1,6 +1,7 @@
 """Per-outcode units of a finished layer, the index of outcodes, and lookups."""
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -8,9 +9,12 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions.text import has_value, outcode
 from ..operators.duplicates import resolve_duplicates
 from ..operators.skew import lookup_join, salted_join
+from ..sources.files import delete_file
+from ..sources.stage import materialise
 
 ROWS_PER_FILE = 4_000_000
-PRUNED_OUTCODES = 1000
+UNIT = "unit"
+DELETERS = 32
 
 
 def with_outcode(layer):
@@ -36,56 +40,69 @@ def index_path(path):
 
 
 def write_outcodes(
-    layer, path, column, rows_per_file=ROWS_PER_FILE, refresh=False, **duplicates
+    layer, path, column, rows_per_file=ROWS_PER_FILE, refresh=False, unique=False,
+    **duplicates,
 ):
     """Write one sorted unit per outcode that has data, and the index of all outcodes.
 
-    Rows are split by ranges of (outcode, postcode, uprn): an outcode holding much of
-    the table becomes several files that are each sorted and follow one another, a
-    small one is a single file.  Repeated rows are resolved first.  ``layer`` is read
-    several times and should be a stored table.
+    An outcode of up to ``rows_per_file`` rows is one file, in order of postcode and
+    uprn.  A larger one is split by ranges of (postcode, uprn) into files that are each
+    sorted and follow one another.  A unit is a folder named by its outcode, the
+    default one for a missing outcode, and its files hold the outcode as well.
 
-    A full build replaces everything below ``path``.  With ``refresh`` only the units
-    written are replaced, and units that are no longer due are then removed.
+    Repeated rows are resolved first, unless the caller knows that keys are ``unique``.
+    ``layer`` is read several times and should be a stored table.  A full build replaces
+    everything below ``path``.  With ``refresh`` only the units written are replaced,
+    and units that are no longer due are then removed.  The index follows the units.
     """
     spark = layer.sparkSession
-    rows = with_outcode(resolve_duplicates(layer, **duplicates))
-    outcode_index(rows, column).write.mode("overwrite").parquet(index_path(path))
-    index = read_index(spark, path)
-    units, total = index.where("has_data").agg(
-        F.count(F.lit(1)), F.coalesce(F.sum("n_addresses"), F.lit(0))
-    ).first()
-    # Enough ranges for the file size, and for all cores when there are enough units.
-    cores = spark.sparkContext.defaultParallelism
-    ranges = max(1, math.ceil(total / rows_per_file), min(cores, units))
-
-    # The default partition stands for a missing outcode; as '' it sorts like others.
+    if not unique:
+        layer = resolve_duplicates(layer, **duplicates)
+    rows = with_outcode(layer)
+    index = materialise(outcode_index(rows, column), "index")
     filled = F.coalesce("outcode", F.lit(""))
-    with_data = index.where("has_data").select(filled.alias("_outcode")).distinct()
-    kept = lookup_join(
-        rows.withColumn("outcode", filled), with_data, [("outcode", "_outcode")],
-        "left_semi",
+    due = (
+        index.where("has_data").groupBy(filled.alias("_unit"))
+        .agg(F.sum("n_addresses").alias("_rows"))
     )
-    order = ["outcode", "postcode", "uprn"]
+    small, large = due.where(F.col("_rows") <= rows_per_file), due.where(F.col("_rows") > rows_per_file)
+    few, total, many, rest = due.agg(
+        F.count_if(F.col("_rows") <= rows_per_file),
+        F.sum(F.when(F.col("_rows") <= rows_per_file, F.col("_rows"))),
+        F.count_if(F.col("_rows") > rows_per_file),
+        F.sum(F.when(F.col("_rows") > rows_per_file, F.col("_rows"))),
+    ).first()
+    named = rows.withColumn(UNIT, filled)
+    order = [UNIT, "postcode", "uprn"]
+
+    def of(units):
+        return lookup_join(named, units.select("_unit"), [(UNIT, "_unit")], "left_semi")
+
+    # A unit that fits a file lies whole in one partition, whichever that is.
+    cores = spark.sparkContext.defaultParallelism
+    tasks = max(1, math.ceil((total or 0) / rows_per_file), min(cores, few))
+    written = of(small).repartition(tasks, UNIT).sortWithinPartitions(*order)
+    if many:
+        ranges = math.ceil(rest / rows_per_file) + many
+        split = of(large).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+        written = written.unionByName(split)
     (
-        kept.repartitionByRange(ranges, *order)
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
+        written.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if refresh else "static")
         .option("compression", "snappy")
-        .partitionBy("outcode")
+        .partitionBy(UNIT)
         .parquet(path)
     )
     if refresh:
-        due = index.where("has_data").select(F.col("outcode").alias("postcode"))
-        remove_stale_outcodes(spark, path, due)
-    return index
+        _remove_units(spark, path, due.select(F.col("_unit").alias("_have")))
+    index.write.mode("overwrite").parquet(index_path(path))
+    return read_index(spark, path)
 
 
 def read_outcodes(spark, path, schema):
-    """``schema`` is the layer's, without its outcode."""
-    with_unit = StructType([*schema.fields, StructField("outcode", StringType())])
-    return spark.read.schema(with_unit).parquet(path)
+    """``schema`` is the layer's, without its outcode.  ``unit`` is the folder's name."""
+    more = [StructField("outcode", StringType()), StructField(UNIT, StringType())]
+    return spark.read.schema(StructType([*schema.fields, *more])).parquet(path)
 
 
 def read_index(spark, path):
@@ -112,36 +129,48 @@ def stale_outcodes(target, source):
     )
 
 
+def _remove_units(spark, path, have):
+    """Delete the units not among ``have`` (one column, '' for the default unit).
+
+    Spark lists the files and their units; a pool of threads deletes them as they
+    come.  Returns the units' names.
+    """
+    listed = (
+        spark.read.schema(f"path string, modificationTime timestamp, length long, content binary, {UNIT} string")
+        .format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+        .select("path", F.coalesce(UNIT, F.lit("")).alias(UNIT))
+    )
+    stale = listed.join(have, F.col(UNIT) == F.col(have.columns[0]), "left_anti")
+    removed = set()
+    with ThreadPoolExecutor(DELETERS) as pool:
+        for row in stale.toLocalIterator():
+            removed.add(row[UNIT])
+            pool.submit(delete_file, row["path"])
+    return sorted(removed)
+
+
 def remove_stale_outcodes(spark, path, source):
     """Delete the units whose outcode ``source`` lacks; returns those outcodes.
 
-    Exactly the folder of each outcode goes, not every name beginning with it.  Rows
-    of ``source`` without a postcode do not block the removal here.
+    Exactly the files of each outcode go, not those of every name beginning with it.
+    Rows of ``source`` without a postcode do not block the removal here; the default
+    unit, of addresses without an outcode, goes when there are no such rows.
     """
-    units = spark.read.parquet(path).select(F.col("outcode").cast("string"))
-    stale = stale_outcodes(
-        units.where(F.col("outcode").isNotNull()),
-        source.where(F.col("postcode").isNotNull()),
-    )
-    jvm = spark._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    removed = [row["outcode"] for row in stale.toLocalIterator()]
-    for value in removed:
-        folder = names.getPartitionPathString("outcode", value)
-        unit = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{folder}")
-        unit.getFileSystem(conf).delete(unit, True)
-    return removed
+    have = source.select(F.coalesce(outcode(F.col("postcode")), F.lit("")).alias("_have"))
+    return _remove_units(spark, path, have.distinct())
 
 
 def lookup(layer, keys, column):
     """The list in ``column`` for each (outcode, uprn) of ``keys``, [] when unknown.
 
-    A request naming few outcodes reads only their folders.
+    Only the folders of the outcodes asked for are read from stored units: the layer
+    is first cut to them by a semi join on the folders' column, which prunes at run
+    time.  A layer that is not stored as units has no such column and is not cut.
     """
-    few = keys.select("outcode").distinct().limit(PRUNED_OUTCODES + 1).collect()
-    if len(few) <= PRUNED_OUTCODES:
-        layer = layer.where(F.col("outcode").isin([row["outcode"] for row in few]))
+    if UNIT in layer.columns:
+        asked = keys.select(F.col("outcode").alias("_asked")).where("_asked > ''").distinct()
+        cut = lookup_join(layer, asked, [(UNIT, "_asked")], "left_semi")
+        layer = cut.unionByName(layer.where(F.col(UNIT).isNull()))
     found = layer.select(
         F.col("outcode").alias("_outcode"), F.col("uprn").alias("_uprn"), column
     )

@@ -34,9 +34,6 @@ REVIEW_KEYS = [
     "organisation_gss",
 ]
 
-# More rows than this under one uprn are counted before they are gathered.
-GATHER_LIMIT = 10_000
-
 PAIR = ["boundary_review_id", "division_type"]
 SLUGS = ["old_division_slug", "new_division_slug"]
 ADDRESS = ["uprn", "address", "postcode", "addressbase_source"]
@@ -181,11 +178,6 @@ def boundary_changes(
     )
 
 
-def export_order(changes):
-    """Newest review first, then by organisation."""
-    return changes.orderBy(F.desc("review_created"), F.asc("organisation_name"))
-
-
 def review_pairs(changes):
     """The (review, division type) pairs there are, in order."""
     return changes.select(*PAIR).distinct().orderBy(*PAIR)
@@ -333,13 +325,13 @@ def details_json(details, keys):
     )
 
 
-def review_lists(changes, gather_limit=GATHER_LIMIT):
+def review_lists(changes):
     """Per uprn the JSON texts of its reviews, ordered by review id.
 
-    The rows of a uprn are gathered once and nested inside the row.  A uprn has a
-    handful of them, as the address base is gated on unique uprns; should one have
-    very many, being repeated, its copies are counted before they are gathered and
-    put back at the end.  Rows without a uprn belong to no address and are left out.
+    Equal rows of a uprn are counted before they are gathered, so that what is
+    shuffled and nested inside the row are its distinct entries, of which there are as
+    many as divisions it lies in; repeats are put back at the end.  Rows without a uprn
+    belong to no address and are left out.
     """
     named = changes.where(F.col("uprn").isNotNull())
     entries = named.select(
@@ -350,24 +342,16 @@ def review_lists(changes, gather_limit=GATHER_LIMIT):
         details_json(F.col("boundary_review_details"), REVIEW_KEYS).alias("about"),
     )
     fields = ["review", "type", "change", "about"]
-    most = named.groupBy("uprn").count().agg(F.max("count")).first()[0] or 0
-    if most <= gather_limit:
-        gathered = entries.groupBy("uprn").agg(
-            F.array_sort(F.collect_list(F.struct(*fields))).alias("_entries")
-        )
-    else:
-        counted = entries.groupBy("uprn", *fields).agg(F.count(F.lit(1)).alias("n"))
-        distinct = F.array_sort(F.collect_list(F.struct(*fields, "n")))
-        gathered = counted.groupBy("uprn").agg(
-            F.flatten(
-                F.transform(distinct, lambda e: F.array_repeat(e, e["n"].cast("int")))
-            ).alias("_entries")
-        )
+    counted = entries.groupBy("uprn", *fields).agg(F.count(F.lit(1)).alias("n"))
+    gathered = counted.groupBy("uprn").agg(
+        F.array_sort(F.collect_list(F.struct(*fields, "n"))).alias("_entries")
+    )
 
     def review_json(review):
         mine = F.filter("_entries", lambda e: e["review"] == review)
         about = F.array_min(F.transform(mine, lambda e: e["about"]))
-        listed = F.array_join(F.transform(mine, lambda e: e["change"]), ",")
+        repeated = F.transform(mine, lambda e: F.array_repeat(e["change"], e["n"].cast("int")))
+        listed = F.array_join(F.flatten(repeated), ",")
         return F.concat(
             F.lit('{"boundary_review_id":'),
             review.cast("string"),

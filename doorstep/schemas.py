@@ -70,12 +70,6 @@ REVIEWS_BY_ADDRESS = _table(
     *_strings("first_letter"),
 )
 
-OUTCODE_INDEX = _table(
-    ("outcode", StringType()),
-    ("n_addresses", LongType()),
-    ("has_data", BooleanType()),
-)
-
 CHANGE_EVENTS = _table(
     ("event_id", LongType()),
     ("ts", TimestampType()),

@@ -24,11 +24,3 @@ def build_session(app_name="doorstep", master=None, **extra):
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
-
-def ensure_checkpoint_dir(spark, fallback):
-    """The cluster's shared checkpoint folder; ``fallback`` only where none is set."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
-        spark.sparkContext.setCheckpointDir(fallback)
-        return fallback
-    return configured

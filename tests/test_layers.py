@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,8 +57,36 @@ def test_all_three_layers(spark, folder):
     assert reviewed.where(F.size("boundary_reviews") > 0).count() > 0
 
 
-def test_a_repeated_uprn_fails_the_gate(spark, folder):
+def test_a_refused_build_leaves_the_former_tables(spark, folder):
     raw = entry._raw(spark, SF)
-    tables.write_raw_addresses(raw.unionAll(raw.limit(1)), f"{folder}/raw")
+    raw_path, out = f"{folder}/raw", f"{folder}/out"
+    tables.write_raw_addresses(raw, raw_path)
+    base = layers.bake_address_base(spark, raw_path, out)
+    derive = lambda text: entry._derive(spark, SF, text)
+    sources = [derive(t) for t in (fx.ELECTIONS, fx.DIVISION_PIECES, fx.ORGANISATION_PIECES)]
+    layers.bake_current_elections(spark, raw_path, base, *sources, out, entry.AS_OF)
+    units = lambda: outcodes.read_outcodes(spark, f"{out}/current_elections", schemas.BALLOTS_BY_ADDRESS)
+    before = base.count(), rows_of(units().select("uprn", "outcode"))
+    listed = sorted(os.listdir(out))
+
+    tables.write_raw_addresses(raw.unionAll(raw.limit(1)), f"{folder}/repeated")
     with pytest.raises(LayerCheckFailed):
+        layers.bake_address_base(spark, f"{folder}/repeated", out)
+    tables.write_raw_addresses(raw.limit(50), f"{folder}/fewer")
+    with pytest.raises(LayerCheckFailed):  # addresses that the raw file lacks
+        layers.bake_current_elections(spark, f"{folder}/fewer", base, *sources, out, entry.AS_OF)
+    again = tables.read_by_letter(spark, f"{out}/address_base", schemas.ADDRESS_BASE)
+    assert (again.count(), rows_of(units().select("uprn", "outcode"))) == before
+    assert sorted(os.listdir(out)) == listed
+
+
+def test_locations_that_are_no_point(spark, folder, caplog):
+    rows = [("1", "x", "A1 1AA", "SRID=4326;POINT(1 2)", "t"), ("2", "x", "A1 1AA", "POINT(x 2)", "t"),
+            ("3", "x", "A1 1AA", "SRID=4326;GARBAGE", "t"), ("4", "x", "A1 1AA", None, "t")]
+    tables.write_raw_addresses(spark.createDataFrame(rows, schemas.RAW_ADDRESSES), f"{folder}/raw")
+    with pytest.raises(layers.RejectedLocations):
         layers.bake_address_base(spark, f"{folder}/raw", f"{folder}/out")
+    assert not os.path.exists(f"{folder}/out/address_base")
+    base = layers.bake_address_base(spark, f"{folder}/raw", f"{folder}/out", allow_rejected=True)
+    assert base.where("longitude IS NOT NULL").count() == 1
+    assert "1 addresses have a location that is not a point" in caplog.text

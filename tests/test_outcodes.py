@@ -19,29 +19,27 @@ def layer(spark, rows):
 
 def units(path):
     return sorted(
-        os.path.basename(p).split("=")[1] for p in glob.glob(f"{path}/outcode=*")
+        os.path.basename(p).split("=")[1] for p in glob.glob(f"{path}/unit=*")
     )
 
 
 def unit_rows(path, outcode):
     """The rows of a unit, its files in name order."""
     out = []
-    for name in sorted(glob.glob(f"{path}/outcode={outcode}/*.parquet")):
+    for name in sorted(glob.glob(f"{path}/unit={outcode}/*.parquet")):
         out += pq.ParquetFile(name).read().to_pylist()
     return out
 
 
 def test_unit_is_sorted(spark, folder):
-    rows = [
-        ("4", "AA1 1BB", ["b2"]), ("3", "AA1 1BB", ["b3"]),
-        ("1", "AA1 1AA", ["b2"]), ("2", "AA1 1AA", ["b3"]),
-    ]
     rows = [("4", "AA1 1BB", []), ("3", "AA1 1BB", ["b1"]), ("1", "AA1 1AA", ["b2"]), ("2", "AA1 1AA", ["b3"])]
     path = f"{folder}/units"
     outcodes.write_outcodes(layer(spark, rows), path, "ballot_ids")
     found = unit_rows(path, "AA1")
     assert [r["uprn"] for r in found] == ["1", "2", "3", "4"]
     assert [r["ballot_ids"] for r in found] == [["b2"], ["b3"], ["b1"], []]
+    assert [r["postcode"] for r in found] == ["AA1 1AA", "AA1 1AA", "AA1 1BB", "AA1 1BB"]
+    assert {r["outcode"] for r in found} == {"AA1"}
 
 
 def test_outcode_without_data_has_no_unit_but_an_index_row(spark, folder):
@@ -67,7 +65,7 @@ def test_large_outcode_becomes_several_files_in_order(spark, folder):
     rows += [(f"z{i}", f"BB{i} 1AA", ["b"]) for i in range(20)]
     path = f"{folder}/units"
     outcodes.write_outcodes(layer(spark, rows), path, "ballot_ids", rows_per_file=300)
-    assert len(glob.glob(f"{path}/outcode=AA1/*.parquet")) > 3
+    assert len(glob.glob(f"{path}/unit=AA1/*.parquet")) > 3
     found = [(r["postcode"], r["uprn"]) for r in unit_rows(path, "AA1")]
     assert found == sorted((p, u) for u, p, _ in rows if p.startswith("AA1"))
     assert len(units(path)) == 21
@@ -79,10 +77,38 @@ def test_refresh_replaces_and_removes_units(spark, folder):
     outcodes.write_outcodes(layer(spark, old), path, "ballot_ids")
     new = [("2", "A11 1AA", ["c"]), ("3", "C1 1AA", []), ("4", "D1 1AA", ["b"])]
     outcodes.write_outcodes(layer(spark, new), path, "ballot_ids", refresh=True)
-    assert units(path) == ["A11", "D1"]
+    left = outcodes.read_outcodes(spark, path, layer(spark, []).schema)
+    assert rows_of(left.select("uprn", "ballot_ids")) == [("2", ["c"]), ("4", ["b"])]
     assert unit_rows(path, "A11")[0]["ballot_ids"] == ["c"]
 
 
+def test_refresh_removes_the_default_unit(spark, folder):
+    path = f"{folder}/units"
+    old = [("1", "A1 1AA", ["b"]), ("8", "", ["b"]), ("9", None, ["b"])]
+    outcodes.write_outcodes(layer(spark, old), path, "ballot_ids")
+    read = lambda: outcodes.read_outcodes(spark, path, layer(spark, []).schema)
+    assert rows_of(read().select("uprn", "outcode")) == sorted([("1", "A1"), ("8", ""), ("9", None)], key=repr)
+    keys = spark.createDataFrame([("", "8"), (None, "9"), ("A1", "1")], "outcode string, uprn string")
+    found = {r.uprn: r.ballot_ids for r in outcodes.lookup(read(), keys, "ballot_ids").collect()}
+    assert found == {"8": ["b"], "9": [], "1": ["b"]}
+    outcodes.write_outcodes(layer(spark, old[:1]), path, "ballot_ids", refresh=True)
+    assert rows_of(read().select("uprn", "outcode")) == [("1", "A1")]
+
+
+def test_small_outcodes_are_one_file_each(spark, folder):
+    rows = [(f"{o}-{i}", f"U{o} {i:03d}", ["b"]) for o in range(40) for i in range(50)]
+    path = f"{folder}/units"
+    outcodes.write_outcodes(layer(spark, rows).repartition(7), path, "ballot_ids", rows_per_file=500)
+    assert len(units(path)) == 40
+    for o in range(40):
+        assert len(glob.glob(f"{path}/unit=U{o}/*.parquet")) == 1
+        found = unit_rows(path, f"U{o}")
+        assert found == [
+            {"uprn": f"{o}-{i}", "postcode": f"U{o} {i:03d}", "ballot_ids": ["b"], "outcode": f"U{o}"}
+            for i in range(50)
+        ]
+
+
 def outcode_frame(spark, values):
     return spark.createDataFrame([(v,) for v in values], "outcode string")
 
@@ -113,8 +139,9 @@ def test_remove_stale_takes_exact_outcodes(spark, folder):
     removed = outcodes.remove_stale_outcodes(
         spark, path, postcode_frame(spark, ["A11 9ZZ", None])
     )
-    assert sorted(removed) == ["A1", "Q/1"]
-    assert units(path) == ["A11"]
+    assert removed == ["A1", "Q/1"]
+    left = outcodes.read_outcodes(spark, path, layer(spark, []).schema)
+    assert rows_of(left.select("uprn", "outcode")) == [("2", "A11")]
 
 
 def test_lookup(spark, folder):
@@ -133,12 +160,15 @@ def test_lookup(spark, folder):
     ], key=repr)
 
 
-def test_lookup_prunes_folders(spark, folder):
+@pytest.mark.parametrize("asked", [1, 1500])
+def test_lookup_prunes_folders(spark, folder, asked):
     path = f"{folder}/units"
     outcodes.write_outcodes(
         layer(spark, [(str(i), f"A{i} 1AA", ["b"]) for i in range(8)]), path, "ballot_ids"
     )
     stored = outcodes.read_outcodes(spark, path, layer(spark, []).schema)
-    keys = spark.createDataFrame([("A3", "3")], "outcode string, uprn string")
+    keys = spark.createDataFrame(
+        [("A3", "3")] + [(f"X{i}", "1") for i in range(asked - 1)], "outcode string, uprn string"
+    )
     plan = outcodes.lookup(stored, keys, "ballot_ids")._jdf.queryExecution().executedPlan().toString()
-    assert "A3" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert "dynamicpruning" in plan

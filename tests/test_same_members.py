@@ -54,3 +54,43 @@ def test_groups_stay_apart(spark):
         [(1, "a", "b", "u1"), (2, "a", "c", "u1"), (2, "a", "b", "u2")], SCHEMA
     )
     assert rows_of(same_members(df, "a", "b", "u", ["g"])) == [(1, "a", "b")]
+
+
+def crowded(spark):
+    """One member in many groups, and many groups of the same members under one key."""
+    rows = [(1, f"a{i}", f"b{i}", "everyone") for i in range(40)]
+    rows += [(1, f"a{i}", f"b{i}", f"own{i % 5}") for i in range(40)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_crowded_groups(spark):
+    df = crowded(spark)
+    got = same_members(df, "a", "b", "u", ["g"])
+    assert rows_of(got) == rows_of(same_member_lists(df, "a", "b", "u", ["g"]))
+    assert got.count() == 40 * 8
+
+
+def test_no_window_and_no_lists(spark):
+    plan = same_members(crowded(spark), "a", "b", "u", ["g"])._jdf.queryExecution().toString()
+    assert "Window" not in plan and "collect_list" not in plan
+
+
+def test_equal_hashes_are_compared_member_by_member(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from doorstep.operators import same_members as module
+
+    whole = module._sums
+    monkeypatch.setattr(
+        module, "_sums", lambda held, within: whole(held, within).withColumns({"_h1": F.lit(0), "_h2": F.lit(0)})
+    )
+    rng = random.Random(9)
+    rows = [(g, f"d{rng.randrange(4)}", f"d{rng.randrange(4)}", f"u{i}") for g in range(12) for i in range(5)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = rows_of(same_members(df, "a", "b", "u", ["g"]))
+    assert got == rows_of(same_member_lists(df, "a", "b", "u", ["g"])) and got
+
+
+def test_missing_keys_meet(spark):
+    df = spark.createDataFrame([(None, "a", "b", "u1")], SCHEMA)
+    assert rows_of(same_members(df, "a", "b", "u", ["g"])) == [(None, "a", "b")]
