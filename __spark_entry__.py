@@ -213,7 +213,7 @@ def review_pairs(spark, d):
 
 
 def _divided(spark, d):
-    return reviews.address_divisions(_stored_base(spark, d), _changes(spark, d))
+    return reviews.address_divisions(_base(spark, d), _changes(spark, d))
 
 
 def address_in_old_and_new(spark, d):
@@ -255,20 +255,27 @@ def same_members_crowded(spark, d):
 
 
 def change_scenario(spark, d):
-    base = _stored_base(spark, d)
-    return reviews.address_scenarios(base, _changes(spark, d)).select(
+    return reviews.address_scenarios(_base(spark, d), _changes(spark, d)).select(
         "uprn", *reviews.PAIR, *reviews.SLUGS, "boundary_same", "name_same",
         "change_scenario",
     )
 
 
-def _address_changes(spark, d, base=None):
-    base = base or _stored_base(spark, d)
-    return reviews.address_changes(base, _changes(spark, d))
+def _address_changes(spark, d, base=None, **options):
+    base = base or _base(spark, d)
+    return reviews.address_changes(base, _changes(spark, d), **options)
 
 
 def change_details(spark, d):
-    found = _address_changes(spark, d)
+    return _details(_address_changes(spark, d))
+
+
+def change_details_shuffled(spark, d):
+    """Beyond every broadcast bound: both spatial joins and all look-ups are shuffled."""
+    return _details(_address_changes(spark, d, broadcast_bytes=0))
+
+
+def _details(found):
     return found.select(
         "uprn", "division_type", "boundary_review_id",
         reviews.details_json(
@@ -286,15 +293,20 @@ def review_rollup(spark, d):
     )
 
 
-def reviews_by_address(spark, d):
+def reviews_by_address(spark, d, **options):
     base = _stored_base(spark, d)
-    found = reviews.reviews_by_address(base, _address_changes(spark, d, base))
+    changes = _address_changes(spark, d, base, **options)
+    found = reviews.reviews_by_address(base, changes, **options)
     return found.select(
         "uprn", "address", "postcode", "addressbase_source", "first_letter",
         _joined("boundary_reviews"),
     )
 
 
+def reviews_by_address_shuffled(spark, d):
+    return reviews_by_address(spark, d, broadcast_bytes=0)
+
+
 def _counts_only(check):
     return check.drop("source_uprn_checksum", "target_uprn_checksum")
 
@@ -434,8 +446,10 @@ QUERIES = [
     same_members_crowded,
     change_scenario,
     change_details,
+    change_details_shuffled,
     review_rollup,
     reviews_by_address,
+    reviews_by_address_shuffled,
     key_set_match,
     key_set_mismatch,
     single_source,
@@ -811,6 +825,14 @@ SELECT a.uprn, a.address, a.postcode, a.addressbase_source, a.first_letter,
        coalesce(r.boundary_reviews, '') AS boundary_reviews
 FROM base a LEFT JOIN rollup r ON r.uprn = a.uprn""",
         ),
+        "reviews_by_address_shuffled": _with(
+            ROLLUP,
+            """
+SELECT a.uprn, a.address, a.postcode, a.addressbase_source, a.first_letter,
+       coalesce(r.boundary_reviews, '') AS boundary_reviews
+FROM base a LEFT JOIN rollup r ON r.uprn = a.uprn""",
+        ),
+        "change_details_shuffled": _with(CHANGED, "SELECT * FROM changed"),
         "key_set_match": _with(ADDRESSES, _key_sets("base")),
         "key_set_mismatch": _with(
             {

@@ -8,7 +8,8 @@ from ..operators.contains import (
     contains_lists,
     measure_cover,
 )
-from ..operators.skew import lookup_join, salted_join
+from ..operators.skew import lookup_join
+from ..sources.stage import materialise
 
 # Fixed values of source_table.
 ORGANISATION = "Organisation"
@@ -55,9 +56,12 @@ def current_ballots(elections, division_pieces, organisation_pieces, as_of=None)
         F.col("organisation_geography_id").alias("_organisation_key"),
         F.col("geography").alias("_organisation_text"),
     )
-    placed = salted_join(kept, divisions, [("division_geography_id", "_division_key")])
-    placed = salted_join(
-        placed, organisations, [("organisation_geography_id", "_organisation_key")]
+    # Plain joins: where a key or a null holds much of the elections, adaptive execution
+    # splits it, and nothing has to be run beforehand to find it.
+    placed = kept.join(
+        divisions, F.col("division_geography_id") == F.col("_division_key"), "left"
+    ).join(
+        organisations, F.col("organisation_geography_id") == F.col("_organisation_key"), "left"
     )
     return placed.select(
         "election_id",
@@ -89,7 +93,11 @@ def ballot_areas(ballots):
 
 def ballots_at(points, ballots, level=None, broadcast_bytes=BROADCAST_BYTES):
     """Each point once per area it lies in, with that area's ballots (null if none)."""
-    areas = ballot_areas(ballots)
+    return _areas_at(points, materialise(ballot_areas(ballots), "areas"), level, broadcast_bytes)
+
+
+def _areas_at(points, areas, level, broadcast_bytes):
+    """As ``ballots_at``, from stored areas: they are measured, cut and listed."""
     options = {"how": "left", "level": level, "broadcast_bytes": broadcast_bytes}
 
     whole = areas.select("election_ids", "geometry")
@@ -99,7 +107,8 @@ def ballots_at(points, ballots, level=None, broadcast_bytes=BROADCAST_BYTES):
         return contains_join(points, whole, size=size, **options)
 
     # The cover repeats its columns per cell: a large one carries the area's key alone.
-    matched = contains_join(points, areas.select("area", "geometry"), **options)
+    keyed = areas.select("area", "geometry")
+    matched = contains_join(points, keyed, size=measure_cover(keyed), **options)
     lists = areas.select(F.col("area").alias("_area"), "election_ids")
     joined = lookup_join(matched, lists, [("area", "_area")], "left", broadcast_bytes)
     return joined.select(*points.columns, "election_ids")
@@ -120,17 +129,18 @@ def ballots_by_address(
     row is a group of its own and nothing is shuffled.
     """
     points = addresses.select(*ADDRESS_KEYS, "longitude", "latitude")
+    areas = materialise(ballot_areas(ballots), "areas")
     listed = None
     if unique_addresses:
-        areas = ballot_areas(ballots).select("election_ids", "geometry")
         listed = contains_lists(
-            points, areas, "election_ids", level=level, broadcast_bytes=broadcast_bytes
+            points, areas.select("election_ids", "geometry"), "election_ids",
+            level=level, broadcast_bytes=broadcast_bytes,
         )
     if listed is None:
         # collect_set skips the null of an address without an area, and holds the
         # lists of an address's copies once.
         listed = (
-            ballots_at(points, ballots, level, broadcast_bytes)
+            _areas_at(points, areas, level, broadcast_bytes)
             .groupBy(*ADDRESS_KEYS)
             .agg(F.collect_set("election_ids").alias("election_ids"))
         )

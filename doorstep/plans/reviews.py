@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..operators.contains import BROADCAST_BYTES, contains_join
+from ..operators.contains import BROADCAST_BYTES, contains_join, measure_cover
 from ..operators.same_members import same_members
 from ..operators.skew import fits_broadcast, lookup_join
 from ..sources.stage import materialise
@@ -220,7 +220,11 @@ def in_old_and_new(
     options = {"how": "inner", "level": level, "broadcast_bytes": broadcast_bytes}
     points = addresses.select(*ADDRESS, "longitude", "latitude")
     old = contains_join(points, old_pieces, **options)
-    both = contains_join(old, new_pieces, on=PAIR, **options)
+    size = measure_cover(new_pieces)
+    if size.bytes(size.level(broadcast_bytes) if level is None else level) > broadcast_bytes:
+        # The second join will look for hot cells: the first must not run for that too.
+        old = materialise(old, "old")
+    both = contains_join(old, new_pieces, on=PAIR, size=size, **options)
     return both.drop("longitude", "latitude")
 
 
@@ -252,14 +256,14 @@ def change_scenario(boundary_same, name_same):
     )
 
 
-def with_scenario(divided, same):
+def with_scenario(divided, same, broadcast_bytes=BROADCAST_BYTES):
     """Adds boundary_same, name_same and change_scenario to address rows."""
     flags = same.select(
         *[F.col(c).alias(f"_same_{c}") for c in [*PAIR, *SLUGS]],
         F.lit(True).alias("_same"),
     )
     keys = [(c, f"_same_{c}") for c in [*PAIR, *SLUGS]]
-    joined = lookup_join(divided, flags, keys)
+    joined = lookup_join(divided, flags, keys, limit_bytes=broadcast_bytes)
     return (
         joined.withColumn("boundary_same", F.col("_same").isNotNull())
         .withColumn("name_same", same_name())
@@ -276,7 +280,8 @@ def address_scenarios(addresses, changes, level=None, broadcast_bytes=BROADCAST_
     divided = materialise(
         address_divisions(addresses, changes, level, broadcast_bytes), "divided"
     )
-    return with_scenario(divided, materialise(same_boundary(divided), "same"))
+    same = materialise(same_boundary(divided), "same")
+    return with_scenario(divided, same, broadcast_bytes)
 
 
 def address_changes(addresses, changes, level=None, broadcast_bytes=BROADCAST_BYTES):
@@ -291,9 +296,10 @@ def address_changes(addresses, changes, level=None, broadcast_bytes=BROADCAST_BY
         in_old_and_new(addresses, old_pieces, new_pieces, level, broadcast_bytes),
         "divided",
     )
-    rows = with_scenario(divided, materialise(same_boundary(divided), "same"))
+    same = materialise(same_boundary(divided), "same")
+    rows = with_scenario(divided, same, broadcast_bytes)
     # Both sets of details are distinct parts of the changes, without the polygons.
-    fits = fits_broadcast(changes.drop("division_boundary_wkt"))
+    fits = fits_broadcast(changes.drop("division_boundary_wkt"), broadcast_bytes)
     for generation, details in ((OLD, old_details), (NEW, new_details)):
         mine, theirs = f"{generation}_key", f"_{generation}_key"
         details = details.withColumnRenamed(mine, theirs)
@@ -368,7 +374,7 @@ def review_lists(changes):
     )
 
 
-def reviews_by_address(addresses, changes):
+def reviews_by_address(addresses, changes, broadcast_bytes=BROADCAST_BYTES):
     """Every address with its list of reviews, [] when there is none.
 
     The lists are stored first: when they turn out small the addresses are not
@@ -377,7 +383,8 @@ def reviews_by_address(addresses, changes):
     lists = materialise(review_lists(changes), "reviews")
     every = addresses.select(*ADDRESS, "first_letter")
     joined = lookup_join(
-        every, lists.withColumnRenamed("uprn", "_uprn"), [("uprn", "_uprn")]
+        every, lists.withColumnRenamed("uprn", "_uprn"), [("uprn", "_uprn")],
+        limit_bytes=broadcast_bytes,
     )
     return joined.select(
         *ADDRESS,
