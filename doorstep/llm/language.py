@@ -204,10 +204,13 @@ def _parser(samples):
     return _parsers[key]
 
 
-def identify(docs, samples):
-    """``docs`` with ``lang_pred``, ``score`` and ``bits`` (per byte) appended;
-    columns of these names are replaced."""
-    docs, schema = widened(docs, lang_pred="string", score="double", bits="double")
+def identify(docs, samples, prefix=""):
+    """``docs`` with ``lang_pred``, ``score`` and ``bits`` (per byte) appended.
+
+    The names begin with ``prefix``; columns of these names are replaced.
+    """
+    kinds = {f"{prefix}lang_pred": "string", f"{prefix}score": "double", f"{prefix}bits": "double"}
+    docs, schema = widened(docs, **kinds)
     place = docs.columns.index("text")
 
     def run(batches):
@@ -217,7 +220,7 @@ def identify(docs, samples):
             more = [pa.array(names, pa.string()), pa.array(score), pa.array(bits)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *more],
-                names=[*batch.schema.names, "lang_pred", "score", "bits"],
+                names=[*batch.schema.names, *kinds],
             )
 
     return docs.mapInArrow(run, schema)

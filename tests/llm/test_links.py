@@ -178,4 +178,11 @@ def test_pipeline_packs_what_the_stages_keep(spark, labels, small):
 def test_pipeline_takes_odd_texts(spark, odd, nothing, sf):
     known = spark.createDataFrame([(12, 1, 0), (18, 0, 1)], "doc_id long, quality int, toxic int")
     assert corpus_pipeline.run(spark, sf("odd", labels=known)).count() > 0
+    docs = odd
+    for name, stage in corpus_pipeline.STAGES[:-1]:  # columns named like results stay
+        docs = packing.stored(stage(spark, docs, sf("odd", labels=known)), f"odd-{name}")
+        assert docs.columns == odd.columns and {r.fp for r in docs.select("fp").collect()} <= {"z", None}
+        was = {r.doc_id: r.score for r in odd.collect()}
+        kept = docs.where("doc_id IS NOT NULL").select("doc_id", "score").collect()
+        assert all(was[r.doc_id] == r.score for r in kept)
     assert corpus_pipeline.run(spark, sf("empty", labels=known)).count() == 0
