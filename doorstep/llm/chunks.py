@@ -37,7 +37,7 @@ from .vocab import cuts, encoder, tokenizer_path
 #: Bytes that a boundary depends on, and one boundary in so many places.
 SPAN = 16
 SPACING = 1024
-ENCODE_BYTES = 24 << 20
+ENCODE_BYTES = 8 << 20
 
 _GEAR = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint32)
 

@@ -33,7 +33,7 @@ END = 1
 #: Pieces in a group, on average.
 GROUP_ROWS = 4096
 #: Bytes of text encoded at once; larger parts repeat fewer pieces.
-ENCODE_BYTES = 32 << 20
+ENCODE_BYTES = 12 << 20
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 

@@ -31,7 +31,7 @@ from .vocab import encoder, tokenizer_path
 BLOCK_TOKENS = 1 << 20
 #: Blocks in a run, the first level of the scan.
 RUN_BLOCKS = 1024
-ENCODE_BYTES = 32 << 20
+ENCODE_BYTES = 12 << 20
 
 
 def write_flat(docs, folder, path, separator):

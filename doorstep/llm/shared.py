@@ -85,11 +85,19 @@ def listed(spark, folder, pattern="*"):
     )
 
 
+BATCH_ROWS = 4000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped = {}
 
 
 def ship(spark):
-    """Make this package importable in the Python workers, wherever the driver has it."""
+    """Prepare a session: the package for its Python workers, and batches of fewer rows.
+
+    Rows are texts here, so the usual 10,000 of them are tens of megabytes, several times
+    over, in every worker.  Another setting than the default is left alone.
+    """
+    if spark.conf.get(_ROWS) == "10000":
+        spark.conf.set(_ROWS, str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = pathlib.Path(__file__).resolve().parents[1]

@@ -35,6 +35,8 @@ SHINGLE = 3
 SEED = 42
 #: A variant shared by more fingerprints than this is indexed a second time.
 CROWD = 32
+#: Bytes of text hashed at once; shingles take twenty times as much.
+PART_BYTES = 2 << 20
 
 _HALF = 0xFFFFFFFF
 
@@ -91,7 +93,7 @@ def with_fingerprint(docs, column="fp"):
     place = docs.columns.index("text")
 
     def run(batches):
-        for batch in whole_rows(batches, place):
+        for batch in whole_rows(batches, place, PART_BYTES):
             fp = pa.array(fingerprints(*buffers(batch.column(place))))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, fp], names=[*batch.schema.names, column]

@@ -4,6 +4,8 @@ Everything here works on the UTF-8 bytes of many texts at once.  A null text cou
 an empty one.  White space is what the contracts name: the bytes 09-0D and 20.
 """
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 #: Bytes of text handled at once; a longer text is handled alone.
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 
 
 def fold(column, parts):
@@ -35,6 +37,31 @@ def whole_rows(batches, column, limit=PART_BYTES):
             end = min(max(end, at + 1), batch.num_rows)
             yield batch.slice(at, end - at)
             at = end
+        release()
+
+
+def gathered(batches, column, limit):
+    """Batches put together until they hold ``limit`` bytes of text."""
+    held, size = [], 0
+    for batch in batches:
+        more = int(buffers(batch.column(column))[1][-1])
+        if held and size + more > limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += more
+    if held:
+        yield pa.concat_batches(held)
+
+
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release():
+    """Give freed memory back: a worker lives on, beside others, when its task is done."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
 
 
 def buffers(column):

@@ -38,7 +38,7 @@ MAGIC = b"DSTOKEN1"
 END = 0
 #: Characters of text for a file; a single longer document makes a longer file.
 FILE_CHARS = 24_000_000
-ENCODE_BYTES = 32 << 20
+ENCODE_BYTES = 12 << 20
 
 _BLOCK = struct.Struct("<III")
 _TABLE = struct.Struct("<QQII")

@@ -22,7 +22,7 @@ import numpy as np
 from .text import LOWER, numbered
 
 #: Distinct pieces that a worker remembers; the older half is dropped beyond that.
-CACHE_PIECES = 800_000
+CACHE_PIECES = 250_000
 
 _LETTER, _SIGN, _DIGIT, _BLANK, _FEED = 1, 2, 3, 4, 5
 _KIND = np.zeros(256, np.uint8)
