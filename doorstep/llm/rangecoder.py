@@ -17,11 +17,12 @@ import numpy as np
 
 #: Ids in a block, and blocks in a wave (a bound on memory).
 BLOCK = 4096
-WAVE = 1024
+WAVE = 2048
 
 _SLOT_BITS = 10
 _REFRESH = (64, 256, 1024, 2048)
 _RENEW = 64
+_TOGETHER = 128  # blocks modelled at once by the encoder, few enough for the caches
 _UNIT_BITS = 20
 _UNIT = 1 << _UNIT_BITS  # shares add up to this
 _TOP = 1 << 48
@@ -72,41 +73,45 @@ class _Writer:
     def __init__(self, lanes, words):
         self.low = np.zeros(lanes, np.int64)
         self.range = np.full(lanes, _TOP)
-        self.out = np.zeros((lanes, words), "<u2")
-        self.n = np.zeros(lanes, np.int64)
-        self.all = np.arange(lanes)
-
-    def put(self, lanes, bits, start, size):
-        """Narrow to ``start`` .. ``start + size`` of ``2**bits``."""
-        step = self.range[lanes] >> bits
-        low = self.low[lanes] + step * start
+        self.out = np.zeros(lanes * words, "<u2")
+        self.first = np.arange(lanes) * words
+        self.n = self.first.copy()  # where a block's next word goes
+
+    def put(self, n, bits, start, size):
+        """Narrow the first ``n`` blocks to ``start`` .. ``start + size`` of ``2**bits``."""
+        self.low[:n], self.range[:n], self.n[:n] = self._put(
+            self.low[:n], self.range[:n], self.n[:n], bits, start, size
+        )
+
+    def put_some(self, who, bits, start, size):
+        self.low[who], self.range[who], self.n[who] = self._put(
+            self.low[who], self.range[who], self.n[who], bits, start, size
+        )
+
+    def _put(self, low, span, at, bits, start, size):
+        step = span >> bits
+        low = low + step * start
         span = step * size
-        carry = low >= _TOP
-        if carry.any():
+        if low.max(initial=0) >= _TOP:
+            carry = low >= _TOP
             low[carry] -= _TOP
-            who = self.all[lanes][carry]
-            at = self.n[who] - 1
-            while len(who):
-                self.out[who, at] += 1
-                more = self.out[who, at] == 0
-                who, at = who[more], at[more] - 1
-        short = np.flatnonzero(span < _LEAST)
-        while len(short):
-            who = self.all[lanes][short]
-            value = low[short]
-            at = self.n[who]
-            self.out[who, at] = value >> 32
-            self.n[who] = at + 1
-            low[short] = (value & 0xFFFFFFFF) << 16
-            wider = span[short] << 16
-            span[short] = wider
-            short = short[wider < _LEAST]
-        self.low[lanes] = low
-        self.range[lanes] = span
+            back = at[carry] - 1
+            while len(back):
+                self.out[back] += 1
+                back = back[self.out[back] == 0] - 1
+        while span.min(initial=_TOP) < _LEAST:
+            # every block writes its top word; only where it is due does it count
+            due = (span < _LEAST).astype(np.int64)
+            self.out[at] = (low >> 32).astype(np.uint16)
+            at = at + due
+            shift = due << 4
+            low = (low & (_TOP - 1 >> shift)) << shift
+            span = span << shift
+        return low, span, at
 
     def end(self):
         for shift in (32, 16, 0):
-            self.out[self.all, self.n] = (self.low >> shift) & 0xFFFF
+            self.out[self.n] = ((self.low >> shift) & 0xFFFF).astype(np.uint16)
             self.n += 1
 
 
@@ -165,7 +170,8 @@ def _spans(ids, lengths):
             order0 = (((np.cumsum(many, axis=1) - many) << 16) | many).astype(np.int32)
         cut = slice(at, min(at + _RENEW, steps))
         a, h2, h1, o = agree[:, cut], hit2[:, cut], hit1[:, cut], other[:, cut]
-        ends = np.where(a, _borders(counts)[:, 1, :, None], _borders(counts)[:, 0, :, None])
+        ends = _borders(counts)
+        ends = np.where(a, ends[:, 1, :, None], ends[:, 0, :, None])
         if not seen:
             ends[2] = ends[1]
         known = np.zeros(a.shape, bool)
@@ -204,55 +210,57 @@ def encode_blocks(blocks):
     for i, k in enumerate(order):
         ids[i, : lengths[k]] = blocks[k]
     wide = bool(ids.max(initial=0) >> 16)
-    start, size, escaped = _spans(ids, lengths[order])
+    start = np.empty((steps, lanes), np.int64)
+    size, escaped = np.empty_like(start), np.empty(start.shape, bool)
+    for i in range(0, lanes if steps else 0, _TOGETHER):
+        part = slice(i, i + _TOGETHER)
+        start[:, part], size[:, part], escaped[:, part] = _spans(ids[part], lengths[order[part]])
     writer = _Writer(lanes, 4 * steps + 4)
-    one = np.ones(lanes, np.int64)
     for t, n in enumerate(alive.tolist()):
-        writer.put(slice(0, n), _UNIT_BITS, start[t, :n], size[t, :n])
+        writer.put(n, _UNIT_BITS, start[t, :n], size[t, :n])
         k = np.flatnonzero(escaped[t, :n])
         if len(k):
             plain = ids[k, t].astype(np.int64)
             if wide:
-                writer.put(k, 16, plain >> 16, one[: len(k)])
-            writer.put(k, 16, plain & 0xFFFF, one[: len(k)])
+                writer.put_some(k, 16, plain >> 16, 1)
+            writer.put_some(k, 16, plain & 0xFFFF, 1)
     writer.end()
     code = [None] * lanes
     for i, k in enumerate(order):
-        code[k] = bytes([wide]) + writer.out[i, : writer.n[i]].tobytes()
+        code[k] = bytes([wide]) + writer.out[writer.first[i] : writer.n[i]].tobytes()
     return code
 
 
 class _Reader:
     def __init__(self, codes):
-        words = max(len(c) for c in codes) // 2 + 4
-        self.words = np.zeros((len(codes), words), "<u2")
+        words = max(len(c) for c in codes) // 2 + 6
+        table = np.zeros((len(codes), words), "<u2")
         for i, c in enumerate(codes):
             part = np.frombuffer(c, "<u2")
-            self.words[i, : len(part)] = part
-        w = self.words[:, :3].astype(np.int64)
+            table[i, : len(part)] = part
+        w = table[:, :3].astype(np.int64)
         self.code = (w[:, 0] << 32) | (w[:, 1] << 16) | w[:, 2]
-        self.n = np.full(len(codes), 3)
-        self.all = np.arange(len(codes))
+        self.words = table.ravel()
+        self.n = np.arange(len(codes)) * words + 3
         self.range = np.full(len(codes), _TOP)
 
-    def value(self, lanes, bits):
-        step = self.range[lanes] >> bits
-        return step, np.minimum(self.code[lanes] // step, (1 << bits) - 1)
+    def value(self, who, bits):
+        # both numbers are below 2**48: the quotient of floats has the right whole part
+        step = self.range[who] >> bits
+        return step, np.minimum((self.code[who] / step).astype(np.int64), (1 << bits) - 1)
 
-    def take(self, lanes, step, start, size):
-        code = self.code[lanes] - step * start
+    def take(self, who, step, start, size):
+        code = self.code[who] - step * start
         span = step * size
-        short = np.flatnonzero(span < _LEAST)
-        while len(short):
-            who = self.all[lanes][short]
+        while span.min(initial=_TOP) < _LEAST:
+            due = (span < _LEAST).astype(np.int64)
             at = self.n[who]
-            code[short] = (code[short] << 16) | self.words[who, np.minimum(at, self.words.shape[1] - 1)]
-            self.n[who] = at + 1
-            wider = span[short] << 16
-            span[short] = wider
-            short = short[wider < _LEAST]
-        self.code[lanes] = code
-        self.range[lanes] = span
+            shift = due << 4
+            code = (code << shift) | self.words.take(at, mode="clip") * due
+            span = span << shift
+            self.n[who] = at + due
+        self.code[who] = code
+        self.range[who] = span
 
 
 def decode_blocks(codes, lengths):
@@ -292,32 +300,34 @@ def _decode(codes, lengths, wide):
             if not seen:
                 ends[2] = ends[1]
         at2, at1 = _slot2(x1[:n], x2[:n]) + base[:n], _slot1(x1[:n]) + base[:n]
-        now2, now1 = guess2[at2], guess1[at1]
+        now2, now1 = guess2.take(at2), guess1.take(at1)
         agree = now2 == now1
         end2, end1, end0 = np.where(agree, ends[:, 1, :n], ends[:, 0, :n])
         step, v = reader.value(slice(0, n), _UNIT_BITS)
         hit2 = v < end2
-        hit1 = (v < end1) & ~hit2
-        known = (v < end0) & (v >= end1)
+        past = v >= end1
+        escaped = v >= end0
+        start = np.where(hit2, 0, np.where(past, end0, end2))
+        end = np.where(hit2, end2, np.where(past, _UNIT, end1))
         x = np.where(hit2, now2, now1).astype(np.int64)
-        start = np.where(hit2, 0, np.where(hit1, end2, end0))
-        size = np.where(hit2, end2, np.where(hit1, end1, _UNIT)) - start
-        k = np.flatnonzero(known)
-        if len(k):
-            low, f0 = end1[k], end0[k] - end1[k]
-            j = row[k] + ((((v[k] - low + 1) << bits) - 1) // f0)
-            x[k] = table[j]
-            first, run = order0[j] >> 16, order0[j] & 0xFFFF
-            begin = first * f0 >> bits
-            start[k] = low + begin
-            size[k] = ((first + run) * f0 >> bits) - begin
-        reader.take(slice(0, n), step, start, size)
-        k = np.flatnonzero(v >= end0)
+        known = past & ~escaped
+        if seen:
+            # for all blocks at once; where order 0 did not send, nothing of it is used
+            f0 = end0 - end1
+            j = ((((v - end1 + 1) << bits) - 1) / f0).astype(np.int64)
+            j = np.minimum(np.maximum(j, 0), seen - 1) + row[:n]
+            share = order0.take(j)
+            first = share >> 16
+            start = np.where(known, end1 + (first * f0 >> bits), start)
+            end = np.where(known, end1 + ((first + (share & 0xFFFF)) * f0 >> bits), end)
+            x = np.where(known, table.take(j), x)
+        reader.take(slice(0, n), step, start, end - start)
+        k = np.flatnonzero(escaped)
         if len(k):
             plain = np.zeros(len(k), np.int64)
             for _ in range(2 if wide else 1):
                 step, half = reader.value(k, 16)
-                reader.take(k, step, half, np.ones(len(k), np.int64))
+                reader.take(k, step, half, 1)
                 plain = (plain << 16) | half
             x[k] = plain
         ids[t, :n] = x
