@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from .shared import stored
-from .text import LOWER, buffers, fold, numbered, whole_rows, word_bounds
+from .text import LOWER, buffers, fold, gathered, numbered, release, whole_rows, word_bounds
 
 WORDS = 4094
 CLASS_WORDS = 64
@@ -47,9 +47,9 @@ EVERY = 512
 WINDOW = 32
 TRAIN_LANES = 128
 SCORE_LANES = 512
-SCORE_TOKENS = 2_000_000
+SCORE_TOKENS = 6_000_000
 RATE = 0.15
-PART_BYTES = 24 << 20
+PART_BYTES = 16 << 20
 
 _END, _RARE = 0, 1
 _END_WORD = b"\n"  # no word holds white space
@@ -66,7 +66,7 @@ _PARTS = (
 def _number_parts(batches):
     """Per part of a task: its distinct words with training counts, and its documents."""
     task, nth = TaskContext.get().partitionId(), 0
-    for batch in whole_rows(batches, 1, PART_BYTES):
+    for batch in whole_rows(gathered(batches, 1, PART_BYTES), 1, PART_BYTES):
         data, offsets = buffers(batch.column(1))
         data = LOWER[data]
         starts, ends, edges = word_bounds(data, offsets)
@@ -422,7 +422,9 @@ def train(ready, frequencies):
 def document_scores(model, texts):
     """Natural log-likelihood of each list of ids, the state carried to its end."""
     lengths = np.array([len(t) for t in texts], np.int64)
-    lanes = [(0, i) for i in range(min(SCORE_LANES, len(texts)))]
+    # as many lanes as the longest document leaves filled: they end at about one step
+    width = int(lengths.sum()) // max(int(lengths.max(initial=0)), 1)
+    lanes = [(0, i) for i in range(min(SCORE_LANES, max(width, 1), len(texts)))]
     where = [[] for _ in lanes]
     for k in np.argsort(-lengths, kind="stable").tolist():
         used, lane = heapq.heappop(lanes)  # the shortest lane so far
@@ -466,7 +468,9 @@ def score(ready, model):
     """The documents with ``score``: the model's log10 probability of the whole text."""
 
     def run(batches):
-        for batch in batches:
+        # two bytes a token
+        for batch in gathered(batches, 6, 2 * SCORE_TOKENS):
+            release()
             texts = [np.frombuffer(b, "<u2") for b in batch.column(6).to_pylist()]
             at = 0
             while at < len(texts):
