@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from doorstep.llm import packing, pivots, simhash
+from doorstep.llm import packing, pivots, similar, simhash
 from doorstep.llm.text import buffers
 
 from .conftest import ODD, SF
@@ -186,3 +186,58 @@ def test_pipeline_takes_odd_texts(spark, odd, nothing, sf):
         kept = docs.where("doc_id IS NOT NULL").select("doc_id", "score").collect()
         assert all(was[r.doc_id] == r.score for r in kept)
     assert corpus_pipeline.run(spark, sf("empty", labels=known)).count() == 0
+
+
+# --- near copies -------------------------------------------------------------------
+
+
+def plain_set(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c < "\x80" else c for c in text or ""))
+    return {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+
+
+def alike(a, b):
+    return len(a & b) >= 0.8 * len(a | b)
+
+
+def test_shingle_sets():
+    texts = ODD + ["one", "one two", "One  two", "a b c d e", "a b c d e a b c d e"]
+    hashes, edges = similar.shingle_sets(*buffers(pa.array(texts, pa.string())))
+    assert np.diff(edges).tolist() == [len(plain_set(t)) for t in texts]
+    keys, sets = similar.keys(hashes, edges), [plain_set(t) for t in texts]
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        assert (keys[i] == keys[j]) == (sets[i] == sets[j])
+
+
+def test_stage_drops_edited_copies(spark):
+    rng = np.random.default_rng(4)
+    kinds = [f"w{i}" for i in range(5000)]
+    texts = []
+    for n in range(40):
+        base = list(rng.choice(kinds, 200))
+        texts.append(" ".join(base))
+        for edits in (1, 2, 3, 12):  # twelve edits make another document
+            other = list(base)
+            for at in rng.choice(200, edits, replace=False):
+                other[at] = "new" + str(rng.integers(1 << 30))
+            texts.append(" ".join(other))
+    crowd = list(rng.choice(kinds, 300))
+    for n in range(60):  # near copies of one text, all different
+        other = list(crowd)
+        other[int(rng.integers(300))] = f"only{n}"
+        texts.append(" ".join(other))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, None).collect()}
+    sets = [plain_set(t) for t in texts]
+    owner = list(range(len(sets)))
+
+    def find(i):
+        while owner[i] != i:
+            i = owner[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        if alike(sets[i], sets[j]):
+            a, b = sorted((find(i), find(j)))
+            owner[b] = a
+    assert kept == {find(i) for i in range(len(sets))}
