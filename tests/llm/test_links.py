@@ -241,3 +241,13 @@ def test_stage_drops_edited_copies(spark):
             a, b = sorted((find(i), find(j)))
             owner[b] = a
     assert kept == {find(i) for i in range(len(sets))}
+
+
+def test_stage_keeps_different_texts_of_one_id(spark):
+    far = [" ".join(f"{a}{i}" for i in range(30)) for a in "abcdef"]
+    rows = [(7, far[0]), (7, far[1]), (7, far[1]), (8, far[1]), (5, far[2]), (7, far[2]), (None, far[3]), (None, far[4])]
+    rows += [(None, far[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, None).collect()
+    want = [(7, far[0]), (7, far[1]), (5, far[2]), (None, far[3]), (None, far[4])]
+    assert sorted(map(tuple, kept), key=repr) == sorted(want, key=repr)
