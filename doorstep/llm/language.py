@@ -6,7 +6,8 @@ language's sample is the next phrase (one unknown byte is a phrase too).  The la
 whose automaton needs the fewest phrases, weighted by ``log2`` of the length of its
 sample, wins; this estimates the bits per byte of coding the text with the sample.
 
-Texts are normalised bytes: lower case, everything that is no letter a single blank.
+Texts are normalised bytes: lower case, everything that is no letter a single blank (code
+points outside ASCII are letters by their category, with the marks that belong to them).
 They are parsed whole, in windows of ``WINDOW`` bytes that each begin a phrase, so that
 many windows advance together, byte by byte, through one numpy table that holds all
 automata.
@@ -20,6 +21,9 @@ there is nothing to learn from.  Ties go to the language first in order.  The sc
 get identical results.  Extra columns are ignored.
 """
 
+import functools
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window
@@ -38,6 +42,35 @@ _FORM = LOWER.copy()
 _FORM[[b for b in range(128) if not 97 <= LOWER[b] <= 122]] = _BLANK
 
 
+@functools.cache
+def _letters():
+    """Per code point 2 for a letter, 1 for a mark, else 0."""
+    kinds = np.zeros(0x110000, np.uint8)
+    for c in range(0x110000):
+        kinds[c] = {"L": 2, "M": 1}.get(unicodedata.category(chr(c))[0], 0)
+    return kinds
+
+
+def without_signs(data, offsets):
+    """(the bytes with signs outside ASCII blanked, per text whether it has a letter)."""
+    ascii_letters = (LOWER[data] >= 97) & (LOWER[data] <= 122)
+    letter = ascii_letters
+    if len(data) and data.max() >= 128:
+        data = data.copy()
+        lead = np.flatnonzero(data >= 0xC0)
+        size = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0).astype(np.int64)
+        point = (data[lead] & (0xFF >> (size + 1))).astype(np.int64)
+        for k in range(1, 4):
+            on = size > k
+            point[on] = point[on] << 6 | (data[np.minimum(lead[on] + k, len(data) - 1)] & 0x3F)
+        kind = _letters()[np.minimum(point, 0x10FFFF)]
+        letter[lead[kind == 2]] = True
+        for k in range(4):
+            data[np.minimum(lead[(kind == 0) & (size > k)] + k, len(data) - 1)] = _BLANK
+    before = np.r_[0, np.cumsum(letter)][offsets]
+    return data, np.diff(before) > 0
+
+
 def normalised(data, offsets):
     """Lower-case letters and single blanks, with the offsets that belong to them."""
     form = _FORM[data]
@@ -134,16 +167,16 @@ class Parser:
 
     def identify(self, data, offsets):
         """(language, score, bits per byte) of each text with a letter, else und."""
+        data, lettered = without_signs(data, offsets)
         data, offsets = normalised(data, offsets)
         n = len(offsets) - 1
         if not self.languages or not n:
             return ["und"] * n, np.zeros(n), np.zeros(n)
-        letters = np.r_[0, np.cumsum(data != _BLANK)][offsets]
         size = np.diff(offsets)
         cost = self.phrases(data, offsets) * self.bits / np.maximum(size, 1)[:, None]
         best = cost.argmin(1)
         ranked = np.sort(cost, 1)
-        none = np.diff(letters) == 0
+        none = ~lettered
         score = np.ones(n)
         if cost.shape[1] > 1:
             score = 1 - ranked[:, 0] / np.maximum(ranked[:, 0] + ranked[:, 1], 1e-300)
@@ -161,8 +194,11 @@ def _smallest(batches):
             if len(best) < SAMPLE_DOCS or hashes[i] < best[-1][0]:
                 text = batch.column(0)[int(i)].as_py().encode()
                 middle = max(len(text) // 2 - SAMPLE_BYTES, 0)
-                data = np.frombuffer(text[middle : middle + 2 * SAMPLE_BYTES], np.uint8)
-                form = normalised(data, np.array([0, len(data)]))[0][:SAMPLE_BYTES]
+                # whole code points
+                text = text[middle : middle + 2 * SAMPLE_BYTES].decode("utf-8", "ignore").encode()
+                data, ends = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+                data = without_signs(data, ends)[0]
+                form = normalised(data, ends)[0][:SAMPLE_BYTES]
                 best.append((int(hashes[i]), form.tobytes()))
                 best.sort()
                 del best[SAMPLE_DOCS:]

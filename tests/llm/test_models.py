@@ -181,6 +181,18 @@ def test_languages_of_odd_texts(spark, sf, odd):
     assert {r.lang_pred for r in one.collect()} == {"und", "en"}
 
 
+def test_signs_are_no_letters(spark):
+    signs = ["€ 12,50 – € 99,90", "1\u00a0000 – 2\u00a0000", "🙂🙂 🎉", "12 … 13 …", "«»", "×", "→ ① ½", "\u0301"]
+    letters = ["€ 5 é", "日本", "…x…", "Ω", "𐐀", "हिन्दी"]
+    docs = spark.createDataFrame(list(enumerate(signs + letters)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in language.identify(docs, {"en": b"some text ", "fr": "été à ".encode()}).collect()}
+    for i in range(len(signs)):
+        assert (rows[i].lang_pred, rows[i].score) == ("und", 0.0), signs[i]
+    assert all(rows[i].lang_pred != "und" for i in range(len(signs), len(rows)))
+    data, _ = language.without_signs(*buffers(pa.array(["a€b…é🙂हिँ"])))
+    assert data.tobytes().decode() == "a   b   é    हिँ"
+
+
 def test_held_out_languages(spark, small):
     rows = language.op3_language(spark, SF).where("held_out").collect()
     known = {r.doc_id: r.lang for r in small.collect()}
