@@ -7,9 +7,9 @@ softmax is factored: first the id's class, then the id among its class.
 
 Training is truncated backpropagation through time in numpy, data-parallel: from common
 weights every task runs over its own training documents, and the weights are averaged,
-by tokens seen; ``ROUNDS`` times.  Every training document takes part, with a stretch of
-``STRETCH`` tokens out of every ``EVERY`` (where it lies within them differs by document
-and round), in windows of ``WINDOW`` steps; the state is carried from window to window.
+by tokens seen; ``ROUNDS`` times.  Every token of every training document is trained on,
+in lanes of whole documents and windows of ``WINDOW`` steps; the state is carried from
+window to window through a document and begins anew with the next.
 Word counts, the vocabulary and the base score cover all tokens of all documents.
 
 Scoring steps through whole documents.  Many run side by side in lanes, one behind the
@@ -41,13 +41,12 @@ WORDS = 4094
 CLASS_WORDS = 64
 EMBED = 16
 HIDDEN = 24
-ROUNDS = 2
-STRETCH = 64
-EVERY = 512
+ROUNDS = 1
 WINDOW = 32
 TRAIN_LANES = 128
 SCORE_LANES = 512
 SCORE_TOKENS = 6_000_000
+TRAIN_TOKENS = 2_000_000
 RATE = 0.15
 PART_BYTES = 16 << 20
 
@@ -275,24 +274,32 @@ class Model:
 
 
 class Trainer:
-    """Truncated backpropagation over lanes of stretches, with Adagrad."""
+    """Truncated backpropagation over lanes of documents, with Adagrad."""
 
     def __init__(self, model):
         self.model = model
         self.seen = {k: np.full(v.shape, 1e-2, np.float32) for k, v in model.w.items()}
         self.tokens = 0
 
-    def run(self, inputs, targets, live):
-        """Windows over (lanes x steps) arrays; ``live`` marks targets that exist."""
+    def run(self, inputs, targets, live, begins=None):
+        """Windows over (lanes x steps) arrays; ``live`` marks targets that exist.
+
+        Where ``begins`` is set, a document does: the state is zero before that step.
+        """
         h = np.zeros((len(inputs), HIDDEN), np.float32)
         for at in range(0, inputs.shape[1], WINDOW):
             cut = slice(at, at + WINDOW)
-            h = self._window(inputs[:, cut].T, targets[:, cut].T, live[:, cut].T, h)
+            new = None if begins is None else begins[:, cut].T
+            h = self._window(
+                inputs[:, cut].T.astype(np.int64), targets[:, cut].T.astype(np.int64), live[:, cut].T, h, new
+            )
 
-    def _window(self, inputs, targets, live, h):
+    def _window(self, inputs, targets, live, h, begins=None):
         m, w, k = self.model, self.model.w, HIDDEN
         table, kept, states = m.inputs(), [], []
-        for x in inputs:
+        for t, x in enumerate(inputs):
+            if begins is not None:
+                h = np.where(begins[t][:, None], np.float32(0), h)
             h = m.step(table[x], h, kept)
             states.append(h)
         states = np.stack(states)
@@ -318,6 +325,8 @@ class Trainer:
             inner = np.concatenate([dz, dr, dn * r], 1)
             grad["back"] += before.T @ inner
             d_next = d * z + inner @ w["back"].T
+            if begins is not None:
+                d_next[begins[t]] = 0
         flat, ids = d_gates.reshape(-1, 3 * k), inputs.ravel()
         grad["gate"] = flat.sum(0)
         grad["into"] = w["embed"][ids].T @ flat
@@ -332,43 +341,61 @@ class Trainer:
         return h
 
 
-def _stretches(ids, seed):
-    """(inputs, targets) of a document's stretches: one out of every EVERY tokens."""
-    n = len(ids)
-    for j in range(0, n, EVERY):
-        room = max(min(EVERY, n - j) - STRETCH, 0)
-        start = j + (seed * 2654435761 + j * 40503) % (room + 1)
-        before = ids[start - 1] if start else _END
-        part = ids[start : min(start + STRETCH, j + EVERY)]
-        yield np.r_[before, part[:-1]], part
+def _in_lanes(texts, most):
+    """(ids, their texts, where texts begin) as lanes x steps, and the lanes' lengths.
+
+    Whole texts lie one behind the other in ``most`` lanes at most, the longest lane first.
+    """
+    lengths = np.array([len(t) for t in texts], np.int64)
+    # as many lanes as the longest document leaves filled: they end at about one step
+    width = int(lengths.sum()) // max(int(lengths.max(initial=0)), 1)
+    lanes = [(0, i) for i in range(min(most, max(width, 1), len(texts)))]
+    where = [[] for _ in lanes]
+    for k in np.argsort(-lengths, kind="stable").tolist():
+        used, lane = heapq.heappop(lanes)  # the shortest lane so far
+        where[lane].append(k)
+        heapq.heappush(lanes, (used + int(lengths[k]), lane))
+    where.sort(key=lambda ks: -int(lengths[ks].sum()))
+    sizes = np.array([lengths[ks].sum() for ks in where], np.int64)
+    steps = int(sizes.max(initial=0))
+    targets = np.zeros((len(where), steps), np.uint16)
+    owner = np.zeros((len(where), steps), np.int32)
+    begins = np.zeros((len(where), steps), bool)
+    for i, ks in enumerate(where):
+        at = 0
+        for k in ks:
+            n = int(lengths[k])
+            targets[i, at : at + n], owner[i, at : at + n], begins[i, at] = texts[k], k, True
+            at += n
+    return targets, owner, begins, sizes
 
 
 _WEIGHTS = "slot int, piece int, tokens long, weights binary"
 _PIECE = 1 << 14
 
 
-def _train(model, round_):
+def _train(model):
     def run(batches):
         trainer = Trainer(model)
         held = []
 
         def flush():
-            inputs = np.zeros((len(held), STRETCH), np.int64)
-            targets, live = np.zeros_like(inputs), np.zeros(inputs.shape, bool)
-            for i, (x, y) in enumerate(held):
-                inputs[i, : len(x)], targets[i, : len(x)], live[i, : len(x)] = x, y, True
-            trainer.run(inputs, targets, live)
+            targets, _, begins, sizes = _in_lanes(held, TRAIN_LANES)
+            inputs = np.zeros_like(targets)
+            inputs[:, 1:] = targets[:, :-1]
+            inputs[begins] = _END
+            trainer.run(inputs, targets, np.arange(targets.shape[1]) < sizes[:, None], begins)
             held.clear()
 
+        size = 0
         for batch in batches:
-            for i, raw in enumerate(batch.column(0).to_pylist()):
-                ids = np.frombuffer(raw, "<u2").astype(np.int64)
-                held.extend(_stretches(ids, len(raw) + 7919 * i + 104729 * round_))
-                while len(held) >= TRAIN_LANES:
-                    rest = held[TRAIN_LANES:]
-                    del held[TRAIN_LANES:]
+            for raw in batch.column(0).to_pylist():
+                ids = np.frombuffer(raw, "<u2")
+                if held and size + len(ids) > TRAIN_TOKENS:
                     flush()
-                    held.extend(rest)
+                    size = 0
+                held.append(ids)
+                size += len(ids)
         if held:
             flush()
         if trainer.tokens:
@@ -408,8 +435,8 @@ def train(ready, frequencies):
     """A model fitted to the documents that are not held out."""
     model = Model(frequencies)
     texts = ready.where(~F.col("held_out")).select("ids")
-    for round_ in range(ROUNDS):
-        found = texts.mapInArrow(_train(model, round_), _WEIGHTS)
+    for _ in range(ROUNDS):
+        found = texts.mapInArrow(_train(model), _WEIGHTS)
         # by slots of tasks first, so that no group grows with the number of tasks alone
         for keys in (["slot", "piece"], ["piece"]):
             found = found.groupBy(*keys).applyInArrow(_average, _WEIGHTS)
@@ -421,30 +448,11 @@ def train(ready, frequencies):
 
 def document_scores(model, texts):
     """Natural log-likelihood of each list of ids, the state carried to its end."""
-    lengths = np.array([len(t) for t in texts], np.int64)
-    # as many lanes as the longest document leaves filled: they end at about one step
-    width = int(lengths.sum()) // max(int(lengths.max(initial=0)), 1)
-    lanes = [(0, i) for i in range(min(SCORE_LANES, max(width, 1), len(texts)))]
-    where = [[] for _ in lanes]
-    for k in np.argsort(-lengths, kind="stable").tolist():
-        used, lane = heapq.heappop(lanes)  # the shortest lane so far
-        where[lane].append(k)
-        heapq.heappush(lanes, (used + int(lengths[k]), lane))
-    where.sort(key=lambda ks: -int(lengths[ks].sum()))
-    sizes = np.array([lengths[ks].sum() for ks in where], np.int64)
+    targets, owner, begins, sizes = _in_lanes(texts, SCORE_LANES)
+    lanes, steps = targets.shape
     table, score = model.inputs(), np.zeros(len(texts))
-    steps = int(sizes.max(initial=0))
-    targets = np.zeros((len(where), steps), np.uint16)
-    owner = np.zeros((len(where), steps), np.int32)
-    begins = np.zeros((len(where), steps), bool)
-    for i, ks in enumerate(where):
-        at = 0
-        for k in ks:
-            n = int(lengths[k])
-            targets[i, at : at + n], owner[i, at : at + n], begins[i, at] = texts[k], k, True
-            at += n
-    h = np.zeros((len(where), HIDDEN), np.float32)
-    before = np.zeros(len(where), np.int64)
+    h = np.zeros((lanes, HIDDEN), np.float32)
+    before = np.zeros(lanes, np.int64)
     for at in range(0, steps, WINDOW):
         states, cut = [], slice(at, min(at + WINDOW, steps))
         live = np.arange(cut.start, cut.stop) < sizes[:, None]

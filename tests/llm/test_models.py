@@ -124,6 +124,48 @@ def test_gradients():
         assert abs(moved - slope) < 1e-2 * abs(slope) + 1e-3, name
 
 
+def test_training_sees_every_token_of_whole_documents(monkeypatch):
+    rng, seen = np.random.default_rng(13), []
+    texts = [np.append(rng.integers(1, 150, n), 0).astype("<u2") for n in (3, 900, 40, 2000, 1, 64, 513)]
+    window = gru.Trainer._window
+
+    def watched(self, inputs, targets, live, h, begins=None):
+        fed = np.where(begins[0][:, None], 0, h)
+        after = window(self, inputs, targets, live, h, begins)
+        seen.append((targets[live], fed, after))
+        return after
+
+    monkeypatch.setattr(gru.Trainer, "_window", watched)
+    batch = pa.record_batch([pa.array([t.tobytes() for t in texts], pa.binary())], names=["ids"])
+    monkeypatch.setattr(gru, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda self: 0})())}))
+    (found,) = gru._train(small_model())(iter([batch]))
+    assert found.column("tokens")[0].as_py() == sum(map(len, texts))
+    assert Counter(np.concatenate([s[0] for s in seen]).tolist()) == Counter(np.concatenate(texts).tolist())
+    for (_, _, after), (_, fed, _) in zip(seen, seen[1:]):  # carried on, or begun anew
+        same = (fed == after).all(1) | (fed == 0).all(1)
+        assert same.all() and (fed != 0).any()
+
+
+def test_gradient_ends_where_a_document_begins():
+    """Two documents in one lane train like the same two in lanes of their own."""
+    rng = np.random.default_rng(14)
+    x, y = rng.integers(0, 150, (1, 32)), rng.integers(0, 150, (1, 32))
+    begins = np.zeros((1, 32), bool)
+    begins[0, [0, 10]] = True
+    apart_x, apart_y, live = np.zeros((2, 22), int), np.zeros((2, 22), int), np.zeros((2, 22), bool)
+    for i, (a, b) in enumerate(((0, 10), (10, 32))):
+        apart_x[i, : b - a], apart_y[i, : b - a], live[i, : b - a] = x[0, a:b], y[0, a:b], True
+    one, two = gru.Trainer(small_model()), gru.Trainer(small_model())
+    for trainer in (one, two):
+        for name in ("classes", "words"):
+            trainer.model.w[name] = np.random.default_rng(15).normal(0, 0.1, trainer.model.w[name].shape).astype(np.float32)
+    one.run(x, y, np.ones((1, 32), bool), begins)
+    two.run(apart_x, apart_y, live)
+    assert one.tokens == two.tokens == 32
+    for name in one.model.w:
+        assert np.allclose(one.model.w[name], two.model.w[name], atol=2e-3), name
+
+
 def test_model_beats_frequencies(spark):
     docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
     rows = gru.score_documents(docs, fold("doc_id", 5) == 1).where("held_out").collect()
