@@ -10,8 +10,9 @@ more, or less, than the two alone.  The pair sum is computed as
 ``(|sum v|^2 - sum |v|^2) / 2``, which is linear in the number of terms.
 
 Learning uses a bounded sample: the ``TRAIN_ROWS`` labelled documents with the smallest
-hash of their id.  Terms are counted over the sample by Spark; the ``TERMS`` whose counts
-differ most between the labels are kept, and the machine is fitted to the sample's kept
+hash of their id.  Terms are counted over the sample by Spark; those that
+``LEAST_DOCUMENTS`` of its documents hold are kept, whatever their labels, since a term that
+tells nothing alone may tell much in a pair.  The machine is fitted to the sample's kept
 terms.  Scoring reads every whole text.
 
 Null and empty texts have no terms and get the machine's constant.  Repeated rows are
@@ -34,11 +35,10 @@ from .text import buffers, fold, numbered, whole_rows
 BUCKETS = 1 << 22
 #: Bound of the sample of labelled rows that the machine is fitted to.
 TRAIN_ROWS = 20_000
-#: Terms kept at most, and the least number of sample documents that hold one.
-TERMS = 4096
+#: The least number of sample documents that hold a kept term.
 LEAST_DOCUMENTS = 3
-#: Least distance, in standard deviations, of a kept term's count from what chance gives.
-LEAST_STRENGTH = 4.0
+#: Strength, in standard deviations of its count, from which a term is trusted by itself.
+STRONG = 4.0
 FACTORS = 6
 EPOCHS = 15
 THRESHOLD = 0.3
@@ -109,14 +109,9 @@ def document_terms(data, offsets, kept=None):
 
 def _count_terms(batches):
     for batch in whole_rows(batches, 0):
-        label = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-        text, term = document_terms(*buffers(batch.column(0)))
-        found, place = np.unique(term, return_inverse=True)
-        ones = np.bincount(place, label[text], minlength=len(found))
-        both = np.bincount(place, minlength=len(found))
+        found, both = np.unique(document_terms(*buffers(batch.column(0)))[1], return_counts=True)
         yield pa.record_batch(
-            [pa.array(found), pa.array(ones.astype(np.int64)), pa.array(both.astype(np.int64))],
-            names=["term", "ones", "both"],
+            [pa.array(found), pa.array(both.astype(np.int64))], names=["term", "both"]
         )
 
 
@@ -151,18 +146,11 @@ def fit(docs, labels, usable=None):
         "toxic-sample",
     )
     total, ones = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    counts = (
-        rows.mapInArrow(_count_terms, "term long, ones long, both long")
-        .groupBy("term")
-        .agg(F.sum("ones").alias("ones"), F.sum("both").alias("both"))
-        .where(F.col("both") >= LEAST_DOCUMENTS)
-    )
     share = (ones + 0.5) / (total + 1.0)
-    expected = F.col("both") * F.lit(share)
-    strength = (F.col("ones") - expected) / F.sqrt(expected + 0.5)
-    counts = counts.where(F.abs(strength) >= LEAST_STRENGTH)
-    best = counts.orderBy(F.abs(strength).desc(), "term").limit(TERMS).select("term")
-    terms = np.array(sorted(r.term for r in best.collect()), np.int64)
+    counts = rows.mapInArrow(_count_terms, "term long, both long").groupBy("term")
+    kept = counts.agg(F.sum("both").alias("both")).where(F.col("both") >= LEAST_DOCUMENTS)
+    # BUCKETS terms at most
+    terms = np.sort(kept.select("term").toArrow()["term"].to_numpy())
     if not total or ones in (0, total) or not len(terms):
         bias = float(np.log(share / (1 - share))) if total else -np.inf
         return Machine(terms[:0], bias, np.zeros(0), np.zeros((0, FACTORS)))
@@ -171,37 +159,60 @@ def fit(docs, labels, usable=None):
 
 
 def _fit(found, terms, share):
-    """Adagrad on the logistic loss, by mini-batches in an order fixed by content."""
-    lists = found["terms"].to_pylist()
+    """Adagrad on the logistic loss, by mini-batches in an order fixed by content.
+
+    The linear weight of a term learns in proportion to its ``trust``, which is 1 from
+    ``STRONG`` standard deviations on; a term without strength of its own keeps its part
+    in pairs.  Otherwise the many weak terms together would learn the sample by heart.
+    """
+    column = found["terms"].combine_chunks()
+    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+    every, edges = column.flatten().to_numpy(), np.r_[0, np.cumsum(column.value_lengths().to_numpy())]
     label = found["toxic"].to_numpy().astype(np.float64)
-    order = sorted(range(len(lists)), key=lambda i: (lists[i], label[i]))
-    lists, label = [np.array(lists[i], np.int64) for i in order], label[order]
+    lists = [every[a:b] for a, b in zip(edges, edges[1:])]
+    order = sorted(range(len(lists)), key=lambda i: (lists[i].tobytes(), label[i]))
     rng = np.random.default_rng(7)
     n = len(terms)
+    both = np.bincount(every, minlength=n)
+    ones = np.bincount(every, np.repeat(label, np.diff(edges)), n)
+    strength = np.abs(ones - share * both) / np.sqrt(share * both + 0.5)
+    trust = np.clip((strength / STRONG) ** 2, 0.1, 1)
+    lists, label = [lists[i] for i in order], label[order]
+    # long texts have many pairs: smaller steps
+    slow = min(1, 30 / max(len(every) / max(len(lists), 1), 1))
+    place_of = np.zeros(n, np.int64)
     w, v = np.zeros(n), rng.normal(0, 0.01, (n, FACTORS))
     bias, seen_b, seen_w, seen_v = np.log(share / (1 - share)), 1.0, np.ones(n), np.ones((n, FACTORS))
     for _ in range(EPOCHS):
         turn = rng.permutation(len(lists))
         for at in range(0, len(turn), 128):
             rows = turn[at : at + 128]
-            x = np.zeros((len(rows), n))
-            for i, r in enumerate(rows):
-                x[i, lists[r]] = 1
-            active = np.flatnonzero(x.any(axis=0))
-            x, va = x[:, active], v[active]
-            sums = x @ va
-            z = bias + x @ w[active] + ((sums**2).sum(1) - (x @ (va**2)).sum(1)) / 2
+            flat = np.concatenate([lists[r] for r in rows])
+            row = np.repeat(np.arange(len(rows)), [len(lists[r]) for r in rows])
+            here = np.zeros(n, bool)
+            here[flat] = True
+            active = np.flatnonzero(here)
+            place_of[active] = np.arange(len(active))
+            place = place_of[flat]
+            va, size = v[active], len(active)
+            vf = v[flat]
+            sums = np.stack([np.bincount(row, vf[:, k], len(rows)) for k in range(FACTORS)], 1)
+            squares = np.bincount(row, (vf**2).sum(1), len(rows))
+            z = bias + np.bincount(row, (trust * w)[flat], len(rows)) + ((sums**2).sum(1) - squares) / 2
             miss = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - label[rows]
             gb = miss.sum() / len(rows)
-            gw = miss @ x / len(rows) * 8 + 1e-4 * w[active]
-            gv = ((x * miss[:, None]).T @ sums - va * (miss @ x)[:, None]) / len(rows) * 8 + 1e-3 * va
+            alone = np.bincount(place, miss[row], size)
+            gw = trust[active] * alone / len(rows) * 8 + 1e-4 * w[active]
+            pulls = (miss[:, None] * sums)[row]
+            pulls = np.stack([np.bincount(place, pulls[:, k], size) for k in range(FACTORS)], 1)
+            gv = (pulls - va * alone[:, None]) / len(rows) * 8 + 1e-2 * va
             seen_b += gb**2
             seen_w[active] += gw**2
             seen_v[active] += gv**2
             bias -= 0.1 * gb / np.sqrt(seen_b)
             w[active] -= 0.3 * gw / np.sqrt(seen_w[active])
-            v[active] -= 0.05 * gv / np.sqrt(seen_v[active])
-    return Machine(terms, float(bias), w, v)
+            v[active] -= 0.05 * slow * gv / np.sqrt(seen_v[active])
+    return Machine(terms, float(bias), trust * w, v)
 
 
 def _scores(machine, data, offsets):

@@ -347,6 +347,28 @@ def test_machine_learns_pairs():
     assert z[(0, 1)] > 0 > max(z[()], z[(0,)], z[(1,)])
 
 
+def paired_texts(n, rng):
+    """Two words are each as common in clean as in toxic texts; only together are they toxic."""
+    texts, toxic = [], []
+    for i in range(n):
+        mine = (["plonk", "greens"], ["zorgon"], ["plonk"], ["greens"])[i % 4]
+        filler = [f"{chr(97 + a % 26)}{chr(97 + a // 26)}fill" for a in rng.integers(0, 200, 12)]
+        texts.append(" ".join(rng.permutation(filler + mine)))
+        toxic.append(int(i % 4 < 2))
+    return texts, toxic
+
+
+def test_fit_learns_a_pair_of_harmless_words(spark):
+    rng = np.random.default_rng(12)
+    texts, toxic = paired_texts(1200, rng)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, t) for i, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+    machine = toxicity.fit(docs, labels)
+    texts, toxic = paired_texts(400, rng)
+    scores = toxicity._scores(machine, *buffers(pa.array(texts)))
+    assert np.mean((scores >= 0.5) == np.array(toxic)) > 0.95
+
+
 def plain_machine_score(machine, text):
     letters = re.findall(r"[a-z\u0080-\U0010ffff]+", "".join(c.lower() if c < "ß" and c != "×" else c for c in text or ""))
     place = {int(t): i for i, t in enumerate(machine.terms)}
