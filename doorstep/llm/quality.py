@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from .shared import stored, widened
-from .text import SPACE, buffers, numbered, utf8_lengths, whole_rows, word_bounds
+from .text import SPACE, buffers, numbered, one_text, utf8_lengths, whole_rows, word_bounds
 
 #: Bound of the sample of labelled rows that the trees are fitted to.
 TRAIN_ROWS = 20_000
@@ -257,8 +257,10 @@ def fit(docs, labels):
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(TRAIN_ROWS)
     )
-    # at most TRAIN_ROWS rows of an id and a label: a bound for the broadcast
-    rows = stored(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "quality-sample")
+    # at most TRAIN_ROWS rows of an id and a label: a bound for the broadcast, and of one
+    # text an id for the driver
+    held = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = stored(one_text(held, "quality"), "quality-sample")
     found = with_statistics(rows).select(*COUNTS, *MORE, "quality").toPandas()
     found = found.sort_values(list(found.columns)).reset_index(drop=True)
     x = features({c: found[c].to_numpy() for c in COUNTS + MORE})

@@ -25,6 +25,12 @@ def fold(column, parts):
     return F.coalesce(F.crc32(F.col(column).cast("string")) % parts, F.lit(-1))
 
 
+def one_text(rows, label):
+    """One row an id and label: of texts that share an id, the one of the smallest hash."""
+    order = F.struct(F.xxhash64("text"), "text")
+    return rows.groupBy("doc_id", label).agg(F.min_by("text", order).alias("text")).select("doc_id", "text", label)
+
+
 def whole_rows(batches, column, limit=PART_BYTES):
     """The batches, cut so that a part holds ``limit`` bytes of text or a single row."""
     for batch in batches:

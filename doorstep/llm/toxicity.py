@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from .shared import stored, widened
-from .text import buffers, fold, numbered, whole_rows
+from .text import buffers, fold, numbered, one_text, whole_rows
 
 BUCKETS = 1 << 22
 #: Bound of the sample of labelled rows that the machine is fitted to.
@@ -140,11 +140,10 @@ def fit(docs, labels, usable=None):
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(TRAIN_ROWS)
     )
-    # at most TRAIN_ROWS rows of an id and a label: a bound for the broadcast
-    rows = stored(
-        docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic"),
-        "toxic-sample",
-    )
+    # at most TRAIN_ROWS rows of an id and a label: a bound for the broadcast, and of one
+    # text an id for the driver
+    held = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = stored(one_text(held, "toxic").select("text", "toxic"), "toxic-sample")
     total, ones = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     share = (ones + 0.5) / (total + 1.0)
     counts = rows.mapInArrow(_count_terms, "term long, both long").groupBy("term")

@@ -411,3 +411,18 @@ def test_held_out_toxicity(spark):
     toxic = [r.predicted for r in rows if truth[r.doc_id] == 1]
     clean = [r.predicted for r in rows if truth[r.doc_id] == 0]
     assert np.mean(toxic) > 0.8 and np.mean(clean) < 0.02
+
+
+# --- bounded samples ---------------------------------------------------------------
+
+
+def test_samples_hold_one_row_an_id(spark, monkeypatch):
+    rows = [(i % 6 if i < 300 else 0, f"{'good' if i % 2 else 'bad'} text number {i} of many") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    known = spark.createDataFrame([(i, i % 2, i % 2) for i in range(6)], "doc_id long, quality int, toxic int")
+    taken = []
+    monkeypatch.setattr(toxicity, "_fit", lambda found, terms, share: taken.append(found.num_rows))
+    monkeypatch.setattr(quality, "boost", lambda x, y, signs: taken.append(len(x)))
+    toxicity.fit(docs, known)
+    quality.fit(docs, known)
+    assert taken == [6, 6]
