@@ -6,11 +6,13 @@ from . import (
     chunks,
     gru,
     language,
+    manifest,
     packing,
     pivots,
     quality,
     separators,
     simhash,
+    sql,
     tokenfiles,
     toxicity,
 )
@@ -27,11 +29,11 @@ _QUERIES = [
     tokenfiles.op8_tokens,
     chunks.op9_chunks,
     toxicity.op10_toxicity,
+    manifest.op12_manifest,
 ]
 
-#: No operator here can be written in SQL that runs on whole tables in reasonable time;
-#: tests compare them with brute force instead.
-SQL = {}
+#: The others cannot be written in SQL; tests compare them with brute force instead.
+SQL = {"op12_manifest": sql.OP12_MANIFEST}
 
 
 def _registered(query):

@@ -36,6 +36,11 @@ def small(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")
 
 
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SF
+
+
 @pytest.fixture(scope="session")
 def labels(spark):
     return spark.read.parquet(f"{SF}/labels.parquet")
