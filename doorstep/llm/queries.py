@@ -8,6 +8,7 @@ from . import (
     language,
     manifest,
     packing,
+    phrases,
     pivots,
     quality,
     separators,
@@ -30,10 +31,11 @@ _QUERIES = [
     chunks.op9_chunks,
     toxicity.op10_toxicity,
     manifest.op12_manifest,
+    phrases.op13_phrases,
 ]
 
 #: The others cannot be written in SQL; tests compare them with brute force instead.
-SQL = {"op12_manifest": sql.OP12_MANIFEST}
+SQL = {"op12_manifest": sql.OP12_MANIFEST, "op13_phrases": sql.OP13_PHRASES}
 
 
 def _registered(query):

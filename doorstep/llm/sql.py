@@ -64,3 +64,37 @@ SELECT p.doc_id, p.leaf, s.digest AS subroot, r.digest AS root, coalesce(q.proof
        e.digest AS folded_root, e.digest = r.digest AS verified
 FROM placed p JOIN subroots s ON s.place = p.tree JOIN ends e USING (row_id) LEFT JOIN proofs q USING (row_id) CROSS JOIN root r
 """
+
+_SEPARATORS = "[.,;:!?\\n\\x0B\\f\\r]"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP13_PHRASES = f"""
+WITH pieces AS (
+SELECT coalesce(lang, 'und') AS lang,
+       unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_SEPARATORS}')) AS piece
+FROM documents),
+split AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \\t]+'), lambda w: w <> '') AS words FROM pieces),
+totals AS (SELECT lang, sum(len(words))::HUGEINT AS n FROM split GROUP BY lang),
+grams AS (
+SELECT lang, size, array_to_string(words[spot:spot + size - 1], ' ') AS phrase
+FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS spot
+      FROM split, (SELECT unnest(range(1, 6)) AS size) WHERE len(words) >= size)),
+known AS (SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+parts AS (SELECT *, string_split(phrase, ' ') AS words FROM known WHERE size > 1),
+cuts AS (
+SELECT p.lang, p.phrase, p.a, k, l.a AS l, r.a AS r, n,
+       (1000::HUGEINT * p.a * n) // (l.a::HUGEINT * r.a) AS score
+FROM (SELECT *, unnest(range(1, size)) AS k FROM parts) p
+JOIN known l ON l.lang = p.lang AND l.phrase = array_to_string(words[:k], ' ')
+JOIN known r ON r.lang = p.lang AND r.phrase = array_to_string(words[k + 1:], ' ')
+JOIN totals t ON t.lang = p.lang),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+SELECT lang, array_to_string(words[spot:spot + m - 1], ' ') AS phrase, max(a) AS most
+FROM (SELECT *, unnest(range(1, size - m + 2)) AS spot FROM (SELECT *, unnest(range(2, size)) AS m FROM parts)) GROUP BY ALL)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank,
+       b.phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+WHERE coalesce(most < a, true)
+QUALIFY rank <= 2000
+"""
