@@ -9,6 +9,7 @@ from . import (
     manifest,
     packing,
     phrases,
+    pii,
     pivots,
     quality,
     separators,
@@ -30,6 +31,7 @@ _QUERIES = [
     tokenfiles.op8_tokens,
     chunks.op9_chunks,
     toxicity.op10_toxicity,
+    pii.op11_pii,
     manifest.op12_manifest,
     phrases.op13_phrases,
 ]
