@@ -12,8 +12,10 @@ They are parsed whole, in windows of ``WINDOW`` bytes that each begin a phrase,
 many windows advance together, byte by byte, through one numpy table that holds all
 automata.
 
-Learning uses a bounded sample: per language ``SAMPLE_DOCS`` documents at most, those of
-the smallest hash, and ``SAMPLE_BYTES`` of each, around its middle.
+Learning uses a bounded sample: per language ``SAMPLE_DOCS`` documents at most and
+``SAMPLE_BYTES`` bytes in all, of whole normalised texts.  Texts of up to ``EVEN_BYTES``
+come first, by the smallest hash, then longer ones by their length.  Only where a text
+alone is longer than the whole sample its middle has to do.
 
 A null text, and one without a letter, is ``und`` with score 0.0; so is every text when
 there is nothing to learn from.  Ties go to the language first in order.  The score is
@@ -34,7 +36,9 @@ from .text import LOWER, buffers, fold, whole_rows
 
 #: Bound of the labelled sample, per language.
 SAMPLE_DOCS = 48
-SAMPLE_BYTES = 512
+SAMPLE_BYTES = 24_576
+#: Texts up to this length are sampled by their hash alone.
+EVEN_BYTES = 1_536
 WINDOW = 512
 
 _BLANK = 32
@@ -72,14 +76,18 @@ def without_signs(data, offsets):
 
 
 def normalised(data, offsets):
-    """Lower-case letters and single blanks, with the offsets that belong to them."""
+    """Lower-case letters and single blanks, with the offsets that belong to them.
+
+    Blanks go where a text begins, whatever stands before it.
+    """
     form = _FORM[data]
     second = np.flatnonzero((form[:-1] == 0xC3) & (form[1:] < 0x9F) & (form[1:] != 0x97)) + 1
     form[second] += 32
     keep = form != _BLANK
     if len(form):
         keep[1:] |= keep[:-1]
-        keep[offsets[:-1][np.diff(offsets) > 0]] |= False
+        first = offsets[:-1][np.diff(offsets) > 0]
+        keep[first] = form[first] != _BLANK
     return form[keep], np.r_[0, np.cumsum(keep)][offsets]
 
 
@@ -184,32 +192,38 @@ class Parser:
         return names, np.where(none, 0.0, score), np.where(none, 0.0, ranked[:, 0])
 
 
+def _sample_of(text):
+    """A whole text, normalised; of one longer than a sample, its middle."""
+    if len(text) > 4 * SAMPLE_BYTES:
+        middle = len(text) // 2 - 2 * SAMPLE_BYTES
+        # whole code points
+        text = text[middle : middle + 4 * SAMPLE_BYTES].decode("utf-8", "ignore").encode()
+    data, ends = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    form = normalised(without_signs(data, ends)[0], ends)[0]
+    return form[max(len(form) - SAMPLE_BYTES, 0) // 2 :][:SAMPLE_BYTES].tobytes()
+
+
 def _smallest(batches):
-    """Of each language the SAMPLE_DOCS smallest hashes of a task, with their samples."""
+    """Of each language the SAMPLE_DOCS first documents of a task, with their samples."""
     held = {}
     for batch in batches:
+        sizes = np.maximum(np.diff(buffers(batch.column(0))[1]), EVEN_BYTES)
         hashes, languages = batch.column(1).to_numpy(), batch.column(2).to_pylist()
-        for i in np.argsort(hashes, kind="stable"):
-            best = held.setdefault(languages[i], [])
-            if len(best) < SAMPLE_DOCS or hashes[i] < best[-1][0]:
-                text = batch.column(0)[int(i)].as_py().encode()
-                middle = max(len(text) // 2 - SAMPLE_BYTES, 0)
-                # whole code points
-                text = text[middle : middle + 2 * SAMPLE_BYTES].decode("utf-8", "ignore").encode()
-                data, ends = np.frombuffer(text, np.uint8), np.array([0, len(text)])
-                data = without_signs(data, ends)[0]
-                form = normalised(data, ends)[0][:SAMPLE_BYTES]
-                best.append((int(hashes[i]), form.tobytes()))
+        for i in np.lexsort((hashes, sizes)):
+            best, at = held.setdefault(languages[i], []), (int(sizes[i]), int(hashes[i]))
+            if len(best) < SAMPLE_DOCS or at < best[-1][:2]:
+                best.append((*at, _sample_of(batch.column(0)[int(i)].as_py().encode())))
                 best.sort()
                 del best[SAMPLE_DOCS:]
-    rows = [(x, h, s) for x, best in held.items() for h, s in best]
+    rows = [(x, *r) for x, best in held.items() for r in best]
     yield pa.record_batch(
         [
             pa.array([r[0] for r in rows], pa.string()),
             pa.array([r[1] for r in rows], pa.int64()),
-            pa.array([r[2] for r in rows], pa.binary()),
+            pa.array([r[2] for r in rows], pa.int64()),
+            pa.array([r[3] for r in rows], pa.binary()),
         ],
-        names=["lang", "h", "sample"],
+        names=["lang", "size", "h", "sample"],
     )
 
 
@@ -219,13 +233,15 @@ def fit(docs, usable=None):
     if usable is not None:
         rows = rows.where(usable)
     held = rows.select("text", F.xxhash64("doc_id", "text").alias("h"), "lang").mapInArrow(
-        _smallest, "lang string, h long, sample binary"
+        _smallest, "lang string, size long, h long, sample binary"
     )
-    order = Window.partitionBy("lang").orderBy("h", "sample")
+    order = Window.partitionBy("lang").orderBy("size", "h", "sample")
     best = held.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS)
     samples = {}
     for r in best.orderBy("lang", "n").collect():
-        samples[r.lang] = samples.get(r.lang, b"") + bytes(r.sample) + b" "
+        known = samples.get(r.lang, b"")
+        if not known or len(known) + len(r.sample) <= SAMPLE_BYTES:
+            samples[r.lang] = known + bytes(r.sample) + b" "
     return {x: s for x, s in samples.items() if s.strip()}
 
 

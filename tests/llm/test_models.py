@@ -204,7 +204,38 @@ def test_normalised():
     texts = ["Été 12!!x", "", " a", "ÀB×c", "b\n\nc "]
     data, offsets = language.normalised(*buffers(pa.array(texts)))
     got = [data[a:b].tobytes().decode() for a, b in zip(offsets, offsets[1:])]
-    assert [g.strip() for g in got] == ["été x", "", "a", "àb×c", "b c"]
+    assert got == ["été x", "", "a", "àb×c", "b c "]
+
+
+def test_a_text_alone_and_among_others():
+    """Language, score and bits of a text do not depend on what stands before it."""
+    rng = np.random.default_rng(8)
+    parts = ["a", "Été", "the ", " ", "\n", "'", "€", "12", "×", "🙂", "hän", "日", "\u0301", "x y", '"', "ß."]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(1000)]
+    texts += ["x", "x ", " x", '"x', "", " " * 600 + "x" * 600]
+    parser = language.Parser({"en": b"the one x y and a ", "fr": "été hein à la ".encode(), "de": "hän ß der ".encode()})
+
+    def found(some):
+        names, score, bits = parser.identify(*buffers(pa.array(some)))
+        return list(zip(names, score.tolist(), bits.tolist()))
+
+    alone = {t: found([t])[0] for t in texts}
+    for size in (2, 7, 300, len(texts)):
+        order = [texts[i] for i in rng.permutation(len(texts))]
+        for at in range(0, len(order), size):
+            assert found(order[at : at + size]) == [alone[t] for t in order[at : at + size]]
+
+
+def test_samples_are_whole_texts(spark):
+    rows = [(i, f"word{'abc'[i % 3]} " * (i + 1), "en") for i in range(60)]
+    rows += [(99, "long " * 30000, "xx"), (100, "very long text " * 3000, "en")]
+    samples = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    forms = {language._sample_of(t.encode()) for _, t, x in rows if x == "en"}
+    held = samples["en"]
+    assert 0 < len(held) <= language.SAMPLE_BYTES + language.SAMPLE_DOCS
+    whole = [f for f in forms if b" " + f in b" " + held]
+    assert sum(len(f) + 1 for f in whole) >= len(held) // 2
+    assert 0 < len(samples["xx"]) <= language.SAMPLE_BYTES + 1
 
 
 def test_languages_of_odd_texts(spark, sf, odd):
