@@ -6,17 +6,18 @@ fingerprints: words are numbers by a polynomial over their bytes, and prefix pol
 over a part's words give those of all its n-grams at once.  Language and length are mixed in.
 
 **Counting.**  Lengths are counted one after another.  A task adds up equal fingerprints of
-a part of its text, the shuffle those of all tasks; along go the least and the greatest
-second fingerprint and the least digest of a text in which the phrase occurs, the pointer.
-An n-gram is looked at only if both (n-1)-grams inside it are frequent, which it needs to
-be frequent itself.  Tasks know the frequent ones by a bit table of ``TABLE_BITS`` bits, so
-what is broadcast has one size whatever the corpus; a table that fills lets more pass, and
-no result changes.
+a part of its text, the shuffle those of all tasks; along go the sum of the second
+fingerprints, by a prime, and the least digest of a text in which the phrase occurs, the
+pointer.  An n-gram is looked at only if both (n-1)-grams inside it are frequent, which it
+needs to be frequent itself.  Tasks know the frequent ones by a bit table of ``TABLE_BITS``
+bits, so what is broadcast has one size whatever the corpus; a table that fills lets more
+pass, and no result changes.
 
 **Texts.**  Only frequent phrases become text.  Their pointers fall on the few texts of the
-smallest digests; these are read again and the phrases found in them by both fingerprints.
-Phrases that met in the first fingerprint show by different second ones: they are counted
-again by their text.  (Two phrases equal in both, 128 bits, would pass unseen.)
+smallest digests; these are read again and the phrases found in them by their fingerprint.
+A phrase is accepted if its own second fingerprint, as often as it was counted, makes the
+sum.  If not, phrases met in the first fingerprint; they are counted again by their text.
+(Phrases equal in both, 64 and 31 bits, would pass unseen.)
 
 Scores are exact: products are decimals of 38 digits.
 
@@ -52,6 +53,8 @@ _SOLID[[0x20, 0x09]] = False
 # Odd bases: bytes in words, words in phrases, for either fingerprint.
 _BYTES = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)]
 _WORDS = [np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
+#: Second fingerprints are added up by this prime.
+_PRIME = (1 << 31) - 1
 
 
 def _mixed(x):
@@ -117,6 +120,9 @@ class Words:
         h = _mixed(h + self.seed[self.text[places]] + np.uint64(size))
         return h >> np.uint64(64 - bits) if bits < 64 else h
 
+    def checks(self, places, size):
+        return (self.fingerprints(places, size, 1) % np.uint64(_PRIME)).astype(np.int64)
+
     def phrase(self, place, size):
         found = [self.data[self.starts[i] : self.ends[i]].tobytes() for i in range(place, place + size)]
         return b" ".join(found).decode("utf-8", "replace")
@@ -164,15 +170,14 @@ def _table(keys):
 
 # --- counting ------------------------------------------------------------------------
 
-_SEEN = "lang string, key long, n long, doc long, low long, high long"
+_SEEN = "lang string, key long, n long, doc long, total long"
 
 
 def _digests(data, offsets, languages):
+    """32 bits of each text and language: several texts may share one, and all are read then."""
     raw = data.tobytes()
-    return np.array(
-        [xxhash.xxh64_intdigest(x.encode() + b"\0" + raw[a:b], 7) for a, b, x in zip(offsets, offsets[1:], languages)],
-        np.uint64,
-    )
+    parts = zip(offsets, offsets[1:], languages)
+    return np.array([xxhash.xxh32_intdigest(x.encode() + b"\0" + raw[a:b], 7) for a, b, x in parts], np.int64)
 
 
 def _read(batches):
@@ -207,16 +212,15 @@ def _counted(size, shipped, bits):
             order = np.argsort(key, kind="stable")
             key, places = key[order], places[order]
             begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-            check, doc = words.fingerprints(places, size, 1), docs[words.text[places]]
-            if not len(begin):
-                low = high = least = n = np.zeros(0, np.uint64)
-            else:
-                low, high, least = (np.minimum.reduceat(check, begin), np.maximum.reduceat(check, begin),
-                                    np.minimum.reduceat(doc, begin))
+            total = n = least = np.zeros(0, np.int64)
+            if len(begin):
                 n = np.diff(np.r_[begin, len(key)])
+                # sums of fewer than 2**32 numbers of 31 bits
+                total = np.add.reduceat(words.checks(places, size), begin) % _PRIME
+                least = np.minimum.reduceat(docs[words.text[places]], begin)
             found = [
                 pa.nulls(len(begin), pa.string()), _signed(key[begin]), pa.array(n.astype(np.int64)),
-                _signed(least), _signed(low), _signed(high),
+                pa.array(least), pa.array(total),
             ]
             yield pa.RecordBatch.from_arrays(found, names=_SEEN_NAMES)
             if size == 1:
@@ -224,34 +228,28 @@ def _counted(size, shipped, bits):
                 names = sorted(set(languages))
                 at = {x: i for i, x in enumerate(names)}
                 place = np.array([at[x] for x in languages], np.int64)
-                total = np.bincount(place, np.diff(words.edges), len(names)).astype(np.int64)
+                count = np.bincount(place, np.diff(words.edges), len(names)).astype(np.int64)
                 zero = pa.array(np.zeros(len(names), np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.string()), zero, pa.array(total), zero, zero, zero], names=_SEEN_NAMES
+                    [pa.array(names, pa.string()), zero, pa.array(count), zero, zero], names=_SEEN_NAMES
                 )
 
     return run
 
 
-_SEEN_NAMES = ["lang", "key", "n", "doc", "low", "high"]
-
-
-def _unsigned_least(column):
-    """Order signed longs as the unsigned ones that they stand for."""
-    flip = F.lit(-(1 << 63))
-    return F.min(column.bitwiseXOR(flip)).bitwiseXOR(flip)
+_SEEN_NAMES = ["lang", "key", "n", "doc", "total"]
 
 
 def _frequent(texts, size, table, least, bits):
     """The frequent fingerprints of a length; for words also the languages' totals."""
     seen = texts.mapInArrow(_counted(size, table, bits), _SEEN)
-    flip = F.lit(-(1 << 63))
-    sums = seen.groupBy("lang", "key").agg(
-        F.sum("n").alias("n"), _unsigned_least(F.col("doc")).alias("doc"),
-        _unsigned_least(F.col("low")).alias("low"),
-        F.max(F.col("high").bitwiseXOR(flip)).bitwiseXOR(flip).alias("high"),
+    by = ["lang", "key"] if size == 1 else ["key"]
+    # a part's total is below 2**31, so their sum stays within a long
+    sums = seen.groupBy(*by).agg(
+        F.sum("n").alias("n"), F.min("doc").alias("doc"), F.sum("total").alias("total")
     )
-    return stored(sums.where((F.col("n") >= least) | F.col("lang").isNotNull()), f"phrases-{size}")
+    kept = F.col("n") >= least
+    return stored(sums.where(kept | F.col("lang").isNotNull() if size == 1 else kept), f"phrases-{size}")
 
 
 # --- texts of the frequent ones ---------------------------------------------------------
@@ -267,13 +265,13 @@ def _pointed(shipped):
         for part in whole_rows(batches, 0, PART_BYTES):
             data, offsets = buffers(part.column(0))
             docs = _digests(data, offsets, part.column(1).to_pylist())
-            keep = table.has(docs)
+            keep, raw = table.has(docs.view(np.uint64)), data.tobytes()
             for i in np.flatnonzero(keep):
-                if docs[i] in met:
-                    keep[i] = False
-                met.add(docs[i])
+                of = docs[i], xxhash.xxh64_intdigest(raw[offsets[i] : offsets[i + 1]])
+                keep[i] = of not in met
+                met.add(of)
             yield pa.RecordBatch.from_arrays(
-                [_signed(docs), part.column(0), part.column(1)], names=["doc", "text", "lang"]
+                [pa.array(docs), part.column(0), part.column(1)], names=["doc", "text", "lang"]
             ).filter(pa.array(keep))
 
     return run
@@ -299,10 +297,9 @@ def _found(bits):
                 own, places = own[hit], places[hit]
                 own, first = np.unique(own, return_index=True)
                 places = places[first]
-                check = words.fingerprints(places, size, 1)
                 rows += [
                     (int(k), int(size), languages[words.text[p]], words.phrase(p, size), int(c))
-                    for k, p, c in zip(own.view(np.int64), places, check.view(np.int64))
+                    for k, p, c in zip(own.view(np.int64), places, words.checks(places, size))
                 ]
             yield _phrase_batch(rows)
 
@@ -353,23 +350,27 @@ def frequent_phrases(docs, least=LEAST, longest=LONGEST, bits=64):
             totals = rows.where("lang IS NOT NULL").select("lang", "n")
             rows = rows.where("lang IS NULL")
         table = _table(rows.select("key"))
-        rows = rows.select("key", F.lit(size).alias("size"), "n", "doc", "low", "high")
+        rows = rows.select("key", F.lit(size).alias("size"), "n", "doc", "total")
         held = rows if held is None else held.unionAll(rows)
 
-    alone, met = held.where("low = high"), held.where("low <> high")
-    wanted = alone.groupBy("doc").agg(F.collect_list("key").alias("keys"), F.collect_list("size").alias("sizes"))
-    pointers = _table(alone.select("doc"))
-    some = texts.mapInArrow(_pointed(pointers), "doc long, text string, lang string").dropDuplicates(["doc"])
+    wanted = held.groupBy("doc").agg(F.collect_list("key").alias("keys"), F.collect_list("size").alias("sizes"))
+    pointers = _table(held.select("doc"))
+    # equal texts once; others that share a digest all stay
+    some = texts.mapInArrow(_pointed(pointers), "doc long, text string, lang string").distinct()
     some = some.join(wanted, "doc").select("text", "lang", "keys", "sizes")
-    phrases = some.mapInArrow(_found(bits), _PHRASE)
-    known = alone.select(F.col("key").alias("_key"), F.col("size").alias("_size"), "n", "low")
-    same = (F.col("key") == F.col("_key")) & (F.col("size") == F.col("_size")) & (F.col("check") == F.col("low"))
-    found = phrases.join(known, same).select("lang", "size", "phrase", F.col("n").alias("a"))
+    phrases = some.mapInArrow(_found(bits), _PHRASE).distinct()
+    of = held.select(F.col("key").alias("_key"), F.col("size").alias("_size"), "n", "total")
+    same = (F.col("key") == F.col("_key")) & (F.col("size") == F.col("_size"))
+    # the product is taken by the prime, so that it stays within a long
+    right = (F.col("n") % _PRIME) * F.col("check") % _PRIME == F.col("total") % _PRIME
+    found = phrases.join(of, same & right).select("key", "lang", "size", "phrase", F.col("n").alias("a"))
+    found = stored(found, "phrases-found")
+    met = stored(of.select("_key", "_size").join(found, same, "left_anti"), "phrases-met")
+    found = found.select("lang", "size", "phrase", "a")
     if not met.isEmpty():
-        counts = texts.mapInArrow(_recounted(_table(met.select("key")), longest, bits), f"{_PHRASE}, n long")
+        counts = texts.mapInArrow(_recounted(_table(met.select("_key")), longest, bits), f"{_PHRASE}, n long")
         counts = counts.groupBy("key", "lang", "size", "phrase").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-        of = met.select(F.col("key").alias("_key"), F.col("size").alias("_size"))
-        again = counts.join(of, (F.col("key") == F.col("_key")) & (F.col("size") == F.col("_size")))
+        again = counts.join(met, same)
         found = found.unionByName(again.select("lang", "size", "phrase", "a"))
     return stored(found, "phrases-frequent"), stored(totals, "phrases-totals")
 
