@@ -2,83 +2,86 @@
 
 from pyspark.sql import functions as F
 
+from ..sources.stage import materialise
+from .skew import fits_broadcast
+
 _SIGNATURE = ["_size", "_h1", "_h2"]
 
 
 def same_members(rows, first, second, member, within):
     """Pairs (``first``, ``second``) whose member multisets are equal, per ``within``.
 
-    Equal to comparing the two sorted member lists, without building one.  A group is
-    summed up by its number of distinct members and two independent 64-bit hashes over
-    (member, how often); groups with the same sums form a class, and an equi-join of
-    the two groupings by class gives the pairs.
+    Equal to comparing the two sorted member lists, without building one.  ``rows`` are
+    read once: how often each member is in each group of either grouping is stored, and
+    so is a group's sum, its number of distinct members and two independent 64-bit hashes
+    over (member, how often).  Groups with the same sums form a class; an equi-join of the
+    two groupings by class gives the pairs.
 
     The classes are then confirmed by exact counts: all groups of a class are the same
     if each (member, how often) of the class is in every one of them.  That takes one
     row per group and member, however many pairs there are.  Should hashes have met by
-    chance, the groups of that class are compared member by member.
+    chance, which one count tells, the groups of just that class are compared member by
+    member.
 
     A null member makes its groups the same as no other; groups without a name are
     left out.
     """
     within = list(within)
-    held = [_members(rows, name, member, within) for name in (first, second)]
-    sums = [_sums(side, within) for side in held]
     keys = [*within, *_SIGNATURE]
-    pairs = _join(_named(sums[0], "_f"), _named(sums[1], "_s"), keys)
+    members = materialise(_members(rows, first, second, member, within), "members")
+    sums = materialise(_sums(members, within), "member-sums")
+    pairs = _join(_side(sums, 0, "_f"), _side(sums, 1, "_s"), keys)
+    found = [*within, "_f", "_s"]
 
     # Only classes with a group on either side matter.
-    classes = pairs.select(*keys).distinct()
-    candidates = [_join(side, classes, keys) for side in sums]
-    groups = candidates[0].unionByName(candidates[1]).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_groups")
-    )
-    entries = [
-        _join(side, chosen, [*within, "_name"]).select(*keys, "_member", "_n")
-        for side, chosen in zip(held, candidates)
-    ]
-    tally = entries[0].unionByName(entries[1]).groupBy(*keys, "_member", "_n").agg(
-        F.count(F.lit(1)).alias("_held")
-    )
-    mixed = (
-        _join(tally, groups, keys).where(F.col("_held") != F.col("_groups"))
-        .select(*keys).distinct()
-    )
-    confirmed = _join(pairs, mixed, keys, "left_anti")
-    suspects = [
-        _join(side, _join(chosen, mixed, keys), [*within, "_name"])
-        for side, chosen in zip(held, candidates)
-    ]
-    met = (
-        _join(
-            _named(suspects[0], "_f"), _named(suspects[1], "_s").drop(*_SIGNATURE),
-            [*within, "_member", "_n"],
-        )
-        .groupBy(*within, "_f", "_s", "_size").agg(F.count(F.lit(1)).alias("_met"))
-        .where(F.col("_met") == F.col("_size"))
+    classes = sums.groupBy(*keys).agg(
+        F.count_if(F.col("_side") == 0).alias("_firsts"), F.count_if(F.col("_side") == 1).alias("_seconds")
+    ).where("_firsts > 0 AND _seconds > 0")
+    classes = classes.select(*keys, (F.col("_firsts") + F.col("_seconds")).alias("_groups"))
+    group = [*within, "_side", "_name"]
+    chosen = _join(sums, classes, keys)
+    tally = (
+        _looked_up(members, chosen, group).groupBy(*keys, "_groups", "_member", "_n")
+        .agg(F.count(F.lit(1)).alias("_held"))
     )
-    # groups that met are equal if the second has no further member
-    settled = _join(pairs, met.select(*within, "_f", "_s"), [*within, "_f", "_s"])
-    return (
-        confirmed.select(*within, "_f", "_s")
-        .unionByName(settled.select(*within, "_f", "_s"))
-        .withColumnsRenamed({"_f": first, "_s": second})
+    # Hashes that met: none, but for chance.
+    mixed = materialise(tally.where("_held <> _groups").select(*keys).distinct(), "mixed")
+    if not mixed.isEmpty():
+        confirmed = _join(pairs, mixed, keys, "left_anti").select(*found)
+        suspects = _looked_up(members, _join(sums, mixed, keys), group)
+        pairs = confirmed.unionByName(_compared(suspects, within))
+    return pairs.select(*found).withColumnsRenamed({"_f": first, "_s": second})
+
+
+def _compared(suspects, within):
+    """The pairs of groups that are equal member by member."""
+    met = _join(
+        _side(suspects, 0, "_f"), _side(suspects, 1, "_s").drop("_h1", "_h2"),
+        [*within, "_member", "_n", "_size"],
     )
+    # groups of one size that met in all of it are equal
+    met = met.groupBy(*within, "_f", "_s", "_size").agg(F.count(F.lit(1)).alias("_met"))
+    return met.where(F.col("_met") == F.col("_size")).select(*within, "_f", "_s")
 
 
-def _members(rows, name, member, within):
-    """How often each member is in each group."""
+def _members(rows, first, second, member, within):
+    """How often each member is in each group of either grouping."""
+    names = F.array(*[
+        F.struct(F.lit(i).alias("_side"), F.col(c).cast("string").alias("_name"))
+        for i, c in enumerate((first, second))
+    ])
     return (
-        rows.where(F.col(name).isNotNull())
-        .groupBy(*within, F.col(name).alias("_name"), F.col(member).alias("_member"))
+        rows.select(*within, F.inline(names), F.col(member).alias("_member"))
+        .where(F.col("_name").isNotNull())
+        .groupBy(*within, "_side", "_name", "_member")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
 
 
-def _sums(held, within):
+def _sums(members, within):
     """One row per group without a missing member: its size and hashes."""
     return (
-        held.groupBy(*within, "_name")
+        members.groupBy(*within, "_side", "_name")
         .agg(
             F.count(F.lit(1)).alias("_size"),
             F.bit_xor(F.xxhash64("_member", "_n")).alias("_h1"),
@@ -90,8 +93,15 @@ def _sums(held, within):
     )
 
 
-def _named(df, name):
-    return df.withColumnRenamed("_name", name)
+def _side(df, side, name):
+    return df.where(F.col("_side") == side).drop("_side").withColumnRenamed("_name", name)
+
+
+def _looked_up(members, groups, keys):
+    """Members with the columns of their group: a large group stays spread if groups are few."""
+    if fits_broadcast(groups):
+        groups = F.broadcast(groups)
+    return _join(members, groups, keys)
 
 
 def _join(left, right, keys, how="inner"):

@@ -1,20 +1,21 @@
 """The three layer jobs, from stored inputs to checked, published tables.
 
-Each job writes its tables aside, checks them, and only then puts them in the place of
-the former ones: a build that is refused leaves what was published as it was.
+Each job writes its tables aside, checks them, and only then shows them, all in one step: a
+build that is refused, or a job that ends half way, leaves what was published as it was.
+``table`` says where a layer's published table lies.
 """
 
 import logging
-import uuid
 
 from .. import schemas
 from ..operators.duplicates import has_unique_keys
 from ..operators.quality import LayerCheckFailed, assert_single_source, check_layer
 from ..sources import tables
-from ..sources.files import delete_folder, publish
+from ..sources.releases import Release
+from ..sources.releases import table_path as table
 from .address_base import build_address_base, rejected_locations
 from .elections import ballots_by_address, current_ballots
-from .outcodes import index_path, read_outcodes, write_outcodes
+from .outcodes import index_path, read_outcodes, sums_path, write_outcodes
 from .reviews import address_changes, boundary_changes, reviews_by_address
 
 logger = logging.getLogger(__name__)
@@ -24,25 +25,10 @@ class RejectedLocations(LayerCheckFailed):
     """Addresses whose location is not a point."""
 
 
-class Staged:
-    """Tables written aside; they are published together or not at all."""
-
-    def __init__(self, out):
-        self.out, self.mark, self.names = out.rstrip("/"), uuid.uuid4().hex, []
-
-    def path(self, name):
-        self.names.append(name)
-        return f"{self.out}/_staged-{self.mark}/{name}"
-
-    def __enter__(self):
-        return self
-
-    def __exit__(self, kind, *_):
-        if kind is None:
-            for name in self.names:
-                staged = f"{self.out}/_staged-{self.mark}/{name}"
-                publish(staged, f"{self.out}/{name}", f"{self.out}/_former-{self.mark}-{name}")
-        delete_folder(f"{self.out}/_staged-{self.mark}")
+# The layers' names, and the tables each publishes.
+ADDRESS_BASE = "address_base"
+ELECTIONS = "current_elections"
+REVIEWS = "boundary_reviews"
 
 
 def bake_address_base(spark, raw_path, out, allow_rejected=False):
@@ -58,27 +44,31 @@ def bake_address_base(spark, raw_path, out, allow_rejected=False):
         logger.error("%s", message)
         if not allow_rejected:
             raise RejectedLocations([message])
-    with Staged(out) as staged:
-        path = staged.path("address_base")
+    with Release(out, ADDRESS_BASE) as release:
+        path = release.path("address_base")
         tables.write_by_letter(build_address_base(raw, raw_path), path)
         check_layer(raw, tables.read_by_letter(spark, path, schemas.ADDRESS_BASE))
-    return tables.read_by_letter(spark, f"{out}/address_base", schemas.ADDRESS_BASE)
+    return tables.read_by_letter(spark, path, schemas.ADDRESS_BASE)
 
 
 def bake_current_elections(
     spark, raw_path, base, elections, division_pieces, organisation_pieces, out,
-    as_of=None,
+    as_of=None, refresh=False,
 ):
-    """Current ballots per address, published per outcode."""
-    with Staged(out) as staged:
-        ballots_path = staged.path("current_ballots")
+    """Current ballots per address, published per outcode.
+
+    With ``refresh`` the units of the release before are taken over and only those that
+    differ from the new layer are written or deleted.
+    """
+    with Release(out, ELECTIONS) as release:
+        ballots_path = release.path("current_ballots")
         tables.write_ballots(
             current_ballots(elections, division_pieces, organisation_pieces, as_of),
             ballots_path,
         )
         ballots = tables.read_ballots(spark, ballots_path)
 
-        path = staged.path("ballots_by_address")
+        path = release.path("ballots_by_address")
         # A narrow count buys a job without any shuffle of whole addresses.
         unique = has_unique_keys(base)
         tables.write_by_letter(
@@ -89,41 +79,43 @@ def bake_current_elections(
         layer = tables.read_by_letter(spark, path, schemas.BALLOTS_BY_ADDRESS)
         check_layer(tables.read_raw_addresses(spark, raw_path), layer)
         # The check has shown the layer's keys to be those of the raw file, each once.
-        _units(staged, layer, "current_elections", "ballot_ids")
-    return tables.read_by_letter(spark, f"{out}/ballots_by_address", schemas.BALLOTS_BY_ADDRESS)
+        _units(release, layer, "ballot_ids", refresh)
+    return tables.read_by_letter(spark, path, schemas.BALLOTS_BY_ADDRESS)
 
 
-def _units(staged, layer, name, column):
-    """The units and their index, staged; the index is published after the units."""
-    units = staged.path(name)
-    write_outcodes(layer, units, column, unique=True)
-    staged.path(index_path(name))
+def _units(release, layer, column, refresh):
+    """The units, with their index and sums beside them."""
+    units = release.share("units") if refresh else release.path("units")
+    release.tables |= {"units_index": index_path(units), "units_sums": sums_path(units)}
+    write_outcodes(layer, units, column, unique=True, refresh=refresh)
     return units
 
 
-def bake_boundary_reviews(spark, raw_path, base, source, tiles_url, out, review_ids=None):
-    """Boundary reviews per address, published per outcode.
+def bake_boundary_reviews(
+    spark, raw_path, base, source, tiles_url, out, review_ids=None, refresh=False
+):
+    """Boundary reviews per address, published per outcode; ``refresh`` as for the elections.
 
     ``source`` holds the seven source tables by the argument names of
     ``boundary_changes``.
     """
-    with Staged(out) as staged:
-        changes_path = staged.path("boundary_changes")
+    with Release(out, REVIEWS) as release:
+        changes_path = release.path("boundary_changes")
         tables.write_boundary_changes(
             boundary_changes(**source, tiles_url=tiles_url, review_ids=review_ids),
             changes_path,
         )
         changes = tables.read_boundary_changes(spark, changes_path)
 
-        by_address = staged.path("address_changes")
+        by_address = release.path("address_changes")
         tables.write_address_changes(address_changes(base, changes), by_address)
 
-        path = staged.path("reviews_by_address")
+        path = release.path("reviews_by_address")
         tables.write_by_letter(
             reviews_by_address(base, tables.read_address_changes(spark, by_address)), path
         )
         layer = tables.read_by_letter(spark, path, schemas.REVIEWS_BY_ADDRESS)
         check_layer(tables.read_raw_addresses(spark, raw_path), layer)
-        units = _units(staged, layer, "boundary_reviews", "boundary_reviews")
+        units = _units(release, layer, "boundary_reviews", refresh)
         assert_single_source(read_outcodes(spark, units, schemas.REVIEWS_BY_ADDRESS))
-    return tables.read_by_letter(spark, f"{out}/reviews_by_address", schemas.REVIEWS_BY_ADDRESS)
+    return tables.read_by_letter(spark, path, schemas.REVIEWS_BY_ADDRESS)

@@ -1,20 +1,25 @@
 """Per-outcode units of a finished layer, the index of outcodes, and lookups."""
 
 import math
-from concurrent.futures import ThreadPoolExecutor
 
+import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import has_value, outcode
+from ..operators.content_sums import SUMS, content_sums
 from ..operators.duplicates import resolve_duplicates
 from ..operators.skew import lookup_join, salted_join
-from ..sources.files import delete_file
+from ..sources.files import delete_file, delete_folder
 from ..sources.stage import materialise
 
 ROWS_PER_FILE = 4_000_000
 UNIT = "unit"
-DELETERS = 32
+
+
+class StaleUnitsLeft(Exception):
+    """Files of stale units that could not be deleted."""
 
 
 def with_outcode(layer):
@@ -39,6 +44,39 @@ def index_path(path):
     return f"{path.rstrip('/')}_index"
 
 
+def sums_path(path):
+    return f"{path.rstrip('/')}_sums"
+
+
+def unit_sums(rows, column):
+    """(unit, n, s1, s2, has_data): what each unit holds, by sums over its rows.
+
+    Equal sums mean equal rows, so a unit whose sums are those of its stored files need
+    not be written again.
+    """
+    held = rows.withColumn(UNIT, F.coalesce("outcode", F.lit("")))
+    sums = content_sums(held, [UNIT], rows.columns)
+    data = held.groupBy(F.col(UNIT).alias("_of")).agg(F.bool_or(has_value(F.col(column))).alias("has_data"))
+    return sums.join(data, F.col(UNIT) == F.col("_of")).drop("_of")
+
+
+def unit_changes(new, old):
+    """(unit, n, change) from the sums: ``added``, ``removed``, ``rewritten`` or ``kept``."""
+    theirs = old.where("has_data").select(F.col(UNIT).alias("_unit"), *[F.col(c).alias(f"_{c}") for c in SUMS])
+    same = F.lit(True)
+    for c in SUMS:
+        same = same & (F.col(c) == F.col(f"_{c}"))
+    return new.where("has_data").join(theirs, F.col(UNIT) == F.col("_unit"), "full").select(
+        F.coalesce(UNIT, "_unit").alias(UNIT),
+        F.coalesce("n", F.lit(0)).alias("n"),
+        F.when(F.col("_unit").isNull(), "added")
+        .when(F.col(UNIT).isNull(), "removed")
+        .when(same, "kept")
+        .otherwise("rewritten")
+        .alias("change"),
+    )
+
+
 def write_outcodes(
     layer, path, column, rows_per_file=ROWS_PER_FILE, refresh=False, unique=False,
     **duplicates,
@@ -52,19 +90,55 @@ def write_outcodes(
 
     Repeated rows are resolved first, unless the caller knows that keys are ``unique``.
     ``layer`` is read several times and should be a stored table.  A full build replaces
-    everything below ``path``.  With ``refresh`` only the units written are replaced,
-    and units that are no longer due are then removed.  The index follows the units.
+    everything below ``path``.  With ``refresh`` only the units whose content sums differ
+    from the stored ones are written, and units that are no longer due are deleted; the
+    files of all others stay as they are.  The index follows the units, the sums come
+    last: the sums of units to be written go first, so that a job that ends half way
+    leaves none that its files do not have, and the next refresh mends the rest.
     """
     spark = layer.sparkSession
     if not unique:
         layer = resolve_duplicates(layer, **duplicates)
     rows = with_outcode(layer)
-    index = materialise(outcode_index(rows, column), "index")
-    filled = F.coalesce("outcode", F.lit(""))
-    due = (
-        index.where("has_data").groupBy(filled.alias("_unit"))
-        .agg(F.sum("n_addresses").alias("_rows"))
-    )
+    sums = materialise(unit_sums(rows, column), "sums")
+    known = _stored_sums(spark, path) if refresh else None
+    if known is None:
+        changes = sums.where("has_data").select(UNIT, "n", F.lit("added").alias("change"))
+        delete_folder(sums_path(path))
+    else:
+        changes = materialise(unit_changes(sums, known), "changes")
+        trusted = known.join(changes.where("change = 'kept'"), [UNIT], "left_semi")
+        _replace(materialise(trusted, "sums"), sums_path(path))
+    _write_units(rows, path, changes.where("change IN ('added', 'rewritten')"), rows_per_file, refresh)
+    if refresh:
+        _remove_units(spark, path, sums.where("has_data").select(F.col(UNIT).alias("_have")))
+    outcode_index(rows, column).write.mode("overwrite").parquet(index_path(path))
+    _replace(sums, sums_path(path))
+    return read_index(spark, path)
+
+
+_SUMS = f"{UNIT} string, n long, s1 long, s2 long, has_data boolean"
+
+
+def _stored_sums(spark, path):
+    """The sums of the stored units; none are known for units written without them."""
+    try:
+        found = spark.read.schema(_SUMS).parquet(sums_path(path))
+        return materialise(found, "sums")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _SUMS)
+
+
+def _replace(sums, path):
+    sums.write.mode("overwrite").parquet(path)
+
+
+def _write_units(rows, path, due, rows_per_file, refresh):
+    """Write the units named in ``due`` (unit, n) from ``rows``."""
+    spark = rows.sparkSession
+    due = due.select(F.col(UNIT).alias("_unit"), F.col("n").alias("_rows"))
     small, large = due.where(F.col("_rows") <= rows_per_file), due.where(F.col("_rows") > rows_per_file)
     few, total, many, rest = due.agg(
         F.count_if(F.col("_rows") <= rows_per_file),
@@ -72,7 +146,9 @@ def write_outcodes(
         F.count_if(F.col("_rows") > rows_per_file),
         F.sum(F.when(F.col("_rows") > rows_per_file, F.col("_rows"))),
     ).first()
-    named = rows.withColumn(UNIT, filled)
+    if refresh and not few and not many:
+        return
+    named = rows.withColumn(UNIT, F.coalesce("outcode", F.lit("")))
     order = [UNIT, "postcode", "uprn"]
 
     def of(units):
@@ -93,10 +169,6 @@ def write_outcodes(
         .partitionBy(UNIT)
         .parquet(path)
     )
-    if refresh:
-        _remove_units(spark, path, due.select(F.col("_unit").alias("_have")))
-    index.write.mode("overwrite").parquet(index_path(path))
-    return read_index(spark, path)
 
 
 def read_outcodes(spark, path, schema):
@@ -129,35 +201,57 @@ def stale_outcodes(target, source):
     )
 
 
+_DELETED = f"{UNIT} string, path string, error string"
+
+
+def _deleted(batches):
+    """Delete the files of (unit, path); a file that is gone already is no failure."""
+    for batch in batches:
+        errors = []
+        for path in batch["path"]:
+            try:
+                delete_file(path)
+                errors.append(None)
+            except FileNotFoundError:
+                errors.append(None)
+            except OSError as error:
+                errors.append(f"{type(error).__name__}: {error}")
+        yield pd.DataFrame({UNIT: batch[UNIT], "path": batch["path"], "error": errors})
+
+
 def _remove_units(spark, path, have):
     """Delete the units not among ``have`` (one column, '' for the default unit).
 
-    Spark lists the files and their units; a pool of threads deletes them as they
-    come.  Returns the units' names.
+    Spark lists the files and their units, and its tasks delete them, each its own; a task
+    that is repeated finds them gone.  Returns the stored report (unit, path, error), one
+    row a file; raises ``StaleUnitsLeft`` if a file could not be deleted.
     """
     listed = (
         spark.read.schema(f"path string, modificationTime timestamp, length long, content binary, {UNIT} string")
         .format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-        .select("path", F.coalesce(UNIT, F.lit("")).alias(UNIT))
+        .select(F.coalesce(UNIT, F.lit("")).alias(UNIT), "path")
     )
     stale = listed.join(have, F.col(UNIT) == F.col(have.columns[0]), "left_anti")
-    removed = set()
-    with ThreadPoolExecutor(DELETERS) as pool:
-        for row in stale.toLocalIterator():
-            removed.add(row[UNIT])
-            pool.submit(delete_file, row["path"])
-    return sorted(removed)
+    # the list is kept, so that what was to go is known whatever happens
+    stale = materialise(stale, "stale")
+    report = materialise(stale.mapInPandas(_deleted, _DELETED), "deleted")
+    left = report.where("error IS NOT NULL")
+    failed, first = left.agg(F.count(F.lit(1)), F.min(F.concat_ws(": ", "path", "error"))).first()
+    if failed:
+        raise StaleUnitsLeft(f"{failed} files of stale units are left, such as {first}")
+    return report
 
 
 def remove_stale_outcodes(spark, path, source):
-    """Delete the units whose outcode ``source`` lacks; returns those outcodes.
+    """Delete the units whose outcode ``source`` lacks; returns (outcode, n_files) of those.
 
     Exactly the files of each outcode go, not those of every name beginning with it.
     Rows of ``source`` without a postcode do not block the removal here; the default
     unit, of addresses without an outcode, goes when there are no such rows.
     """
     have = source.select(F.coalesce(outcode(F.col("postcode")), F.lit("")).alias("_have"))
-    return _remove_units(spark, path, have.distinct())
+    report = _remove_units(spark, path, have.distinct())
+    return report.groupBy(F.col(UNIT).alias("outcode")).agg(F.count(F.lit(1)).alias("n_files"))
 
 
 def lookup(layer, keys, column):

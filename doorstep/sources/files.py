@@ -21,21 +21,3 @@ def delete_folder(address):
     files, path = opened(address)
     if files.get_file_info(path).type == fs.FileType.Directory:
         files.delete_dir(path)
-
-
-def publish(staged, path, former):
-    """Put the folder ``staged`` in the place of ``path``.
-
-    The table that stood there is moved to ``former`` first and deleted last: a job
-    that ends in between leaves it whole there.
-    """
-    files, place = opened(path)
-    aside, ready = opened(former)[1], opened(staged)[1]
-    stood = files.get_file_info(place).type != fs.FileType.NotFound
-    if stood:
-        files.move(place, aside)
-    else:
-        files.create_dir(place.rsplit("/", 1)[0], recursive=True)
-    files.move(ready, place)
-    if stood:
-        files.delete_dir(aside)

@@ -1,3 +1,4 @@
+import glob
 import os
 
 import pytest
@@ -9,6 +10,7 @@ from doorstep import schemas
 from doorstep.operators.quality import LayerCheckFailed
 from doorstep.plans import layers, outcodes
 from doorstep.sources import tables
+from doorstep.sources.releases import NotPublished
 
 from conftest import rows_of
 
@@ -28,11 +30,32 @@ def test_all_three_layers(spark, folder):
         spark, raw_path, base, derive(fx.ELECTIONS), derive(fx.DIVISION_PIECES),
         derive(fx.ORGANISATION_PIECES), out, entry.AS_OF,
     )
-    units = outcodes.read_outcodes(spark, f"{out}/current_elections", schemas.BALLOTS_BY_ADDRESS)
+    units_path = layers.table(out, layers.ELECTIONS, "units")
+    units = outcodes.read_outcodes(spark, units_path, schemas.BALLOTS_BY_ADDRESS)
     wanted = ballots.where(F.size("ballot_ids") > 0).select("uprn", "ballot_ids")
     assert wanted.count() > 0
     assert rows_of(units.where(F.size("ballot_ids") > 0).select("uprn", "ballot_ids")) == rows_of(wanted)
 
+    # a refresh takes the units over: those that did not change keep their files
+    times = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{units_path}/unit=*/*.parquet")}
+    before = times()
+    least = wanted.select(F.explode("ballot_ids").alias("id")).groupBy("id").count().orderBy("count", "id").first()
+    one = derive(fx.ELECTIONS).where(F.col("election_id") != least["id"])
+    layers.bake_current_elections(
+        spark, raw_path, base, one, derive(fx.DIVISION_PIECES), derive(fx.ORGANISATION_PIECES), out,
+        entry.AS_OF, refresh=True,
+    )
+    assert layers.table(out, layers.ELECTIONS, "units") == units_path
+    kept = set(before.items()) & set(times().items())
+    layer = tables.read_by_letter(
+        spark, layers.table(out, layers.ELECTIONS, "ballots_by_address"), schemas.BALLOTS_BY_ADDRESS
+    )
+    assert kept and len(kept) < len(before)
+    fresh = f"{folder}/fresh"
+    outcodes.write_outcodes(layer, fresh, "ballot_ids")
+    read = lambda p: rows_of(outcodes.read_outcodes(spark, p, schemas.BALLOTS_BY_ADDRESS))
+    assert read(units_path) == read(fresh)
+
     source = {
         "reviews": derive(fx.REVIEWS),
         "organisations": derive(fx.ORGANISATIONS),
@@ -65,9 +88,11 @@ def test_a_refused_build_leaves_the_former_tables(spark, folder):
     derive = lambda text: entry._derive(spark, SF, text)
     sources = [derive(t) for t in (fx.ELECTIONS, fx.DIVISION_PIECES, fx.ORGANISATION_PIECES)]
     layers.bake_current_elections(spark, raw_path, base, *sources, out, entry.AS_OF)
-    units = lambda: outcodes.read_outcodes(spark, f"{out}/current_elections", schemas.BALLOTS_BY_ADDRESS)
+    units = lambda: outcodes.read_outcodes(
+        spark, layers.table(out, layers.ELECTIONS, "units"), schemas.BALLOTS_BY_ADDRESS
+    )
     before = base.count(), rows_of(units().select("uprn", "outcode"))
-    listed = sorted(os.listdir(out))
+    listed = [sorted(os.listdir(f"{out}/{d}")) for d in (".", "releases", "current/current_elections")]
 
     tables.write_raw_addresses(raw.unionAll(raw.limit(1)), f"{folder}/repeated")
     with pytest.raises(LayerCheckFailed):
@@ -75,9 +100,9 @@ def test_a_refused_build_leaves_the_former_tables(spark, folder):
     tables.write_raw_addresses(raw.limit(50), f"{folder}/fewer")
     with pytest.raises(LayerCheckFailed):  # addresses that the raw file lacks
         layers.bake_current_elections(spark, f"{folder}/fewer", base, *sources, out, entry.AS_OF)
-    again = tables.read_by_letter(spark, f"{out}/address_base", schemas.ADDRESS_BASE)
+    again = tables.read_by_letter(spark, layers.table(out, layers.ADDRESS_BASE, "address_base"), schemas.ADDRESS_BASE)
     assert (again.count(), rows_of(units().select("uprn", "outcode"))) == before
-    assert sorted(os.listdir(out)) == listed
+    assert [sorted(os.listdir(f"{out}/{d}")) for d in (".", "releases", "current/current_elections")] == listed
 
 
 def test_locations_that_are_no_point(spark, folder, caplog):
@@ -86,7 +111,8 @@ def test_locations_that_are_no_point(spark, folder, caplog):
     tables.write_raw_addresses(spark.createDataFrame(rows, schemas.RAW_ADDRESSES), f"{folder}/raw")
     with pytest.raises(layers.RejectedLocations):
         layers.bake_address_base(spark, f"{folder}/raw", f"{folder}/out")
-    assert not os.path.exists(f"{folder}/out/address_base")
+    with pytest.raises(NotPublished):
+        layers.table(f"{folder}/out", layers.ADDRESS_BASE, "address_base")
     base = layers.bake_address_base(spark, f"{folder}/raw", f"{folder}/out", allow_rejected=True)
     assert base.where("longitude IS NOT NULL").count() == 1
     assert "1 addresses have a location that is not a point" in caplog.text

@@ -1,6 +1,7 @@
 import glob
 import os
 
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -139,7 +140,7 @@ def test_remove_stale_takes_exact_outcodes(spark, folder):
     removed = outcodes.remove_stale_outcodes(
         spark, path, postcode_frame(spark, ["A11 9ZZ", None])
     )
-    assert removed == ["A1", "Q/1"]
+    assert rows_of(removed) == [("A1", 1), ("Q/1", 1)]
     left = outcodes.read_outcodes(spark, path, layer(spark, []).schema)
     assert rows_of(left.select("uprn", "outcode")) == [("2", "A11")]
 
@@ -172,3 +173,70 @@ def test_lookup_prunes_folders(spark, folder, asked):
     )
     plan = outcodes.lookup(stored, keys, "ballot_ids")._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan
+
+
+def file_times(path):
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/unit=*/*.parquet")}
+
+
+def test_refresh_writes_changed_units_only(spark, folder):
+    path = f"{folder}/units"
+    old = [(str(i), f"{'ABCDE'[i % 5]}{i % 3} {i % 7}AA", ["b"]) for i in range(150)]
+    outcodes.write_outcodes(layer(spark, old), path, "ballot_ids")
+    before = file_times(path)
+    new = [r for r in old if not r[1].startswith("A1 ")]  # a unit goes
+    new = [(u, p, ["c"] if u == "7" else b) for u, p, b in new]  # a row of C1 changes
+    new += [("900", "Z9 1AA", ["b"])]  # a unit comes
+    new.reverse()  # the order of rows is no change
+    outcodes.write_outcodes(layer(spark, new), path, "ballot_ids", refresh=True)
+    after = file_times(path)
+    changed = {f.split("unit=")[1].split("/")[0] for f in set(before.items()) ^ set(after.items())}
+    assert changed == {"A1", "C1", "Z9"} and len(set(before.items()) & set(after.items())) == 13
+    read = outcodes.read_outcodes(spark, path, layer(spark, []).schema)
+    assert rows_of(read.select("uprn", "postcode", "ballot_ids")) == sorted(new, key=repr)
+    # nothing changed: nothing is written
+    outcodes.write_outcodes(layer(spark, new), path, "ballot_ids", refresh=True)
+    assert file_times(path) == after
+
+
+def test_a_refresh_that_ended_half_way_is_mended_by_the_next(spark, folder, monkeypatch):
+    path = f"{folder}/units"
+    first = [("1", "A1 1AA", ["b"]), ("2", "B1 1AA", ["b"])]
+    second = [("1", "A1 1AA", ["c"]), ("2", "B1 1AA", ["b"])]
+    outcodes.write_outcodes(layer(spark, first), path, "ballot_ids")
+    with monkeypatch.context() as broken:
+        broken.setattr(outcodes, "_remove_units", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            outcodes.write_outcodes(layer(spark, second), path, "ballot_ids", refresh=True)
+    # the files of A1 are new, and going back to the first rows has to write them again
+    outcodes.write_outcodes(layer(spark, first), path, "ballot_ids", refresh=True)
+    read = outcodes.read_outcodes(spark, path, layer(spark, []).schema)
+    assert rows_of(read.select("uprn", "postcode", "ballot_ids")) == first
+
+
+def test_a_deletion_that_fails_is_reported(spark, folder):
+    path = f"{folder}/units"
+    outcodes.write_outcodes(layer(spark, [("1", "A1 1AA", ["b"]), ("2", "B1 1AA", ["b"])]), path, "ballot_ids")
+    for name in glob.glob(f"{path}/unit=B1/*.parquet"):
+        data = open(name, "rb").read()
+        os.remove(name)
+        os.mkdir(name)  # no file: it cannot be deleted as one
+        open(f"{name}/{os.path.basename(name)}", "wb").write(data)
+    rows = [("B1", name, "") for name in glob.glob(f"{path}/unit=B1/*.parquet")]
+    report = outcodes._deleted([pd.DataFrame(rows, columns=["unit", "path", "error"])])
+    assert all(e for batch in report for e in batch["error"])
+    gone = [pd.DataFrame([("B1", f"{path}/none.parquet")], columns=["unit", "path"])]
+    assert [list(b["error"]) for b in outcodes._deleted(gone)] == [[None]]
+
+
+def test_stale_units_that_stay_raise(spark, folder, monkeypatch):
+    path = f"{folder}/units"
+    outcodes.write_outcodes(layer(spark, [("1", "A1 1AA", ["b"]), ("2", "B1 1AA", ["b"])]), path, "ballot_ids")
+
+    def failing(batches):
+        for batch in batches:
+            yield batch.assign(error="PermissionError: no")
+
+    monkeypatch.setattr(outcodes, "_deleted", failing)
+    with pytest.raises(outcodes.StaleUnitsLeft, match="1 files .*B1.*PermissionError"):
+        outcodes.remove_stale_outcodes(spark, path, postcode_frame(spark, ["A1 1AA"]))
