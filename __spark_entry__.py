@@ -22,13 +22,14 @@ from pyspark.sql import functions as F
 
 from doorstep import fixtures as fx
 from doorstep.functions.text import outcode
+from doorstep.operators import content_sums as sums
 from doorstep.operators import duplicates, quality, same_members
 from doorstep.plans import address_base as base_plan
 from doorstep.plans import elections, outcodes, reviews
 from doorstep.sources.stage import materialise
 from doorstep.sources.stage import folder as stage_folder
 from doorstep.sources.tables import spread
-from doorstep.streaming import triggers
+from doorstep.streaming import held, triggers
 
 SOURCE = "addresses/version-1"
 AS_OF = "2026-03-01"
@@ -322,9 +323,39 @@ def key_set_mismatch(spark, d):
         "uprn",
         F.when(F.col("uprn") == "7", F.lit("seven")).otherwise(F.col("uprn")),
     )
+    changed = changed.unionAll(changed.where(F.col("uprn") == "11"))
     return _counts_only(quality.key_set_check(_raw(spark, d), changed))
 
 
+def key_sets_after_changes(spark, d):
+    """The key-set check from stored sums and the rows that came and went alone.
+
+    The same addresses change in both tables; then also the target alone repeats a key, or
+    keeps one that went; then the source alone repeats keys, which it may.
+    """
+    raw = _raw(spark, d)
+    source, target = raw.select("uprn"), _base(spark, d).select("uprn")
+    gone = source.where(F.col("uprn").cast("bigint") % 29 == 3)
+    came = source.where(F.col("uprn").cast("bigint") % 31 == 5).select(F.concat(F.lit("n"), "uprn").alias("uprn"))
+    again = source.where(F.col("uprn").cast("bigint") % 37 == 4)
+    none = source.where("false")
+    stored = materialise(sums.distinct_key_sums(source), "source-sums")
+    held = materialise(sums.key_sums(target), "target-sums")
+    found = None
+    for name, (deleted, inserted), (lost, got) in (
+        ("both", (gone, came), (gone, came)),
+        ("target repeats", (gone, came), (gone, came.unionAll(again))),
+        ("target keeps", (gone, came), (none, came)),
+        ("source repeats", (gone, came.unionAll(again)), (gone, came)),
+    ):
+        new, old = sums.key_change(source, deleted, inserted)
+        after = sums.merged((stored, 1), (sums.key_sums(new), 1), (sums.key_sums(old), -1))
+        now = sums.merged((held, 1), (sums.key_sums(got), 1), (sums.key_sums(lost), -1))
+        row = sums.sums_check(after, now).select(F.lit(name).alias("changed"), "*")
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
 def single_source(spark, d):
     return quality.single_source_check(_base(spark, d))
 
@@ -412,6 +443,51 @@ def stored_units(spark, d):
     return units.select("unit", "outcode", "postcode", "uprn", _joined("ballot_ids"))
 
 
+def ballots_after_change(spark, d):
+    """The elections layer brought up to date where areas or their ballots changed."""
+    base, ballots = _stored_base(spark, d), _ballots(spark, d)
+    before = _derive(spark, d, fx.BALLOTS_BEFORE)
+    layer = materialise(elections.ballots_by_address(base, before), "layer")
+    return _by_address(elections.update_ballots(base, layer, before, ballots))
+
+
+def _former_units(spark, layer):
+    layer.withColumn("ballot_ids", F.array_join("ballot_ids", "|")).createOrReplaceTempView("layer")
+    former = spark.sql(fx.FORMER_UNITS)
+    ids = F.filter(F.split("ballot_ids", r"\|"), lambda x: x != "")
+    return former.withColumn("ballot_ids", ids)
+
+
+def _unit_layer(spark, d):
+    layer = elections.ballots_by_address(_base(spark, d), _ballots(spark, d))
+    layer = materialise(layer.select("uprn", "postcode", "ballot_ids"), "layer")
+    return layer, materialise(_former_units(spark, layer).select("uprn", "postcode", "ballot_ids"), "former")
+
+
+def unit_changes(spark, d):
+    """What a refresh would do with each unit, from content sums of the two layers."""
+    layer, former = _unit_layer(spark, d)
+    found = [outcodes.unit_sums(outcodes.with_outcode(x), "ballot_ids") for x in (layer, former)]
+    return outcodes.unit_changes(*found)
+
+
+def refreshed_units(spark, d):
+    """Units of a former layer refreshed to the present one, and read back."""
+    path = f"{stage_folder(spark)}/doorstep-units-{uuid.uuid4().hex}"
+    layer, former = _unit_layer(spark, d)
+    outcodes.write_outcodes(former, path, "ballot_ids", unique=True)
+    outcodes.write_outcodes(layer, path, "ballot_ids", unique=True, refresh=True)
+    units = outcodes.read_outcodes(spark, path, layer.schema)
+    return units.select("unit", "outcode", "postcode", "uprn", _joined("ballot_ids"))
+
+
+def held_requests(spark, d):
+    """Rebuild requests held back until a layer has been quiet for five minutes."""
+    found = held.held_requests(_derive(spark, d, fx.CHANGE_EVENTS))
+    times = ["first_ts", "last_ts", "requested_at"]
+    return found.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in times})
+
+
 def rebuild_requests(spark, d):
     requests = triggers.rebuild_requests(_derive(spark, d, fx.CHANGE_EVENTS))
     return requests.withColumn(
@@ -463,6 +539,11 @@ QUERIES = [
     stale_outcodes_null_source,
     lookup_batch,
     stored_units,
+    key_sets_after_changes,
+    ballots_after_change,
+    unit_changes,
+    refreshed_units,
+    held_requests,
     rebuild_requests,
     routed_events,
 ]
@@ -837,7 +918,9 @@ FROM base a LEFT JOIN rollup r ON r.uprn = a.uprn""",
         "key_set_mismatch": _with(
             {
                 **ADDRESSES,
-                "changed": "SELECT CASE WHEN uprn = '7' THEN 'seven' ELSE uprn END AS uprn FROM base",
+                "changed": """
+SELECT CASE WHEN uprn = '7' THEN 'seven' ELSE uprn END AS uprn FROM base
+UNION ALL SELECT uprn FROM base WHERE uprn = '11'""",
             },
             _key_sets("changed"),
         ),
@@ -906,6 +989,72 @@ FROM asked k LEFT JOIN layer l ON l.uprn = k.uprn AND split_part(l.postcode, ' '
 SELECT u.outcode AS unit, u.outcode, u.postcode, u.uprn, u.ballot_ids
 FROM (SELECT *, split_part(postcode, ' ', 1) AS outcode FROM layer) u
 WHERE u.outcode IN (SELECT split_part(postcode, ' ', 1) FROM layer WHERE ballot_ids <> '')""",
+        ),
+        "ballots_after_change": _with(BALLOT_LAYER, "SELECT * FROM layer"),
+        "unit_changes": _with(
+            {
+                **BALLOT_LAYER,
+                "now": "SELECT split_part(postcode, ' ', 1) AS outcode, postcode, uprn, ballot_ids FROM layer",
+                "former": fx.FORMER_UNITS,
+                **{
+                    f"{t}_units": f"""
+SELECT outcode AS unit, count(*) AS n, list(concat_ws('#', postcode, uprn, ballot_ids) ORDER BY postcode, uprn) AS held
+FROM {t} GROUP BY 1 HAVING bool_or(ballot_ids <> '')"""
+                    for t in ("now", "former")
+                },
+            },
+            """
+SELECT coalesce(a.unit, b.unit) AS unit, coalesce(a.n, 0) AS n,
+       CASE WHEN b.unit IS NULL THEN 'added' WHEN a.unit IS NULL THEN 'removed'
+            WHEN a.held = b.held THEN 'kept' ELSE 'rewritten' END AS change
+FROM now_units a FULL JOIN former_units b ON a.unit = b.unit""",
+        ),
+        "refreshed_units": _with(
+            BALLOT_LAYER,
+            """
+SELECT u.outcode AS unit, u.outcode, u.postcode, u.uprn, u.ballot_ids
+FROM (SELECT *, split_part(postcode, ' ', 1) AS outcode FROM layer) u
+WHERE u.outcode IN (SELECT split_part(postcode, ' ', 1) FROM layer WHERE ballot_ids <> '')""",
+        ),
+        "key_sets_after_changes": _with(
+            {
+                "raw": fx.RAW_ADDRESSES,
+                "keys": "SELECT uprn, cast(uprn AS bigint) AS k FROM raw",
+                "left_": "SELECT uprn FROM keys WHERE k % 29 <> 3",
+                "came": "SELECT concat('n', uprn) AS uprn FROM keys WHERE k % 31 = 5",
+                "again": "SELECT uprn FROM keys WHERE k % 37 = 4",
+                "source_a": "SELECT uprn FROM left_ UNION ALL SELECT uprn FROM came",
+                "source_b": "SELECT uprn FROM source_a UNION ALL SELECT uprn FROM again",
+                "target_b": "SELECT uprn FROM source_a UNION ALL SELECT uprn FROM again",
+                "target_c": "SELECT uprn FROM keys UNION ALL SELECT uprn FROM came",
+            },
+            " UNION ALL ".join(
+                f"""
+SELECT '{name}' AS changed, (SELECT count(DISTINCT uprn) FROM {a}) AS source_distinct_count,
+       (SELECT count(*) FROM {b}) AS target_row_count,
+       CASE WHEN NOT EXISTS (SELECT uprn FROM {a} EXCEPT SELECT uprn FROM {b})
+             AND NOT EXISTS (SELECT uprn FROM {b} EXCEPT SELECT uprn FROM {a})
+             AND (SELECT count(*) = count(DISTINCT uprn) FROM {b}) THEN 'match' ELSE 'mismatch' END AS match_status"""
+                for name, a, b in (
+                    ("both", "source_a", "source_a"), ("target repeats", "source_a", "target_b"),
+                    ("target keeps", "source_a", "target_c"), ("source repeats", "source_b", "source_a"),
+                )
+            ),
+        ),
+        "held_requests": _with(
+            {
+                **EVENTS,
+                "fresh": """
+SELECT * FROM routed WHERE ts IS NOT NULL
+QUALIFY coalesce(ts >= lag(ts) OVER (PARTITION BY layer, content ORDER BY ts) + INTERVAL '5 minutes', true)""",
+                "begun": """
+SELECT *, coalesce(ts >= lag(ts) OVER (PARTITION BY layer ORDER BY ts) + INTERVAL '5 minutes', true) AS begins FROM fresh""",
+                "numbered": "SELECT *, sum(begins::int) OVER (PARTITION BY layer ORDER BY ts) AS request FROM begun",
+            },
+            """
+SELECT layer, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_ts,
+       strftime(max(ts) + INTERVAL '5 minutes', '%Y-%m-%d %H:%M:%S.%f') AS requested_at, count(*) AS n_events
+FROM numbered GROUP BY layer, request""",
         ),
         "rebuild_requests": _with(
             EVENTS,

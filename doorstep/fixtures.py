@@ -24,24 +24,28 @@ FROM orders
 
 BALLOTS = """
 WITH g AS (SELECT n_nationkey AS n, n_name, cast(n_nationkey % 5 AS int) AS i,
-                  cast(floor(n_nationkey / 5.0) AS int) AS j FROM nation WHERE n_nationkey % 7 <> 6)
+                  cast(floor(n_nationkey / 5.0) AS int) AS j, n_nationkey % 7 = 6 AS small FROM nation)
 SELECT concat('local.', n_name) AS election_id, cast(n AS varchar(20)) AS division_id,
        concat('POLYGON((', i, ' ', j, ',', i + 1, ' ', j, ',', i + 1, ' ', j + 1, ',', i, '.5 ', j, '.75,',
               i, ' ', j + 1, ',', i, ' ', j, '),(', i, '.125 ', j, '.125,', i, '.375 ', j, '.125,',
               i, '.25 ', j, '.375,', i, '.125 ', j, '.125))') AS geometry, 'Division' AS source_table
-FROM g WHERE n % 3 <> 0
+FROM g WHERE n % 3 <> 0 AND NOT small
+UNION ALL
+SELECT concat('local.', n_name), cast(n AS varchar(20)),
+       concat('POLYGON((', i, '.25 ', j, '.25,', i, '.5 ', j, '.25,', i, '.25 ', j, '.5,', i, '.25 ', j, '.25))'), 'Division'
+FROM g WHERE small
 UNION ALL
 SELECT concat('local.', n_name), cast(n AS varchar(20)),
        concat('POLYGON((', i, ' ', j, ',', i, '.5 ', j, ',', i, '.5 ', j + 1, ',', i, ' ', j + 1, ',', i, ' ', j, '))'), 'Division'
-FROM g WHERE n % 3 = 0
+FROM g WHERE n % 3 = 0 AND NOT small
 UNION ALL
 SELECT concat('local.', n_name), cast(n AS varchar(20)),
        concat('POLYGON((', i, '.5 ', j, ',', i + 1, ' ', j, ',', i + 1, ' ', j + 1, ',', i, '.5 ', j + 1, ',', i, '.5 ', j, '))'), 'Division'
-FROM g WHERE n % 3 = 0
+FROM g WHERE n % 3 = 0 AND NOT small
 UNION ALL
 SELECT concat('parl.', r_name), concat('o', cast(r_regionkey AS varchar(20))),
        concat('POLYGON((', r_regionkey, ' 0,', r_regionkey + 1, ' 0,', r_regionkey + 1, ' 4,', r_regionkey, ' 4,', r_regionkey, ' 0))'), 'Organisation'
-FROM region WHERE r_regionkey < 4
+FROM region
 UNION ALL
 SELECT concat('none.', r_name), CAST(NULL AS varchar(20)), CAST(NULL AS varchar(20)), 'None' FROM region
 """
@@ -49,7 +53,7 @@ SELECT concat('none.', r_name), CAST(NULL AS varchar(20)), CAST(NULL AS varchar(
 BOUNDARY_CHANGES = """
 WITH t AS (SELECT 'WAC' AS division_type UNION ALL SELECT 'CED'),
 g AS (SELECT cast(n_nationkey % 5 AS int) AS i, cast(floor(n_nationkey / 5.0) AS int) AS j, division_type
-      FROM nation CROSS JOIN t WHERE NOT (division_type = 'CED' AND n_nationkey % 5 > 1)),
+      FROM nation CROSS JOIN t),
 d AS (
 SELECT i, j, division_type, 'old' AS gen, concat('ward-', j) AS slug, concat(j, '.0') AS y0, concat(j + 1, '.0') AS y1 FROM g
 UNION ALL
@@ -77,6 +81,27 @@ SELECT concat('e.', cast(p_partkey AS varchar(20))) AS election_id,
 FROM part
 """
 
+# Ballots as they were before: one outline larger, one election more on an area, one
+# area gone and one that is no longer there.
+BALLOTS_BEFORE = """
+SELECT election_id, division_id,
+       CASE WHEN division_id = '4' THEN 'POLYGON((3.5 0,5 0,5 1.5,3.5 1.5,3.5 0))' ELSE geometry END AS geometry, source_table
+FROM (""" + BALLOTS + """) b WHERE coalesce(division_id, '') <> '11'
+UNION ALL
+SELECT concat('former.', election_id), division_id, geometry, source_table FROM (""" + BALLOTS + """) b WHERE division_id = '16'
+UNION ALL
+SELECT 'former', 'f', 'POLYGON((0.5 3.5,1.5 3.5,1.5 4.5,0.5 4.5,0.5 3.5))', 'Division'
+"""
+
+# The layer's rows as (outcode, postcode, uprn, ballot_ids text) before a refresh of its units: some
+# addresses have moved since, some ballots are gone, an outcode is new and another empty.
+FORMER_UNITS = """
+SELECT outcode, concat(outcode, substr(postcode, length(split_part(postcode, ' ', 1)) + 1)) AS postcode, uprn,
+       CASE WHEN uprn IN ('40', '400') THEN 'gone' WHEN outcode = 'D2' THEN '' ELSE ballot_ids END AS ballot_ids
+FROM (SELECT uprn, postcode, ballot_ids,
+             CASE WHEN split_part(postcode, ' ', 1) = 'C3' THEN 'Z99' ELSE split_part(postcode, ' ', 1) END AS outcode FROM layer) u
+"""
+
 # Small concave areas, one per supplier, spread over the addresses and overlapping.
 WARD_BALLOTS = """
 SELECT concat('ward.', cast(k AS varchar(20))) AS election_id, cast(k AS varchar(20)) AS division_id,

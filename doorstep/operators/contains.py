@@ -10,7 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from .skew import BROADCAST_BYTES, salted_join
+from ..sources.stage import materialise
+from .skew import BROADCAST_BYTES, lookup_join, salted_join
 
 # Wanted cells per piece: more cells mean fewer segment tests but a larger cover.  The
 # first grid that can be broadcast is taken, and the one to shuffle by otherwise.
@@ -309,3 +310,46 @@ def contains_lists(
     return joined.select(
         *points.columns, F.expr(f"coalesce({found}, array())").alias(value)
     )
+
+
+class Touched:
+    """The grid cells met by polygons that only one of two tables holds.
+
+    A point elsewhere lies in the same polygons of both tables, so what was found for it
+    before still holds.  Polygons are compared as whole rows, repeats included; the grid
+    suits the changed ones alone, and only these are cut.
+    """
+
+    def __init__(self, before, after, wkt="geometry", level=None, broadcast_bytes=BROADCAST_BYTES):
+        after = after.select(*before.columns)
+        changed = materialise(before.exceptAll(after).unionAll(after.exceptAll(before)), "changed")
+        size = measure_cover(changed.select(wkt), wkt)
+        self.level = size.level(broadcast_bytes) if level is None else level
+        self.broadcast_bytes = broadcast_bytes
+        cells = _cells(changed.select(wkt), size, self.level, wkt)
+        self.cells = materialise(cells.select("_pcx_r", "_pcy_r").distinct(), "touched")
+
+    def _cut(self, points, how, x, y):
+        placed = _placed(points, x, y, self.level)
+        kept = lookup_join(placed, self.cells, CELL_KEYS, how, self.broadcast_bytes)
+        return kept.select(*points.columns)
+
+    def inside(self, points, x="longitude", y="latitude"):
+        return self._cut(points, "left_semi", x, y)
+
+    def outside(self, points, x="longitude", y="latitude"):
+        """The others, those without a place among them."""
+        return self._cut(points, "left_anti", x, y)
+
+
+def contains_update(
+    found, points, before, after, *, x="longitude", y="latitude", wkt="geometry", touched=None, **options
+):
+    """``contains_join(points, after)`` from ``found``, the result for ``before``.
+
+    Only points in cells that changed polygons meet are joined again.  ``points`` are
+    those that ``found`` was made of; both are read once per side of the cut.
+    """
+    touched = touched or Touched(before, after, wkt)
+    again = contains_join(touched.inside(points, x, y), after, x=x, y=y, wkt=wkt, **options)
+    return touched.outside(found, x, y).unionByName(again.select(*found.columns))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators.contains import (
     BROADCAST_BYTES,
+    Touched,
     contains_join,
     contains_lists,
     measure_cover,
@@ -151,6 +152,26 @@ def ballots_by_address(
     )
 
 
+def update_ballots(addresses, layer, before, after, level=None, broadcast_bytes=BROADCAST_BYTES):
+    """``ballots_by_address(addresses, after)`` from ``layer``, that of the ballots ``before``.
+
+    The addresses in grid cells that a changed area meets, an area whose outline or ballots
+    differ, are joined again, with all rows they have; the layer's other rows are kept.
+    """
+    areas = [materialise(ballot_areas(b).select("election_ids", "geometry"), "areas") for b in (before, after)]
+    touched = Touched(*areas, level=level, broadcast_bytes=broadcast_bytes)
+    # all fields of an address as text: none of it is null
+    address = F.to_json(F.struct(*ADDRESS_KEYS), {"ignoreNullFields": "false"})
+    moved = materialise(touched.inside(addresses).select(address.alias("_moved")).distinct(), "moved")
+
+    def cut(rows, how):
+        keyed = rows.withColumn("_address", address)
+        return lookup_join(keyed, moved, [("_address", "_moved")], how, broadcast_bytes).select(*rows.columns)
+
+    again = ballots_by_address(cut(addresses, "left_semi"), after, level, broadcast_bytes)
+    return cut(layer, "left_anti").unionByName(again)
+
+
 def ballots_by_address_union(
     addresses, ballots, level=None, broadcast_bytes=BROADCAST_BYTES
 ):
