@@ -21,11 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doorstep import fixtures as fx
+from doorstep import schemas
 from doorstep.functions.text import outcode
 from doorstep.operators import content_sums as sums
 from doorstep.operators import duplicates, quality, same_members
 from doorstep.plans import address_base as base_plan
 from doorstep.plans import elections, outcodes, reviews
+from doorstep.sources import quarantine, tables
 from doorstep.sources.stage import materialise
 from doorstep.sources.stage import folder as stage_folder
 from doorstep.sources.tables import spread
@@ -112,6 +114,68 @@ def rejected_locations(spark, d):
     return base_plan.rejected_locations(spoiled).select("uprn", "location")
 
 
+def _spoiled_lines(spark, d):
+    """The raw addresses as lines of text, some of them short, long or badly quoted."""
+    k = F.col("uprn").cast("bigint")
+    kept = F.concat_ws(
+        ",", "uprn", F.concat(F.lit('"'), "address", F.when(k % 23 == 3, "").otherwise('"')), "postcode", "location"
+    )
+    line = F.when(k % 23 == 1, kept).when(k % 23 == 2, F.concat_ws(",", kept, "address_type", F.lit("more")))
+    return _raw(spark, d).select(line.otherwise(F.concat_ws(",", kept, "address_type")).alias("value"))
+
+
+def quarantined_lines(spark, d):
+    """How many lines of a raw file are rows, and why the others are not."""
+    path = f"{stage_folder(spark)}/doorstep-lines-{uuid.uuid4().hex}"
+    _spoiled_lines(spark, d).write.text(path)
+    scanned = quarantine.scan_raw_addresses(spark, path)
+    return scanned.groupBy(F.coalesce("reason", F.lit("row")).alias("kind")).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def quarantined_rows(spark, d):
+    """The good rows of such a file."""
+    path = f"{stage_folder(spark)}/doorstep-lines-{uuid.uuid4().hex}"
+    _spoiled_lines(spark, d).write.text(path)
+    return quarantine.good_addresses(quarantine.scan_raw_addresses(spark, path))
+
+
+def raw_addresses_file(spark, d):
+    """Raw addresses written as CSV without a header, and read back."""
+    path = f"{stage_folder(spark)}/doorstep-raw-{uuid.uuid4().hex}"
+    tables.write_raw_addresses(_raw(spark, d), path)
+    return tables.read_raw_addresses(spark, path)
+
+
+def ballots_file(spark, d):
+    """Ballots of supplier size written as CSV with a header, and read back."""
+    path = f"{stage_folder(spark)}/doorstep-ballots-{uuid.uuid4().hex}"
+    tables.write_ballots(_derive(spark, d, fx.WARD_BALLOTS), path)
+    return tables.read_ballots(spark, path)
+
+
+def boundary_changes_files(spark, d):
+    """The review export written as CSV in three levels of folders, and read back typed."""
+    path = f"{stage_folder(spark)}/doorstep-changes-{uuid.uuid4().hex}"
+    tables.write_boundary_changes(_export(spark, d), path)
+    return tables.read_boundary_changes(spark, path)
+
+
+def letters_stored(spark, d):
+    """The address base stored by letter, and some letters read from their folders alone."""
+    path = f"{stage_folder(spark)}/doorstep-letters-{uuid.uuid4().hex}"
+    tables.write_by_letter(_base(spark, d), path)
+    found = tables.read_by_letter(spark, path, schemas.ADDRESS_BASE, ["A", "Q", "X"])
+    return found.select("uprn", "postcode", "addressbase_source", "first_letter")
+
+
+def ballots_as_of_today(spark, d):
+    """The elections export with the default cutoff, thirty days before today."""
+    return elections.current_ballots(
+        _derive(spark, d, fx.ELECTIONS), _derive(spark, d, fx.DIVISION_PIECES),
+        _derive(spark, d, fx.ORGANISATION_PIECES),
+    )
+
+
 def first_letter_counts(spark, d):
     return base_plan.first_letter_counts(_base(spark, d))
 
@@ -503,6 +567,13 @@ def routed_events(spark, d):
 QUERIES = [
     address_base,
     rejected_locations,
+    quarantined_lines,
+    quarantined_rows,
+    raw_addresses_file,
+    ballots_file,
+    boundary_changes_files,
+    letters_stored,
+    ballots_as_of_today,
     first_letter_counts,
     letters_filter,
     ballots_by_address,
@@ -820,6 +891,26 @@ SELECT uprn, CASE WHEN cast(uprn AS bigint) % 13 = 0 THEN replace(location, ' ',
 WHERE split_part(location, ';', 2) <> ''
   AND NOT regexp_full_match(split_part(location, ';', 2), 'POINT\(\d\.\d{3} \d\.\d{3}\)')""",
         ),
+        "quarantined_lines": _with(
+            {"raw": fx.RAW_ADDRESSES},
+            """
+SELECT CASE cast(uprn AS bigint) % 23 WHEN 1 THEN 'few fields' WHEN 2 THEN 'many fields' WHEN 3 THEN 'open quote'
+       ELSE 'row' END AS kind, count(*) AS n_lines FROM raw GROUP BY 1""",
+        ),
+        "quarantined_rows": _with(
+            {"raw": fx.RAW_ADDRESSES}, "SELECT * FROM raw WHERE cast(uprn AS bigint) % 23 NOT IN (1, 2, 3)"
+        ),
+        "raw_addresses_file": _with({"raw": fx.RAW_ADDRESSES}, "SELECT * FROM raw"),
+        "ballots_file": _with({"wards": fx.WARD_BALLOTS}, "SELECT * FROM wards"),
+        "boundary_changes_files": _with(EXPORT, "SELECT * FROM export"),
+        "letters_stored": _with(
+            ADDRESSES,
+            "SELECT uprn, postcode, addressbase_source, first_letter FROM base WHERE first_letter IN ('A', 'Q', 'X')",
+        ),
+        "ballots_as_of_today": _with(
+            {k: v.replace(f"DATE '{AS_OF}'", "current_date - 30") for k, v in CURRENT_BALLOTS.items()},
+            "SELECT * FROM exported",
+        ),
         "first_letter_counts": _with(
             ADDRESSES, "SELECT first_letter, count(*) AS n_addresses FROM base GROUP BY 1"
         ),

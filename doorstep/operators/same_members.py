@@ -66,8 +66,11 @@ def _compared(suspects, within):
 
 def _members(rows, first, second, member, within):
     """How often each member is in each group of either grouping."""
+    # names of two types are compared as text
+    kinds = {rows.schema[c].dataType.simpleString() for c in (first, second)}
+    kind = kinds.pop() if len(kinds) == 1 else "string"
     names = F.array(*[
-        F.struct(F.lit(i).alias("_side"), F.col(c).cast("string").alias("_name"))
+        F.struct(F.lit(i).alias("_side"), F.col(c).cast(kind).alias("_name"))
         for i, c in enumerate((first, second))
     ])
     return (

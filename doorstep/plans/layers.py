@@ -7,13 +7,16 @@ build that is refused, or a job that ends half way, leaves what was published as
 
 import logging
 
+from pyspark.sql import functions as F
+
 from .. import schemas
 from ..operators.duplicates import has_unique_keys
 from ..operators.quality import LayerCheckFailed, assert_single_source, check_layer
 from ..sources import tables
+from ..sources.quarantine import LOCATION, rejected_lines, scan_raw_addresses
 from ..sources.releases import Release
 from ..sources.releases import table_path as table
-from .address_base import build_address_base, rejected_locations
+from .address_base import build_address_base
 from .elections import ballots_by_address, current_ballots
 from .outcodes import index_path, read_outcodes, sums_path, write_outcodes
 from .reviews import address_changes, boundary_changes, reviews_by_address
@@ -22,7 +25,10 @@ logger = logging.getLogger(__name__)
 
 
 class RejectedLocations(LayerCheckFailed):
-    """Addresses whose location is not a point."""
+    """Lines that are no rows, or addresses whose location is not a point."""
+
+
+_REJECTED = {LOCATION: "addresses have a location that is not a point"}
 
 
 # The layers' names, and the tables each publishes.
@@ -34,20 +40,26 @@ REVIEWS = "boundary_reviews"
 def bake_address_base(spark, raw_path, out, allow_rejected=False):
     """Raw address file to the address base by first letter.
 
-    Locations that are no point are counted and logged, and refused unless allowed:
-    their addresses then have no coordinates and lie in no area.
+    Lines that are no rows, and locations that are no point, are counted and logged, and
+    refused unless allowed.  Then they are published beside the layer, as
+    ``rejected_lines``: lines are left out, and an address without a point has no
+    coordinates and lies in no area.
     """
-    raw = tables.read_raw_addresses(spark, raw_path)
-    rejected = rejected_locations(raw).count()
-    if rejected:
-        message = f"{rejected} addresses have a location that is not a point"
+    scanned = scan_raw_addresses(spark, raw_path)
+    reasons = {r["reason"]: r["n"] for r in scanned.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).collect()}
+    reasons.pop(None, None)
+    messages = [f"{n} {_REJECTED.get(reason, f'lines have {reason}')}" for reason, n in sorted(reasons.items())]
+    for message in messages:
         logger.error("%s", message)
-        if not allow_rejected:
-            raise RejectedLocations([message])
+    if messages and not allow_rejected:
+        raise RejectedLocations(messages)
+    raw = scanned.where(F.col("reason").isNull() | (F.col("reason") == LOCATION))
+    raw = raw.select(*schemas.RAW_ADDRESSES.fieldNames())
     with Release(out, ADDRESS_BASE) as release:
         path = release.path("address_base")
         tables.write_by_letter(build_address_base(raw, raw_path), path)
         check_layer(raw, tables.read_by_letter(spark, path, schemas.ADDRESS_BASE))
+        rejected_lines(scanned).write.parquet(release.path("rejected_lines"))
     return tables.read_by_letter(spark, path, schemas.ADDRESS_BASE)
 
 

@@ -94,3 +94,20 @@ def test_equal_hashes_are_compared_member_by_member(spark, monkeypatch):
 def test_missing_keys_meet(spark):
     df = spark.createDataFrame([(None, "a", "b", "u1")], SCHEMA)
     assert rows_of(same_members(df, "a", "b", "u", ["g"])) == [(None, "a", "b")]
+
+
+def test_rows_are_read_once(spark, folder):
+    """The result reads the stored sums alone, and the rows are read by one job."""
+    rows = [(g, f"d{i % 5}", f"e{i % 4}", f"u{i}") for g in range(6) for i in range(40)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{folder}/rows")
+    stored = spark.read.schema(SCHEMA).parquet(f"{folder}/rows")
+    plan = same_members(stored, "a", "b", "u", ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") <= 4 and f"{folder}/rows" not in plan
+    assert plan.count("Generate") == 0
+
+
+def test_names_keep_their_type(spark):
+    rows = [(1, 1, 2, "u"), (1, 3, 4, "v")]
+    df = spark.createDataFrame(rows, "g int, a int, b int, u string")
+    found = same_members(df, "a", "b", "u", ["g"])
+    assert rows_of(found) == [(1, 1, 2), (1, 3, 4)] and found.schema["a"].dataType.simpleString() == "int"
