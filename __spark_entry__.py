@@ -481,17 +481,30 @@ def stale_outcodes_null_source(spark, d):
     return outcodes.stale_outcodes(older, nulled)
 
 
+def _asked(base):
+    following = (F.col("uprn").cast("bigint") + 1).cast("string")
+    return base.select("outcode", "uprn").unionAll(base.select("outcode", following.alias("uprn")))
+
+
 def lookup_batch(spark, d):
     """The ballots at each order's own address and at the next one, which may not be."""
     base = _base(spark, d)
     layer = outcodes.with_outcode(
         elections.ballots_by_address(base, _ballots(spark, d))
     )
-    following = (F.col("uprn").cast("bigint") + 1).cast("string")
-    keys = base.select("outcode", "uprn").unionAll(
-        base.select("outcode", following.alias("uprn"))
+    return outcodes.lookup(layer, _asked(base), "ballot_ids").select(
+        "outcode", "uprn", _joined("ballot_ids")
     )
-    return outcodes.lookup(layer, keys, "ballot_ids").select(
+
+
+def lookup_in_units(spark, d):
+    """The same from stored units, of which only those asked for are read."""
+    path = f"{stage_folder(spark)}/doorstep-units-{uuid.uuid4().hex}"
+    base = _base(spark, d)
+    layer = materialise(elections.ballots_by_address(base, _ballots(spark, d)), "layer")
+    outcodes.write_outcodes(layer, path, "ballot_ids", unique=True)
+    units = outcodes.read_outcodes(spark, path, layer.schema)
+    return outcodes.lookup(units, _asked(base), "ballot_ids").select(
         "outcode", "uprn", _joined("ballot_ids")
     )
 
@@ -609,6 +622,7 @@ QUERIES = [
     stale_outcodes,
     stale_outcodes_null_source,
     lookup_batch,
+    lookup_in_units,
     stored_units,
     key_sets_after_changes,
     ballots_after_change,
@@ -1072,6 +1086,17 @@ UNION ALL SELECT outcode, cast(cast(uprn AS bigint) + 1 AS varchar) FROM base"""
             },
             """
 SELECT k.outcode, k.uprn, coalesce(l.ballot_ids, '') AS ballot_ids
+FROM asked k LEFT JOIN layer l ON l.uprn = k.uprn AND split_part(l.postcode, ' ', 1) = k.outcode""",
+        ),
+        "lookup_in_units": _with(
+            {
+                **BALLOT_LAYER,
+                "asked": """
+SELECT outcode, uprn FROM base
+UNION ALL SELECT outcode, cast(cast(uprn AS bigint) + 1 AS varchar) FROM base""",
+            },
+            """
+SELECT k.outcode, k.uprn, coalesce(l.ballot_ids, '') AS ballot_ids
 FROM asked k LEFT JOIN layer l ON l.uprn = k.uprn AND split_part(l.postcode, ' ', 1) = k.outcode""",
         ),
         "stored_units": _with(

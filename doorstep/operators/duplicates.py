@@ -5,6 +5,7 @@ import logging
 from pyspark.sql import functions as F
 
 from ..functions.text import first_letter
+from ..sources.stage import materialise
 from .skew import salted_join
 
 logger = logging.getLogger(__name__)
@@ -31,18 +32,21 @@ def has_unique_keys(df, key="uprn"):
     return duplicate_keys(df, key).isEmpty()
 
 
-def duplicated_rows(df, key="uprn"):
-    """Every row whose key occurs more than once, ordered by key."""
-    repeated = duplicate_keys(df, key).select(
+def _of_keys(df, keys, key, how):
+    """The rows of ``df`` whose key is among ``keys`` (left_semi) or not (left_anti)."""
+    chosen = keys.select(
         F.coalesce(key, F.lit("")).alias("_dup"), F.col(key).isNull().alias("_dup_null")
     )
     marked = df.withColumns(
         {"_key": F.coalesce(key, F.lit("")), "_key_null": F.col(key).isNull()}
     )
-    kept = salted_join(
-        marked, repeated, [("_key", "_dup"), ("_key_null", "_dup_null")], how="left_semi"
-    )
-    return kept.select(*df.columns).orderBy(key)
+    kept = salted_join(marked, chosen, [("_key", "_dup"), ("_key_null", "_dup_null")], how=how)
+    return kept.select(*df.columns)
+
+
+def duplicated_rows(df, key="uprn"):
+    """Every row whose key occurs more than once, ordered by key."""
+    return _of_keys(df, duplicate_keys(df, key), key, "left_semi").orderBy(key)
 
 
 def _message(count, letter):
@@ -59,10 +63,12 @@ def _report(error):
 def resolve_duplicates(df, key="uprn", letter=None, on_identical=_report):
     """``df`` without repeated rows, or ``ConflictingDuplicates``.
 
-    Without repeated keys ``df`` comes back as it is, after one narrow count.  The rule
-    is applied per first letter: exact copies are dropped and reported once for the
-    letter, and any key whose rows differ refuses the whole input.  ``letter`` is the
-    column to group by, by default the first letter of the postcode.
+    Without repeated keys ``df`` comes back as it is, after one narrow count.  Otherwise
+    only the rows of repeated keys are compared, as whole rows, and the result is stored,
+    so that its readers do not repeat that.  The rule is applied per first letter: exact
+    copies are dropped and reported once for the letter, and any key whose rows differ
+    refuses the whole input.  ``letter`` is the column to group by, by default the first
+    letter of the postcode; a row per letter with repeats reaches the driver.
     """
     if letter is None:
         letter = (
@@ -70,28 +76,24 @@ def resolve_duplicates(df, key="uprn", letter=None, on_identical=_report):
             if "first_letter" in df.columns
             else first_letter(F.col("postcode"))
         )
-    lettered = df.withColumn("_letter", letter)
-    repeats = (
-        key_counts(lettered, key, ["_letter"])
-        .where(F.col("n_rows") > 1)
-        .groupBy("_letter")
-        .agg(F.count(F.lit(1)).alias("n"))
+    repeats = materialise(
+        key_counts(df.select(key, letter.alias("_letter")), key, ["_letter"]).where(F.col("n_rows") > 1),
+        "repeats",
     )
-    # One row per first letter with repeats.
-    found = {row["_letter"]: row["n"] for row in repeats.collect()}
+
+    def per_letter(keys):
+        counted = keys.groupBy("_letter").agg(F.count(F.lit(1)).alias("n"))
+        return {row["_letter"]: row["n"] for row in counted.collect()}
+
+    found = per_letter(repeats)
     if not found:
         return df
 
-    variants = lettered.distinct()
-    conflicts = (
-        key_counts(variants, key, ["_letter"])
-        .where(F.col("n_rows") > 1)
-        .groupBy("_letter")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    differing = sorted(
-        (row["_letter"] for row in conflicts.collect()), key=lambda v: (v is None, v)
-    )
+    keys = repeats.select(key).distinct()
+    variants = materialise(_of_keys(df, keys, key, "left_semi").distinct(), "variants")
+    lettered = variants.select(key, letter.alias("_letter"))
+    conflicts = per_letter(key_counts(lettered, key, ["_letter"]).where(F.col("n_rows") > 1))
+    differing = sorted(conflicts, key=lambda v: (v is None, v))
     if differing:
         raise ConflictingDuplicates(
             "; ".join(_message(found[v], v) for v in differing)
@@ -104,4 +106,4 @@ def resolve_duplicates(df, key="uprn", letter=None, on_identical=_report):
                 + ": all copies are identical and were reduced to one."
             )
         )
-    return df.dropDuplicates()
+    return materialise(_of_keys(df, keys, key, "left_anti").unionByName(variants), "resolved")
