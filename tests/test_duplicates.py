@@ -99,3 +99,15 @@ def test_report(spark):
 def test_empty_key_is_not_a_missing_key(spark):
     df = spark.createDataFrame([("", "A1", "v"), (None, "A1", "v")], SCHEMA)
     assert duplicated_rows(df).count() == 0
+
+
+def test_only_rows_of_repeated_keys_are_gathered(spark):
+    """The others come back as they are, whatever columns they have, and once."""
+    rows = [(str(i), "A1 1AA", "v1") for i in range(50)] + [("7", "A1 1AA", "v1"), (None, "A1 1AA", "v1"), (None, "A1 1AA", "v1")]
+    df = spark.createDataFrame(rows, "uprn string, postcode string, addressbase_source string")
+    errors = []
+    found = resolve_duplicates(df, on_identical=errors.append)
+    assert rows_of(found) == sorted(set(rows), key=repr)
+    assert len(errors) == 1 and str(errors[0]).startswith("2 UPRNs have duplicate rows for first_letter=A")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # stored: readers do not resolve again
