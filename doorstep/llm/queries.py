@@ -37,7 +37,11 @@ _QUERIES = [
 ]
 
 #: The others cannot be written in SQL; tests compare them with brute force instead.
-SQL = {"op12_manifest": sql.OP12_MANIFEST, "op13_phrases": sql.OP13_PHRASES}
+SQL = {
+    "op7_pivots": sql.OP7_PIVOTS,
+    "op12_manifest": sql.OP12_MANIFEST,
+    "op13_phrases": sql.OP13_PHRASES,
+}
 
 
 def _registered(query):

@@ -98,3 +98,15 @@ FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
 WHERE coalesce(most < a, true)
 QUALIFY rank <= 2000
 """
+
+OP7_PIVOTS = """
+WITH vectors AS (
+SELECT row_number() OVER () AS row_id, vec_id, list_transform(embedding, lambda x: floor(64 * cast(x AS double))) AS v
+FROM embeddings
+WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+SELECT q.row_id, q.vec_id AS query_id, c.vec_id, cast(list_inner_product(q.v, c.v) AS bigint) AS score
+FROM vectors q JOIN vectors c ON c.row_id <> q.row_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, cast(row_number() OVER (PARTITION BY row_id ORDER BY score DESC, vec_id) AS int) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
