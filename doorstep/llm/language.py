@@ -32,7 +32,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .shared import widened
-from .text import LOWER, buffers, fold, whole_rows
+from .text import CACHES, LOWER, buffers, fold, forget, whole_rows
 
 #: Bound of the labelled sample, per language.
 SAMPLE_DOCS = 48
@@ -245,7 +245,7 @@ def fit(docs, usable=None):
     return {x: s for x, s in samples.items() if s.strip()}
 
 
-_parsers = {}
+_parsers = CACHES.setdefault("language", {})
 
 
 def _parser(samples):
@@ -266,6 +266,7 @@ def identify(docs, samples, prefix=""):
     place = docs.columns.index("text")
 
     def run(batches):
+        forget("language")
         parser = _parser(samples)
         for batch in whole_rows(batches, place):
             names, score, bits = parser.identify(*buffers(batch.column(place)))

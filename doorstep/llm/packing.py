@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from .shared import stored, widened
-from .text import buffers, whole_rows
+from .text import buffers, forget, whole_rows
 from .vocab import encoder, tokenizer_path
 
 CAPACITY = 2048
@@ -70,6 +70,7 @@ def first_fit_decreasing(lengths, capacity=CAPACITY):
 def token_pieces(docs, path, end=END, capacity=CAPACITY, with_ids=False):
     """The pieces of every whole text: a row of numbers each, and the ids if asked for."""
     def run(batches):
+        forget("vocab")
         encode = encoder(path)
         for batch in whole_rows(batches, 1, ENCODE_BYTES):
             data, offsets = buffers(batch.column(1))

@@ -9,9 +9,9 @@ over a part's words give those of all its n-grams at once.  Language and length
 a part of its text, the shuffle those of all tasks; along go the sum of the second
 fingerprints, by a prime, and the least digest of a text in which the phrase occurs, the
 pointer.  An n-gram is looked at only if both (n-1)-grams inside it are frequent, which it
-needs to be frequent itself.  Tasks know the frequent ones by a bit table of ``TABLE_BITS``
-bits, so what is broadcast has one size whatever the corpus; a table that fills lets more
-pass, and no result changes.
+needs to be frequent itself.  Tasks know the frequent ones by a bit table
+(``bittable``) of one size whatever the corpus; a table that fills lets more pass, and no
+result changes.
 
 **Texts.**  Only frequent phrases become text.  Their pointers fall on the few texts of the
 smallest digests; these are read again and the phrases found in them by their fingerprint.
@@ -34,14 +34,14 @@ import xxhash
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from . import bittable
+from .bittable import BitTable, mixed
 from .shared import stored
 from .text import LOWER, buffers, whole_rows
 
 LONGEST = 5
 LEAST = 100
 FIRST = 2000
-#: Bits of the table of frequent fingerprints: 16 MB.
-TABLE_BITS = 27
 #: Bytes of text handled at once.
 PART_BYTES = 2 << 20
 
@@ -57,12 +57,6 @@ _WORDS = [np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 _PRIME = (1 << 31) - 1
 
 
-def _mixed(x):
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 @functools.lru_cache(8)
 def _powers_of(base, n):
     return np.cumprod(np.r_[np.uint64(1), np.full(n - 1, base, np.uint64)])
@@ -102,7 +96,7 @@ class Words:
         for byte, word in zip(_BYTES, _WORDS):
             if len(size):
                 h = np.add.reduceat(held * _powers(byte, int(size.max()))[nth], begin)
-                h = _mixed(h + size.astype(np.uint64))
+                h = mixed(h + size.astype(np.uint64))
             else:
                 h = np.zeros(0, np.uint64)
             self.sums.append(np.r_[np.uint64(0), np.cumsum(h * _powers(word, len(h)))])
@@ -117,7 +111,7 @@ class Words:
     def fingerprints(self, places, size, which, bits=64):
         sums = self.sums[which]
         h = (sums[places + size] - sums[places]) * _powers(_inverse(_WORDS[which]), len(self.starts))[places]
-        h = _mixed(h + self.seed[self.text[places]] + np.uint64(size))
+        h = mixed(h + self.seed[self.text[places]] + np.uint64(size))
         return h >> np.uint64(64 - bits) if bits < 64 else h
 
     def checks(self, places, size):
@@ -128,46 +122,6 @@ class Words:
         return b" ".join(found).decode("utf-8", "replace")
 
 
-def _bit(keys):
-    """Places in a table: the keys mixed, since they may have fewer bits."""
-    return (_mixed(keys) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-
-
-class Table:
-    """A bit table of fingerprints: no key that was put in is missed."""
-
-    def __init__(self, raw):
-        self.bits = np.frombuffer(raw, np.uint8)
-
-    def has(self, keys):
-        at = _bit(keys)
-        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
-
-
-def _opened(shipped):
-    return Table(shipped.value) if shipped else None
-
-
-def _positions(batches):
-    for batch in batches:
-        keys = batch.column(0).to_numpy().view(np.uint64)
-        yield pa.record_batch([pa.array(np.unique(_bit(keys)))], names=["at"])
-
-
-def _table(keys):
-    """Broadcast the bit table of a column of fingerprints: at most 2**TABLE_BITS bits."""
-    spark = keys.sparkSession
-    # these functions number positions from 1
-    place = F.col("at") + 1
-    buckets = keys.mapInArrow(_positions, "at long").groupBy(F.bitmap_bucket_number(place).alias("bucket"))
-    buckets = buckets.agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
-    raw = bytearray((1 << TABLE_BITS) // 8)
-    for row in buckets.toLocalIterator():
-        at = (row.bucket - 1) * len(row.bits)
-        raw[at : at + len(row.bits)] = row.bits
-    return spark.sparkContext.broadcast(bytes(raw))
-
-
 # --- counting ------------------------------------------------------------------------
 
 _SEEN = "lang string, key long, n long, doc long, total long"
@@ -205,7 +159,7 @@ def _candidates(words, size, table, bits):
 
 def _counted(size, shipped, bits):
     def run(batches):
-        table = _opened(shipped)
+        table = shipped and BitTable(shipped)
         for words, languages, docs in _read(batches):
             places = _candidates(words, size, table, bits)
             key = words.fingerprints(places, size, 0, bits)
@@ -261,7 +215,7 @@ def _pointed(shipped):
     """The texts whose digest is in the table, once in a task."""
 
     def run(batches):
-        table, met = _opened(shipped), set()
+        table, met = BitTable(shipped), set()
         for part in whole_rows(batches, 0, PART_BYTES):
             data, offsets = buffers(part.column(0))
             docs = _digests(data, offsets, part.column(1).to_pylist())
@@ -317,7 +271,7 @@ def _recounted(shipped, longest, bits):
     """All phrases whose fingerprint is in the table, by their text, with counts."""
 
     def run(batches):
-        table = _opened(shipped)
+        table = BitTable(shipped)
         for words, languages, _ in _read(batches):
             rows = []
             for size in range(1, longest + 1):
@@ -349,12 +303,12 @@ def frequent_phrases(docs, least=LEAST, longest=LONGEST, bits=64):
         if size == 1:
             totals = rows.where("lang IS NOT NULL").select("lang", "n")
             rows = rows.where("lang IS NULL")
-        table = _table(rows.select("key"))
+        table = bittable.shipped(rows.select("key"))
         rows = rows.select("key", F.lit(size).alias("size"), "n", "doc", "total")
         held = rows if held is None else held.unionAll(rows)
 
     wanted = held.groupBy("doc").agg(F.collect_list("key").alias("keys"), F.collect_list("size").alias("sizes"))
-    pointers = _table(held.select("doc"))
+    pointers = bittable.shipped(held.select("doc"))
     # equal texts once; others that share a digest all stay
     some = texts.mapInArrow(_pointed(pointers), "doc long, text string, lang string").distinct()
     some = some.join(wanted, "doc").select("text", "lang", "keys", "sizes")
@@ -368,7 +322,7 @@ def frequent_phrases(docs, least=LEAST, longest=LONGEST, bits=64):
     met = stored(of.select("_key", "_size").join(found, same, "left_anti"), "phrases-met")
     found = found.select("lang", "size", "phrase", "a")
     if not met.isEmpty():
-        counts = texts.mapInArrow(_recounted(_table(met.select("_key")), longest, bits), f"{_PHRASE}, n long")
+        counts = texts.mapInArrow(_recounted(bittable.shipped(met.select("_key")), longest, bits), f"{_PHRASE}, n long")
         counts = counts.groupBy("key", "lang", "size", "phrase").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
         again = counts.join(met, same)
         found = found.unionByName(again.select("lang", "size", "phrase", "a"))

@@ -38,6 +38,13 @@ def stored(df, name):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df):
+    """Delete a table that ``stored`` wrote, once nothing will read it again."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        files, path = opened(folder)
+        files.delete_dir(path)
+
+
 def opened(address):
     """(file system, path) of an address such as ``hdfs://host/x`` or ``/x``."""
     if address.startswith("file:"):
@@ -109,6 +116,11 @@ def ship(spark):
         _shipped[context.applicationId] = str(target)
 
 
+def small_batches(spark, size=8 << 20):
+    """Batches of fewer bytes: where stages follow one another in the same Python workers."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def widened(df, **kinds):
     """(``df`` without columns of these names, its schema with them at the end)."""
     names = {k.lower() for k in kinds}
@@ -117,3 +129,15 @@ def widened(df, **kinds):
     for name, kind in kinds.items():
         schema = schema.add(name, kind)
     return df, schema
+
+
+def fresh(columns, *names):
+    """The names, each with underscores put before it until no column is called so."""
+    taken = {c.lower() for c in columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found

@@ -60,6 +60,18 @@ def gathered(batches, column, limit):
         yield pa.concat_batches(held)
 
 
+#: What modules remember in a worker from task to task, by module.
+CACHES = {}
+
+
+def forget(but=None):
+    """Drop what other modules remember in this worker: it lives on from stage to stage."""
+    for name, cache in CACHES.items():
+        if name != but:
+            cache.clear()
+    release()
+
+
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 

@@ -19,7 +19,7 @@ import os
 
 import numpy as np
 
-from .text import LOWER, numbered
+from .text import CACHES, LOWER, numbered
 
 #: Distinct pieces that a worker remembers; the older half is dropped beyond that.
 CACHE_PIECES = 250_000
@@ -172,7 +172,7 @@ class PieceEncoder:
         return np.array(sorted(found), np.int64)
 
 
-_encoders = {}
+_encoders = CACHES.setdefault("vocab", {})
 
 
 def encoder(path, plain_special=False):

@@ -3,13 +3,14 @@
 import itertools
 import re
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from doorstep.llm import packing, pivots, similar, simhash
+from doorstep.llm import packing, pivots, similar, simhash, sql
 from doorstep.llm.text import buffers
 
 from .conftest import ODD, SF
@@ -251,3 +252,34 @@ def test_stage_keeps_different_texts_of_one_id(spark):
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, None).collect()
     want = [(7, far[0]), (7, far[1]), (5, far[2]), (None, far[3]), (None, far[4])]
     assert sorted(map(tuple, kept), key=repr) == sorted(want, key=repr)
+
+
+def test_stages_keep_columns_of_any_name_and_type(spark, labels, small):
+    """Columns called like those that stages work with, and maps, come back as they were."""
+    docs = small.limit(60).selectExpr(
+        "*", "'a' AS _h1", "'b' AS h1", "'c' AS h2", "1.5 AS toxicity", "2.5 AS _toxicity", "'d' AS language_score",
+        "'e' AS _language_score", "map('k', doc_id) AS m", "array(named_struct('x', map(1, text))) AS deep",
+        "'f' AS key", "'g' AS root", "'h' AS bands", "'i' AS lang_pred",
+    )
+    before = {r.doc_id: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, SF)
+        assert found.schema == docs.schema or name == "language" and found.columns == docs.columns
+        rows = found.collect()
+        assert rows and all(
+            r[c] == before[r.doc_id][c] for r in rows for c in docs.columns if c != "lang"
+        ), name
+
+
+def test_rows_that_differ_in_a_map_alone_are_near_copies(spark):
+    docs = spark.sql("SELECT 1 AS doc_id, 'some words to keep' AS text, map('a', v) AS m FROM VALUES (1), (1), (2) AS t(v)")
+    assert len(similar.distinct_documents(docs).collect()) == 1
+    assert len({(r.h1, r.h2) for r in similar.linked(docs).collect()}) == 2
+
+
+def test_search_equals_its_sql(spark):
+    engine = duckdb.connect()
+    engine.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
+    found = sorted(engine.sql(f"SELECT query_id, rank, vec_id, score FROM ({sql.OP7_PIVOTS})").fetchall())
+    rows = pivots.op7_pivots(spark, SF).select("query_id", "rank", "vec_id", "score").collect()
+    assert found and sorted(map(tuple, rows)) == found

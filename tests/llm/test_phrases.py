@@ -5,9 +5,10 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 
-from doorstep.llm import phrases, sql
+from doorstep.llm import bittable, phrases, sql
 from doorstep.llm.text import LOWER
 
 
@@ -103,3 +104,13 @@ def test_sql(spark, sf_dir):
     rows = engine.sql("SELECT text, lang FROM documents").fetchall()
     assert found and found == plain(rows, 20, 2000)
     assert mined(spark.read.parquet(f"{sf_dir}/documents.parquet"), 20, 2000) == found
+
+
+def test_bit_table_misses_no_key(spark):
+    keys = [0, 1, -1, 2**63 - 1, -(2**63), *(random.Random(1).randrange(-(2**62), 2**62) for _ in range(3000))]
+    df = spark.createDataFrame([(k,) for k in keys], "key long")
+    table = bittable.BitTable(bittable.shipped(df.repartition(5)))
+    assert table.has(np.array(keys, np.int64).view(np.uint64)).all()
+    others = np.random.default_rng(2).integers(0, 1 << 62, 3000, np.uint64)
+    assert table.has(others).mean() < 0.01
+    assert not bittable.BitTable(bittable.shipped(df.where("key IS NULL"))).has(others).any()
