@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from .shared import stored, widened
-from .text import buffers, fold, numbered, one_text, whole_rows
+from .text import buffers, fold, forget, numbered, one_text, release, whole_rows
 
 BUCKETS = 1 << 22
 #: Bound of the sample of labelled rows that the machine is fitted to.
@@ -108,6 +108,7 @@ def document_terms(data, offsets, kept=None):
 
 
 def _count_terms(batches):
+    forget()
     for batch in whole_rows(batches, 0):
         found, both = np.unique(document_terms(*buffers(batch.column(0)))[1], return_counts=True)
         yield pa.record_batch(
@@ -117,6 +118,7 @@ def _count_terms(batches):
 
 def _sample_terms(kept):
     def run(batches):
+        forget()
         for batch in whole_rows(batches, 0):
             data, offsets = buffers(batch.column(0))
             text, term = document_terms(data, offsets, kept)
@@ -154,7 +156,10 @@ def fit(docs, labels, usable=None):
         bias = float(np.log(share / (1 - share))) if total else -np.inf
         return Machine(terms[:0], bias, np.zeros(0), np.zeros((0, FACTORS)))
     found = rows.mapInArrow(_sample_terms(terms), "terms array<int>, toxic int").toArrow()
-    return _fit(found, terms, share)
+    machine = _fit(found, terms, share)
+    del found
+    release()  # the driver lives on, and other stages follow
+    return machine
 
 
 def _fit(found, terms, share):
@@ -209,7 +214,7 @@ def _fit(found, terms, share):
             seen_w[active] += gw**2
             seen_v[active] += gv**2
             bias -= 0.1 * gb / np.sqrt(seen_b)
-            w[active] -= 0.3 * gw / np.sqrt(seen_w[active])
+            w[active] -= 0.6 * gw / np.sqrt(seen_w[active])
             v[active] -= 0.05 * slow * gv / np.sqrt(seen_v[active])
     return Machine(terms, float(bias), trust * w, v)
 
@@ -231,6 +236,7 @@ def score(docs, machine, column="score"):
     place = docs.columns.index("text")
 
     def run(batches):
+        forget()
         for batch in whole_rows(batches, place):
             s = pa.array(_scores(machine, *buffers(batch.column(place))))
             yield pa.RecordBatch.from_arrays([*batch.columns, s], names=[*batch.schema.names, column])
