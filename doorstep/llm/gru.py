@@ -1,9 +1,11 @@
 """A gated recurrent language model over words, and log-likelihoods of whole documents.
 
 Tokens are a text's words, A-Z lowered, and one end.  The ``WORDS`` most frequent words of
-the training documents have ids; all others share one, and are told apart by their
-smoothed frequency, so that every token of any text has a probability.  The output
-softmax is factored: first the id's class, then the id among its class.
+the training documents have ids of their own.  All others, the rarer and the unseen ones,
+share ``RARE`` ids by a hash of their last letters, which the network reads and predicts
+like words; within such an id words are told apart by their smoothed frequency.  So every
+token of any text has a probability, and no word is lost.  The output softmax is factored:
+first the id's class, then the id among its class.
 
 Training is truncated backpropagation through time in numpy, data-parallel: from common
 weights every task runs over its own training documents, and the weights are averaged,
@@ -34,11 +36,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import discard, stored
 from .text import LOWER, buffers, fold, gathered, numbered, release, whole_rows, word_bounds
 
 WORDS = 4094
-CLASS_WORDS = 64
+#: Ids of all other words, by their last ENDING bytes.
+RARE = 1024
+ENDING = 2
+CLASS_WORDS = 128
 EMBED = 16
 HIDDEN = 24
 ROUNDS = 1
@@ -50,7 +55,7 @@ TRAIN_TOKENS = 2_000_000
 RATE = 0.15
 PART_BYTES = 16 << 20
 
-_END, _RARE = 0, 1
+_END = 0
 _END_WORD = b"\n"  # no word holds white space
 
 
@@ -110,10 +115,19 @@ _DOCS = (
 )
 
 
-def _score_base(total, kinds, rare_total, rare_kinds):
-    """From a part's documents and its words' counts: base scores, and ids for the model."""
+def _rare_id(word):
+    """The shared id of words that have none of their own: 1 and more."""
+    return F.pmod(F.xxhash64(F.substring(word, -ENDING, ENDING)), F.lit(RARE)).cast("int") + 1
+
+
+def _score_base(total, kinds, rare):
+    """From a part's documents and its words' counts: base scores, and ids for the model.
+
+    ``rare`` is the total of each shared id's smoothed counts, its unseen words as one.
+    """
     base = math.log10(total + 0.5 * (kinds + 1))
-    rare_base = math.log10(rare_total + 0.5 * (rare_kinds + 1))
+    low = np.zeros(1 << 16)
+    low[1 : RARE + 1] = np.log10(rare)
 
     def run(key, words, parts):
         order = words.column("code").to_numpy()
@@ -121,14 +135,14 @@ def _score_base(total, kinds, rare_total, rare_kinds):
         c[order] = words.column("c").to_numpy()  # the end's code, -1, is the last place
         ids[order] = words.column("id").to_numpy()
         log = np.log10(c + 0.5)
-        rare = np.where(ids == _RARE, log - rare_base, 0.0)
+        rare = np.where((ids > _END) & (ids <= RARE), log - low[ids], 0.0)
         out = []
         for row in parts.to_pylist():
             codes = np.frombuffer(row["codes"], "<i4")
             lengths = np.array(row["lengths"], np.int64)
             edges = np.r_[0, np.cumsum(lengths)]
             sums = [np.r_[0, np.cumsum(x[codes])] for x in (c > 0, log - base, rare)]
-            known, score, low = (np.diff(s[edges]) + x[-1] for s, x in zip(sums, (c > 0, log - base, rare)))
+            known, score, within = (np.diff(s[edges]) + x[-1] for s, x in zip(sums, (c > 0, log - base, rare)))
             tokens = ids[codes]
             texts = [np.append(tokens[a:b], ids[-1]).astype("<u2").tobytes() for a, b in zip(edges[:-1], edges[1:])]
             out.append(
@@ -136,7 +150,7 @@ def _score_base(total, kinds, rare_total, rare_kinds):
                     [
                         pa.array(row["doc_ids"], pa.int64()), pa.array(row["held"], pa.bool_()),
                         pa.array(lengths + 1), pa.array(known.astype(np.int64)), pa.array(score),
-                        pa.array(low), pa.array(texts, pa.binary()),
+                        pa.array(within), pa.array(texts, pa.binary()),
                     ],
                     names=_names(_DOCS),
                 )
@@ -158,23 +172,26 @@ def prepare(docs, held_out):
     # WORDS rows at most: a bound for what the driver holds and for the broadcast
     best = known.where(named).orderBy(F.desc("c"), "word").limit(WORDS).collect()
     spark = docs.sparkSession
-    ids = [(bytes(r.word), i + 2) for i, r in enumerate(best)] + [(_END_WORD, _END)]
+    ids = [(bytes(r.word), RARE + 1 + i) for i, r in enumerate(best)] + [(_END_WORD, _END)]
     ends = known.where(~named).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    rare_total = total - sum(r.c for r in best) - ends
-    rare_kinds = kinds - len(best) - (ends > 0)
     lookup = F.broadcast(spark.createDataFrame(ids, "word binary, id int"))
-    looked = counts.join(lookup, "word", "left").withColumn("id", F.coalesce("id", F.lit(_RARE)))
+    looked = counts.join(lookup, "word", "left").withColumn("id", F.coalesce("id", _rare_id(F.col("word"))))
+    # RARE rows
+    shared = looked.where((F.col("id") > _END) & (F.col("id") <= RARE) & (F.col("c") > 0)).groupBy("id").agg(
+        F.sum("c").alias("c"), F.count("*").alias("kinds")
+    )
+    rare = np.full(RARE, 0.5)
+    for r in shared.collect():
+        rare[r.id - 1] += r.c + 0.5 * r.kinds
     by_part = words.select("part", "word", "code").join(looked, "word").select("part", "code", "c", "id")
     texts = parts.where("codes IS NOT NULL").select(
         F.col("part").alias("of"), "doc_ids", "held", "lengths", "codes"
     )
-    ready = by_part.groupBy("part").cogroup(texts.groupBy("of")).applyInArrow(
-        _score_base(total, kinds, rare_total, rare_kinds), _DOCS
-    )
-    # the rare words' share of the base distribution, all of them together
-    rare = rare_total + 0.5 * rare_kinds
-    frequencies = np.array([ends, rare] + [r.c for r in best], np.float64)
-    return stored(ready, "gru-docs"), total, kinds, frequencies
+    ready = by_part.groupBy("part").cogroup(texts.groupBy("of")).applyInArrow(_score_base(total, kinds, rare), _DOCS)
+    ready = stored(ready, "gru-docs")
+    discard(parts)
+    discard(counts)
+    return ready, total, kinds, np.array([ends, *rare, *(r.c for r in best)], np.float64)
 
 
 # --- the model ---------------------------------------------------------------------
@@ -191,9 +208,9 @@ class Model:
         def small(*shape):
             return rng.normal(0, 0.1, shape).astype(np.float32)
 
-        # end and rare words are classes of their own; the others follow by frequency
-        self.class_of = np.arange(words)
-        self.class_of[2:] = 2 + (np.arange(words - 2) // CLASS_WORDS)
+        # the end is a class of its own; shared ids follow, then words by frequency
+        self.class_of = np.zeros(words, np.int64)
+        self.class_of[1:] = 1 + (np.arange(words - 1) // CLASS_WORDS)
         classes = int(self.class_of[-1]) + 1
         mass = np.bincount(self.class_of, f)
         self.firsts = np.searchsorted(self.class_of, np.arange(classes + 1))
@@ -224,7 +241,10 @@ class Model:
         return n + z * (h - n)
 
     def log_likelihood(self, states, targets, gradient=None):
-        """Natural log probability of each target; fills ``gradient`` if it is given."""
+        """Natural log probability of each target; fills ``gradient`` if it is given.
+
+        Gradients of words are lists of (place, gradient) of the classes met.
+        """
         w, rows = self.w, np.arange(len(targets))
         kinds = self.class_of[targets]
         logits = states @ w["classes"] + w["class_bias"]
@@ -237,7 +257,7 @@ class Model:
             d[rows, kinds] -= 1
             gradient["classes"] = states.T @ d
             gradient["class_bias"] = d.sum(0)
-            gradient["words"], gradient["word_bias"] = np.zeros_like(w["words"]), np.zeros_like(w["word_bias"])
+            gradient["words"], gradient["word_bias"] = [], []
             back = d @ w["classes"].T
         order = np.argsort(kinds.astype(np.int16), kind="stable")
         edges = np.searchsorted(kinds[order], np.arange(len(self.firsts)))
@@ -255,8 +275,8 @@ class Model:
             if gradient is not None:
                 d = e / total[:, None]
                 d[at, t] -= 1
-                gradient["words"][a:b] = d.T @ s
-                gradient["word_bias"][a:b] = d.sum(0)
+                gradient["words"].append((slice(a, b), d.T @ s))
+                gradient["word_bias"].append((slice(a, b), d.sum(0)))
                 back[mine] += d @ w["words"][a:b]
         return (out, back) if gradient is not None else out
 
@@ -289,18 +309,21 @@ class Trainer:
         h = np.zeros((len(inputs), HIDDEN), np.float32)
         for at in range(0, inputs.shape[1], WINDOW):
             cut = slice(at, at + WINDOW)
-            new = None if begins is None else begins[:, cut].T
+            # lanes that end leave off: behind the others only long documents go on
+            n = int(np.flatnonzero(live[:, at]).max(initial=-1)) + 1
+            new = None if begins is None else begins[:n, cut].T
             h = self._window(
-                inputs[:, cut].T.astype(np.int64), targets[:, cut].T.astype(np.int64), live[:, cut].T, h, new
+                inputs[:n, cut].T.astype(np.int64), targets[:n, cut].T.astype(np.int64), live[:n, cut].T, h[:n], new
             )
 
     def _window(self, inputs, targets, live, h, begins=None):
         m, w, k = self.model, self.model.w, HIDDEN
-        table, kept, states = m.inputs(), [], []
-        for t, x in enumerate(inputs):
+        kept, states = [], []
+        rows = w["embed"][inputs] @ w["into"] + w["gate"]
+        for t, x in enumerate(rows):
             if begins is not None:
                 h = np.where(begins[t][:, None], np.float32(0), h)
-            h = m.step(table[x], h, kept)
+            h = m.step(x, h, kept)
             states.append(h)
         states = np.stack(states)
         on = live.ravel()
@@ -332,12 +355,15 @@ class Trainer:
         grad["into"] = w["embed"][ids].T @ flat
         order = np.argsort(ids, kind="stable")
         first = np.flatnonzero(np.r_[True, np.diff(ids[order]) != 0])
-        grad["embed"] = np.zeros_like(w["embed"])
-        grad["embed"][ids[order[first]]] = np.add.reduceat((flat @ w["into"].T)[order], first)
+        met = np.add.reduceat((flat @ w["into"].T)[order], first)
+        grad["embed"] = [(ids[order[first]], met)]
+        # only what was met is touched: a window of few tokens costs little
         for name, g in grad.items():
-            g = np.clip(g / count * 16, -1, 1)
-            self.seen[name] += g * g
-            w[name] -= RATE * g / np.sqrt(self.seen[name])
+            for at, part in g if isinstance(g, list) else [(slice(None), g)]:
+                part = np.clip(part / count * 16, -1, 1)
+                seen = self.seen[name][at] + part * part
+                self.seen[name][at] = seen
+                w[name][at] -= RATE * part / np.sqrt(seen)
         return h
 
 

@@ -65,20 +65,20 @@ def test_model_without_documents_and_without_training(spark, sf, odd):
 
 def small_model():
     rng = np.random.default_rng(1)
-    return gru.Model(rng.integers(1, 50, 150).astype(float))
+    return gru.Model(rng.integers(1, 50, 700).astype(float))
 
 
 def test_probabilities_add_up():
     model = small_model()
     h = np.random.default_rng(2).normal(size=(1, gru.HIDDEN)).astype(np.float32)
-    every = np.arange(150)
-    logs = model.log_likelihood(np.repeat(h, 150, 0), every)
+    every = np.arange(700)
+    logs = model.log_likelihood(np.repeat(h, 700, 0), every)
     assert abs(np.exp(logs.astype(float)).sum() - 1) < 1e-4
 
 
 def test_scoring_steps_through_whole_documents():
     model, rng = small_model(), np.random.default_rng(3)
-    texts = [rng.integers(0, 150, n).astype(np.uint16) for n in (1, 5, 33, 700, 64, 2, 1)]
+    texts = [rng.integers(0, 700, n).astype(np.uint16) for n in (1, 5, 33, 700, 64, 2, 1)]
     table = model.inputs()
     want = []
     for ids in texts:
@@ -98,8 +98,8 @@ def test_gradients():
         model.w[name] = rng.normal(0, 0.1, model.w[name].shape)
     for name, v in model.w.items():
         model.w[name] = v.astype(np.float64)
-    x = rng.integers(0, 150, (4, gru.WINDOW))
-    y = rng.integers(0, 150, (4, gru.WINDOW))
+    x = rng.integers(0, 700, (4, gru.WINDOW))
+    y = rng.integers(0, 700, (4, gru.WINDOW))
 
     def loss():
         table, h, total = model.inputs(), np.zeros((4, gru.HIDDEN)), 0.0
@@ -126,7 +126,7 @@ def test_gradients():
 
 def test_training_sees_every_token_of_whole_documents(monkeypatch):
     rng, seen = np.random.default_rng(13), []
-    texts = [np.append(rng.integers(1, 150, n), 0).astype("<u2") for n in (3, 900, 40, 2000, 1, 64, 513)]
+    texts = [np.append(rng.integers(1, 700, n), 0).astype("<u2") for n in (3, 900, 40, 2000, 1, 64, 513)]
     window = gru.Trainer._window
 
     def watched(self, inputs, targets, live, h, begins=None):
@@ -149,7 +149,7 @@ def test_training_sees_every_token_of_whole_documents(monkeypatch):
 def test_gradient_ends_where_a_document_begins():
     """Two documents in one lane train like the same two in lanes of their own."""
     rng = np.random.default_rng(14)
-    x, y = rng.integers(0, 150, (1, 32)), rng.integers(0, 150, (1, 32))
+    x, y = rng.integers(0, 700, (1, 32)), rng.integers(0, 700, (1, 32))
     begins = np.zeros((1, 32), bool)
     begins[0, [0, 10]] = True
     apart_x, apart_y, live = np.zeros((2, 22), int), np.zeros((2, 22), int), np.zeros((2, 22), bool)
@@ -172,6 +172,26 @@ def test_model_beats_frequencies(spark):
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
+def test_rare_words_keep_their_identity(spark, monkeypatch):
+    """Words without ids of their own are told apart within the ids that they share."""
+    monkeypatch.setattr(gru, "WORDS", 100)
+    texts = [" ".join(f"w{i}{'abcd'[i % 4]}x" for i in range(k, k + 40)) for k in range(0, 4000, 20)]
+    texts += ["common " * 50] * 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ready, total, kinds, frequencies = gru.prepare(docs, F.lit(False))
+    counts = Counter(w for t in texts for w in [*t.split(), "\n"])
+    assert (total, kinds) == (sum(counts.values()), len(counts))
+    assert abs(frequencies.sum() - total) <= 0.5 * (kinds + gru.RARE)
+    model = gru.Model(frequencies)
+    shared = {i for r in ready.collect() for i in np.frombuffer(bytes(r.ids), "<u2").tolist()}
+    assert all(i < len(frequencies) for i in shared)
+    # two unseen words of one ending differ from seen ones, and a rarer word scores lower
+    more = docs.unionAll(spark.createDataFrame([(9001, "w3dx"), (9002, "w20ax"), (9003, "zzzqq")], docs.schema))
+    rows = {r.doc_id: r for r in gru.score_documents(more, F.col("doc_id") > 9000).where("held_out").collect()}
+    assert [rows[i].n_known for i in (9001, 9002, 9003)] == [2, 2, 1]
+    assert rows[9003].score < rows[9001].score and all(math.isfinite(r.score) for r in rows.values())
+
+
 # --- 3: language -------------------------------------------------------------------
 
 
