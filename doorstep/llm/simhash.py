@@ -71,8 +71,12 @@ def shingle_hashes(data, offsets):
 
 def fingerprints(data, offsets):
     """One 64-bit fingerprint per text, as signed numbers."""
-    hashes, counts = shingle_hashes(data, offsets)
-    n = len(offsets) - 1
+    return majorities(*shingle_hashes(data, offsets))
+
+
+def majorities(hashes, counts):
+    """Per text the bits set in over half of its hashes; ``counts``: those before each text."""
+    n = len(counts) - 1
     ones = np.zeros((n, 64), np.int64)
     text = np.repeat(np.arange(n), np.diff(counts))
     for at in range(0, len(hashes), 1 << 17):

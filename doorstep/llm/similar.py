@@ -4,15 +4,23 @@ A text's set holds its shingles of ``SHINGLE`` words, A-Z lowered; a shorter tex
 shingle.  Two texts are linked when their sets' Jaccard similarity is ``LEAST`` or more.
 Texts of equal sets are one from the start, however many there are.
 
-Candidates share a band: ``ROWS`` minimum hashes of the set, out of ``BANDS`` times as
-many.  A pair of similarity 0.8 shares no band with probability (1 - 0.8^4)^20, which is
-2.6e-5, and more similar ones with less.  Every candidate is verified by its whole sets.
-
-A band's group is not compared pairwise: in a round each member that is not yet
-connected to them meets a few of the group, which then leave it.  Their number grows
-from round to round, and a group is done when all its members are connected.  So groups
-of near copies take about one comparison a member, and yet no pair of a group that the
-components need is left out.
+SimHash comes first: sets whose 64-bit fingerprints differ in two bits at most, found by
+``simhash.links``, are candidates.  Two bits are few for texts of 0.8, so candidates also
+share a band: ``ROWS`` minimum hashes of the set, out of ``BANDS`` times as many.  A pair of
+similarity 0.8 shares no band with probability (1 - 0.8^4)^20, which is 2.6e-5, and more
+similar ones with less.  Every candidate is verified by its whole sets.
+
+Members of a band's group of more than ``CROWD`` are grouped anew by their rarest shingles:
+similar sets share one among the 1 - 0.8 of each that the fewest of these members have.  What
+comes before a shared shingle in that order is not shared, which bounds how much two sets can
+have in common; pairs that cannot be similar by it, or by their sizes, are not met.  No
+similar pair is lost by it.
+
+A group is not compared pairwise: in a round each member that is not yet connected to
+them meets a few of the group, which then leave it, first those with the fewest rare
+shingles.  Their number grows from round to round, and a group is done when all its members
+are connected.  So groups of near copies take about one comparison a member, and yet no
+pair of a group that the components need is left out.
 
 Texts without a word, null or empty ones among them, have the empty set and are linked to
 one another.  Rows are told apart by all their columns, whatever these are called; equal
@@ -26,7 +34,7 @@ import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
-from . import bittable
+from . import bittable, simhash
 from .bittable import BitTable
 from .shared import fresh, stored
 from .simhash import components
@@ -35,6 +43,8 @@ from .text import LOWER, buffers, forget, numbered, release, whole_rows, word_bo
 SHINGLE = 5
 LEAST = 0.8
 BANDS, ROWS = 20, 4
+#: Members of a larger group meet by their rarest shingles instead.
+CROWD = 16
 #: Bytes of text handled at once.
 PART_BYTES = 2 << 20
 
@@ -99,7 +109,7 @@ def _mixed_light(hashes, j):
 
 
 def _signed(batches):
-    """(id, row, key, bands) of (id, row's hashes, text)."""
+    """(id, row, key, size, fp, bands) of (id, row's hashes, text)."""
     forget()
     for batch in whole_rows(batches, 3, PART_BYTES):
         hashes, edges = shingle_sets(*buffers(batch.column(3)))
@@ -107,9 +117,10 @@ def _signed(batches):
         lists = pa.ListArray.from_arrays(
             np.arange(0, found.size + 1, BANDS, dtype=np.int32), pa.array(found.ravel())
         )
-        key = pa.array(keys(hashes, edges))
+        more = [keys(hashes, edges), np.diff(edges), simhash.majorities(hashes, edges)]
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], key, lists], names=["id", "h1", "h2", "key", "bands"]
+            [*batch.columns[:3], *map(pa.array, more), lists],
+            names=["id", "h1", "h2", "key", "size", "fp", "bands"],
         )
 
 
@@ -137,6 +148,20 @@ def _sets(wanted):
     return run
 
 
+def _spread(batches):
+    """(key, size, value): a row for every shingle of a set."""
+    for batch in batches:
+        data, at = buffers(batch.column(1))
+        sizes, step = np.diff(at) // 8, 1 << 20
+        key, size = (np.repeat(x, sizes) for x in (batch.column(0).to_numpy(), sizes))
+        value = data.view("<i8")
+        for i in range(0, len(value), step):
+            yield pa.record_batch(
+                [pa.array(x[i : i + step]) for x in (key, size, value)], names=["key", "size", "value"]
+            )
+        release()
+
+
 def _similar(x, y):
     both = len(np.intersect1d(x, y, assume_unique=True))
     return both >= LEAST * (len(x) + len(y) - both)
@@ -171,25 +196,88 @@ def row_hashes(docs):
     return F.xxhash64(F.lit(1), *columns), F.xxhash64(F.lit(2), *columns)
 
 
+def close(one):
+    """Pairs (a, b) of keys, a < b, that SimHash finds; ``one`` has a row (key, fp) a set.
+
+    Sets of one fingerprint are paired with its smallest key, which stands for it in others.
+    """
+    least = stored(one.groupBy("fp").agg(F.min("key").alias("least")), "similar-fps")
+    pairs = simhash.links(least.select("fp"))
+    for side in "ab":
+        pairs = pairs.join(least.select(F.col("fp").alias(side), F.col("least").alias(f"key_{side}")), side)
+    same = one.join(least, "fp").where("key != least").select(F.col("least").alias("key_a"), F.col("key").alias("key_b"))
+    return pairs.select("key_a", "key_b").unionAll(same).select(
+        F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")
+    )
+
+
+def _needed(x, y):
+    """Shingles that sets of these sizes share if they are similar, a little less for rounding."""
+    return (x + y) * (LEAST / (1 + LEAST)) - 1e-6
+
+
+def crowded(sets):
+    """(value, key, size, room) of (key, held): groups of sets that share a rare shingle.
+
+    Every similar pair is in a group where each side's ``room``, its number of shingles from
+    that one on in the order of rareness, is not below what the pair shares.
+    """
+    shingles = sets.mapInArrow(_spread, "key long, size long, value long")
+    # shingles of one set alone are the rarest, and only their number matters
+    counts = shingles.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
+    rare = F.array_sort(F.collect_list(F.struct("n", "value")))
+    ranked = shingles.join(counts, "value").groupBy("key", "size").agg(rare.alias("rare"))
+    alone = F.col("size") - F.size("rare")
+    places = F.col("size") - F.ceil(F.col("size") * LEAST - 1e-6) + 1
+    first = F.slice("rare", 1, F.greatest(places - alone, F.lit(0)).cast("int"))
+    met = ranked.select("key", "size", alone.alias("alone"), F.posexplode(first).alias("place", "shingle"))
+    met = met.select(
+        F.col("shingle.value").alias("value"), "key", "size", (F.col("size") - F.col("alone") - F.col("place")).alias("room")
+    )
+    met = stored(met, "similar-rare")
+    least = met.groupBy("value").agg(F.min("size").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return met.join(least, "value").where(F.col("room") >= _needed(F.col("size"), F.col("least"))).drop("least")
+
+
+def _alike(pairs, sets):
+    """The similar ones of the pairs (a, b)."""
+    pairs = pairs.join(sets.select(F.col("key").alias("a"), F.col("held").alias("x")), "a")
+    pairs = pairs.join(sets.select(F.col("key").alias("b"), F.col("held").alias("y")), "b")
+    pairs = pairs.select("a", "b", "x", "y").mapInArrow(_verified, "a long, b long")
+    return stored(pairs, "similar-links")
+
+
 def linked(docs, id_column="doc_id"):
     """(id, h1, h2, key, root) of every row; rows of one root are near copies."""
     h1, h2 = row_hashes(docs)
     rows = docs.select(F.col(id_column).alias("id"), h1.alias("h1"), h2.alias("h2"), "text")
     id_type = rows.schema["id"].dataType.simpleString()
-    kinds = f"id {id_type}, h1 long, h2 long, key long, bands array<long>"
+    kinds = f"id {id_type}, h1 long, h2 long, key long, size long, fp long, bands array<long>"
     rows = stored(rows.mapInArrow(_signed, kinds), "similar-rows")
-    one = stored(rows.groupBy("key").agg(F.first("bands").alias("bands")), "similar-distinct")
-    placed = one.select("key", F.posexplode("bands").alias("band", "value"))
-    shared = placed.groupBy("band", "value").count().where("count > 1").drop("count")
-    groups = stored(
-        placed.join(shared, ["band", "value"]).select("band", "value", "key"), "similar-groups"
-    )
+    one = rows.groupBy("key").agg(*(F.first(c).alias(c) for c in ("size", "fp", "bands")))
+    one = stored(one, "similar-distinct")
+    placed = one.select("key", "size", F.posexplode("bands").alias("band", "value"))
+    shared = placed.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
+    groups = stored(placed.join(shared, ["band", "value"]), "similar-groups")
+    pairs = stored(close(one.select("key", "fp")), "similar-close")
     # the sets of the candidates alone, from a second look at the texts where they lie
-    wanted = bittable.shipped(groups.select("key"))
+    both = pairs.select(F.explode(F.array("a", "b")).alias("key"))
+    wanted = bittable.shipped(groups.select("key").unionAll(both))
     sets = docs.select("text").mapInArrow(_sets(wanted), "key long, held binary").dropDuplicates(["key"])
     sets = stored(sets, "similar-sets")
+    few = F.col("n") <= CROWD
+    crowd = groups.where(~few).select("key").distinct()
+    rare = crowded(sets.join(crowd, "key", "left_semi"))
+    columns = ["band", "value", "key", "size", "room"]
+    groups = groups.where(few).withColumn("room", F.col("size")).select(columns).unionAll(
+        rare.withColumn("band", F.lit(-1)).select(columns)
+    )
     found, roots, places = None, None, 1
+    new = _alike(pairs, sets)
     while True:
+        if not new.isEmpty():
+            found = new if found is None else found.unionAll(new)
+            roots = components(found).select(F.col("fp").alias("key"), "root")
         here = groups if roots is None else groups.join(roots, "key", "left")
         root = F.col("key") if roots is None else F.coalesce("root", "key")
         here = here.withColumn("root", root)
@@ -199,28 +287,24 @@ def linked(docs, id_column="doc_id"):
         )
         if here.isEmpty():
             break
-        # the smallest member of each place of a group meets all others, then leaves
+        # a member of each place of a group meets all others, then leaves
         place = F.pmod(F.xxhash64("key"), F.lit(places))
         first = here.groupBy("band", "value", place.alias("place")).agg(
-            F.min(F.struct("key", "root")).alias("first")
+            F.min(F.struct((F.col("size") - F.col("room")).alias("lost"), "key", "root", "size", "room")).alias("first")
         )
         first = stored(first.select("band", "value", "first.*"), "similar-first")
-        met = here.alias("m").join(
-            first.select("band", "value", F.col("key").alias("f"), F.col("root").alias("g")), ["band", "value"]
-        ).where("root != g")
-        pairs = met.select(F.least("key", "f").alias("a"), F.greatest("key", "f").alias("b")).distinct()
-        pairs = pairs.join(sets.select(F.col("key").alias("a"), F.col("held").alias("x")), "a")
-        pairs = pairs.join(sets.select(F.col("key").alias("b"), F.col("held").alias("y")), "b")
-        pairs = pairs.select("a", "b", "x", "y").mapInArrow(_verified, "a long, b long")
-        new = stored(pairs, "similar-links")
-        groups = here.join(first, ["band", "value", "key"], "left_anti").select("band", "value", "key")
-        if not new.isEmpty():
-            found = new if found is None else found.unionAll(new)
-            roots = components(found).select(F.col("fp").alias("key"), "root")
+        by = first.select("band", "value", *(F.col(c).alias(f"first_{c}") for c in ("key", "root", "size", "room")))
+        needed = _needed(F.col("size"), F.col("first_size"))
+        met = here.join(by, ["band", "value"]).where(
+            (F.col("root") != F.col("first_root")) & (F.col("room") >= needed) & (F.col("first_room") >= needed)
+        )
+        pairs = met.select(F.least("key", "first_key").alias("a"), F.greatest("key", "first_key").alias("b"))
+        new = _alike(pairs.distinct(), sets)
+        groups = here.join(first, ["band", "value", "key"], "left_anti").select(columns)
         places *= 8
     if roots is None:
         return rows.select("id", "h1", "h2", "key", F.col("key").alias("root"))
-    rows = rows.drop("bands").join(roots, "key", "left")
+    rows = rows.select("id", "h1", "h2", "key").join(roots, "key", "left")
     return rows.select("id", "h1", "h2", "key", F.coalesce("root", "key").alias("root"))
 
 

@@ -244,6 +244,78 @@ def test_stage_drops_edited_copies(spark):
     assert kept == {find(i) for i in range(len(sets))}
 
 
+def test_stage_meets_few_pairs_of_a_crowd(spark, monkeypatch):
+    """Copies of one text with so many edits that about half of them are near none."""
+    rng = np.random.default_rng(6)
+    kinds = [f"w{i}" for i in range(5000)]
+    base = list(rng.choice(kinds, 150))
+    texts = []
+    for n in range(300):
+        other = list(base)
+        for at in rng.choice(150, 1 + n % 8, replace=False):
+            other[at] = f"only{n}at{at}"
+        texts.append(" ".join(other[: 150 - n % 5]))
+    met, real = spark.sparkContext.accumulator(0), similar._verified
+
+    def counted(batches):
+        for batch in batches:
+            met.add(batch.num_rows)
+            yield from real([batch])
+
+    monkeypatch.setattr(similar, "_verified", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, None).collect()}
+    sets = [plain_set(t) for t in texts]
+    root = list(range(len(sets)))
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        if root[i] != root[j] and alike(sets[i], sets[j]):
+            a, b = sorted((root[i], root[j]))
+            root = [a if r == b else r for r in root]
+    assert kept == set(root) and 100 < len(kept) < 250
+    assert 0 < met.value < 20 * len(texts)  # of 44,850
+
+
+def test_sets_with_common_rare_shingles_meet(spark):
+    """Every similar pair is in a group with room enough, whatever the sets share."""
+    rng = np.random.default_rng(7)
+    pools = [rng.integers(-(1 << 62), 1 << 62, 40) for _ in range(5)]
+    held = {}
+    for key in range(160):
+        parts = [pools[i] for i in rng.choice(5, 2, replace=False)]
+        some = np.concatenate(parts)[: int(rng.integers(50, 81))]
+        held[key] = np.unique(np.r_[some, rng.integers(-(1 << 62), 1 << 62, int(rng.integers(0, 12)))])
+    rows = [(k, bytearray(v.astype("<i8").tobytes())) for k, v in held.items()]
+    groups = {}
+    for r in similar.crowded(spark.createDataFrame(rows, "key long, held binary")).collect():
+        groups.setdefault(r.value, []).append((r.key, r.room))
+    met = set()
+    for rows in groups.values():
+        for (a, x), (b, y) in itertools.combinations(sorted(rows), 2):
+            if min(x, y) >= 4 / 9 * (len(held[a]) + len(held[b])) - 1e-6:
+                met.add((a, b))
+    pairs = itertools.combinations(held, 2)
+    want = {(a, b) for a, b in pairs if alike(set(held[a].tolist()), set(held[b].tolist()))}
+    assert len(want) > 50 and want <= met
+
+
+def test_stage_takes_candidates_from_simhash(spark, monkeypatch):
+    """Sets of fingerprints two bits apart or fewer are paired, also those of equal ones."""
+    values = [0, 0, 1, 7, 1 << 40, 0b1011 << 20, 0b1000 << 20, signed(1 << 63 | 1), 0x5555555555]
+    one = spark.createDataFrame([(100 - i, v) for i, v in enumerate(values)], "key long, fp long")
+    pairs = {(r.a, r.b) for r in similar.close(one).collect()}
+    root = {100 - i: 100 - i for i in range(len(values))}
+    for _ in values:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    rows = [(100 - i, v & (1 << 64) - 1) for i, v in enumerate(values)]
+    assert {doc: c for doc, _, c in plain_components(rows)} == root
+    calls, real = [], simhash.links
+    monkeypatch.setattr(simhash, "links", lambda distinct: calls.append(1) or real(distinct))
+    docs = spark.createDataFrame([(1, "a b c"), (2, "A  b c"), (3, "d")], "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, None).collect()} == {1, 3}
+    assert calls
+
+
 def test_stage_keeps_different_texts_of_one_id(spark):
     far = [" ".join(f"{a}{i}" for i in range(30)) for a in "abcdef"]
     rows = [(7, far[0]), (7, far[1]), (7, far[1]), (8, far[1]), (5, far[2]), (7, far[2]), (None, far[3]), (None, far[4])]
