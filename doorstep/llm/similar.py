@@ -265,6 +265,7 @@ def linked(docs, id_column="doc_id"):
     wanted = bittable.shipped(groups.select("key").unionAll(both))
     sets = docs.select("text").mapInArrow(_sets(wanted), "key long, held binary").dropDuplicates(["key"])
     sets = stored(sets, "similar-sets")
+    wanted.destroy()  # the driver lives on, and other stages follow
     few = F.col("n") <= CROWD
     crowd = groups.where(~few).select("key").distinct()
     rare = crowded(sets.join(crowd, "key", "left_semi"))

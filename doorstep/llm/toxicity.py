@@ -23,6 +23,7 @@ the highest counts.  Other columns of the inputs are ignored.
 """
 
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -162,6 +163,16 @@ def fit(docs, labels, usable=None):
     return machine
 
 
+def _by_content(lists, label):
+    """Places in the order of the lists' bytes, then labels; whole bytes only where they begin alike."""
+
+    def head(i):
+        return lists[i][:64].tobytes()
+
+    alike = groupby(sorted(range(len(lists)), key=head), head)
+    return [i for _, some in alike for i in sorted(some, key=lambda i: (lists[i].tobytes(), label[i]))]
+
+
 def _fit(found, terms, share):
     """Adagrad on the logistic loss, by mini-batches in an order fixed by content.
 
@@ -169,21 +180,24 @@ def _fit(found, terms, share):
     ``STRONG`` standard deviations on; a term without strength of its own keeps its part
     in pairs.  Otherwise the many weak terms together would learn the sample by heart.
     """
-    column = found["terms"].combine_chunks()
-    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-    every, edges = column.flatten().to_numpy(), np.r_[0, np.cumsum(column.value_lengths().to_numpy())]
     label = found["toxic"].to_numpy().astype(np.float64)
-    lists = [every[a:b] for a, b in zip(edges, edges[1:])]
-    order = sorted(range(len(lists)), key=lambda i: (lists[i].tobytes(), label[i]))
+    lists = []
+    for column in found["terms"].chunks:  # as they came: the driver holds them once
+        every, edges = column.flatten().to_numpy(), np.r_[0, np.cumsum(column.value_lengths().to_numpy())]
+        lists += [every[a:b] for a, b in zip(edges, edges[1:])]
+    order = _by_content(lists, label)
     rng = np.random.default_rng(7)
     n = len(terms)
-    both = np.bincount(every, minlength=n)
-    ones = np.bincount(every, np.repeat(label, np.diff(edges)), n)
+    size = sum(map(len, lists))
+    both, ones = np.zeros(n, np.int64), np.zeros(n)
+    for some, y in zip(lists, label):  # a text has a term once
+        both[some] += 1
+        ones[some] += y
     strength = np.abs(ones - share * both) / np.sqrt(share * both + 0.5)
     trust = np.clip((strength / STRONG) ** 2, 0.1, 1)
     lists, label = [lists[i] for i in order], label[order]
     # long texts have many pairs: smaller steps
-    slow = min(1, 30 / max(len(every) / max(len(lists), 1), 1))
+    slow = min(1, 30 / max(size / max(len(lists), 1), 1))
     place_of = np.zeros(n, np.int64)
     w, v = np.zeros(n), rng.normal(0, 0.01, (n, FACTORS))
     bias, seen_b, seen_w, seen_v = np.log(share / (1 - share)), 1.0, np.ones(n), np.ones((n, FACTORS))

@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -477,3 +478,21 @@ def test_samples_hold_one_row_an_id(spark, monkeypatch):
     toxicity.fit(docs, known)
     quality.fit(docs, known)
     assert taken == [6, 6]
+
+
+def test_toxicity_fit_holds_its_sample_once(monkeypatch):
+    """What the fit allocates besides its sample is small, and the order is that of content."""
+    rng = np.random.default_rng(8)
+    rows = [np.sort(rng.choice(5000, 2000, replace=False)).astype(np.int32) for _ in range(1500)]
+    rows += rows[:5]
+    label = rng.integers(0, 2, len(rows))
+    table = pa.table([pa.chunked_array([pa.array(rows[i : i + 400], pa.list_(pa.int32())) for i in range(0, 1505, 400)]),
+                      pa.array(label, pa.int32())], names=["terms", "toxic"])
+    monkeypatch.setattr(toxicity, "EPOCHS", 0)
+    tracemalloc.start()
+    toxicity._fit(table, np.arange(5000), 0.5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 0.5 * sum(r.nbytes for r in rows)
+    want = sorted(range(len(rows)), key=lambda i: (rows[i].tobytes(), label[i]))
+    assert toxicity._by_content(rows, label) == want
