@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from .shared import discard, stored
-from .text import LOWER, buffers, fold, gathered, numbered, release, whole_rows, word_bounds
+from .text import LOWER, buffers, fold, gathered, numbered, release, reuse, whole_rows, word_bounds
 
 WORDS = 4094
 #: Ids of all other words, by their last ENDING bytes.
@@ -94,7 +94,7 @@ def _number_parts(batches):
         )
         one = [
             [part], [None], [None], [None], [batch.column(0).to_pylist()], [held.tolist()],
-            [lengths.tolist()], [codes.astype("<i4").tobytes()],
+            [lengths.tolist()], [_packed(codes)],
         ]
         kinds = [
             pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.list_(pa.int64()),
@@ -105,6 +105,17 @@ def _number_parts(batches):
         )
 
 
+def _packed(codes):
+    """Numbers as compressed planes of their bytes: frequent words have low ones, met first."""
+    planes = codes.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return pa.Codec("zstd", 1).compress(planes, asbytes=True)
+
+
+def _unpacked(raw, n):
+    planes = pa.Codec("zstd").decompress(raw, 4 * n, asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, n).T).view("<i4").ravel()
+
+
 def _names(schema):
     return [c.split()[0] for c in schema.split(",")]
 
@@ -138,8 +149,8 @@ def _score_base(total, kinds, rare):
         rare = np.where((ids > _END) & (ids <= RARE), log - low[ids], 0.0)
         out = []
         for row in parts.to_pylist():
-            codes = np.frombuffer(row["codes"], "<i4")
             lengths = np.array(row["lengths"], np.int64)
+            codes = _unpacked(row["codes"], int(lengths.sum()))
             edges = np.r_[0, np.cumsum(lengths)]
             sums = [np.r_[0, np.cumsum(x[codes])] for x in (c > 0, log - base, rare)]
             known, score, within = (np.diff(s[edges]) + x[-1] for s, x in zip(sums, (c > 0, log - base, rare)))
@@ -163,9 +174,9 @@ def _score_base(total, kinds, rare):
 def prepare(docs, held_out):
     """(documents ready for the model, N, V, words in order of their ids)."""
     rows = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held"))
-    parts = stored(rows.mapInArrow(_number_parts, _PARTS), "gru-parts")
+    parts = stored(rows.mapInArrow(_number_parts, _PARTS), "gru-parts", compression="zstd")
     words = parts.where("word IS NOT NULL").select("part", "word", "code", "n")
-    counts = stored(words.groupBy("word").agg(F.sum("n").alias("c")), "gru-counts")
+    counts = stored(words.groupBy("word").agg(F.sum("n").alias("c")), "gru-counts", compression="zstd")
     known = counts.where("c > 0")
     total, kinds = known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     named = F.col("word") != F.lit(_END_WORD)
@@ -188,7 +199,7 @@ def prepare(docs, held_out):
         F.col("part").alias("of"), "doc_ids", "held", "lengths", "codes"
     )
     ready = by_part.groupBy("part").cogroup(texts.groupBy("of")).applyInArrow(_score_base(total, kinds, rare), _DOCS)
-    ready = stored(ready, "gru-docs")
+    ready = stored(ready, "gru-docs", compression="zstd")
     discard(parts)
     discard(counts)
     return ready, total, kinds, np.array([ends, *rare, *(r.c for r in best)], np.float64)
@@ -228,57 +239,91 @@ class Model:
     def inputs(self):
         return self.w["embed"] @ self.w["into"] + self.w["gate"]
 
-    def step(self, x, h, keep=None):
-        """One step from the inputs' rows ``x`` and the state; ``keep`` collects it."""
-        k = HIDDEN
-        g = h @ self.w["back"]
-        gates = np.tanh((x[:, : 2 * k] + g[:, : 2 * k]) * np.float32(0.5))
-        gates = gates * np.float32(0.5) + np.float32(0.5)
-        z, r = gates[:, :k], gates[:, k:]
-        n = np.tanh(x[:, 2 * k :] + r * g[:, 2 * k :])
-        if keep is not None:
-            keep.append((h, z, r, n, g[:, 2 * k :]))
-        return n + z * (h - n)
+    def step(self, x, h):
+        """One step from the inputs' rows ``x`` and the states' rows ``h``."""
+        g = self.w["back"].T @ h.T
+        gates, n = np.empty_like(g[: 2 * HIDDEN]), np.empty_like(g[:HIDDEN])
+        return self._step(x.T, h.T, g, gates, n).T
+
+    def _step(self, x, h, g, gates, n):
+        """A column a lane, so that each gate is one stretch of memory; fills ``gates``, ``n``."""
+        k, half = HIDDEN, np.float32(0.5)
+        np.add(x[: 2 * k], g[: 2 * k], out=gates)
+        gates *= half
+        np.tanh(gates, out=gates)
+        gates *= half
+        gates += half
+        np.multiply(gates[k:], g[2 * k :], out=n)
+        n += x[2 * k :]
+        np.tanh(n, out=n)
+        after = h - n
+        after *= gates[:k]
+        after += n
+        return after
+
+    def window(self, inputs, h, begins=None):
+        """The states of a window of inputs (steps x lanes), and what its gradient needs.
+
+        ``h`` has a row a lane; all that is returned has steps, then a column a lane.  Where
+        ``begins`` is set, a document does: the state is zero before that step.
+        """
+        w, k, (steps, lanes) = self.w, HIDDEN, inputs.shape
+        fed = w["embed"][inputs]
+        x = w["into"].T @ fed.transpose(0, 2, 1)
+        x += w["gate"][:, None]
+        states = np.empty((steps + 1, k, lanes), x.dtype)
+        before = states if begins is None else np.empty_like(states)
+        gates, n = np.empty((steps, 2 * k, lanes), x.dtype), np.empty((steps, k, lanes), x.dtype)
+        back = np.empty_like(x)
+        states[0] = h.T
+        for t in range(steps):
+            if begins is not None:
+                np.multiply(states[t], ~begins[t], out=before[t])
+            np.matmul(w["back"].T, before[t], out=back[t])
+            states[t + 1] = self._step(x[t], before[t], back[t], gates[t], n[t])
+        return states[1:], (fed, before[:-1], gates, n, back[:, 2 * k :])
 
     def log_likelihood(self, states, targets, gradient=None):
         """Natural log probability of each target; fills ``gradient`` if it is given.
 
         Gradients of words are lists of (place, gradient) of the classes met.
         """
-        w, rows = self.w, np.arange(len(targets))
+        w = self.w
         kinds = self.class_of[targets]
-        logits = states @ w["classes"] + w["class_bias"]
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(1)
-        out = logits[rows, kinds] - np.log(total)
-        if gradient is not None:
-            d = e / total[:, None]
-            d[rows, kinds] -= 1
-            gradient["classes"] = states.T @ d
-            gradient["class_bias"] = d.sum(0)
-            gradient["words"], gradient["word_bias"] = [], []
-            back = d @ w["classes"].T
         order = np.argsort(kinds.astype(np.int16), kind="stable")
-        edges = np.searchsorted(kinds[order], np.arange(len(self.firsts)))
+        # by class: each has one stretch of the states
+        kinds, states, targets = kinds[order], states[order], targets[order]
+        logits = w["classes"].T @ states.T
+        logits += w["class_bias"][:, None]
+        found = _log_softmax(logits, kinds, gradient is not None)
+        if gradient is not None:
+            gradient["classes"] = (logits @ states).T
+            gradient["class_bias"] = logits.sum(1)
+            gradient["words"], met, bias = [], [], []
+            back = (w["classes"] @ logits).T
+        edges = np.searchsorted(kinds, np.arange(len(self.firsts)))
         for k in range(len(self.firsts) - 1):
             a, b = self.firsts[k], self.firsts[k + 1]
+            mine = slice(edges[k], edges[k + 1])
             if b - a < 2 or edges[k] == edges[k + 1]:
                 continue
-            mine = order[edges[k] : edges[k + 1]]
-            s, t, at = states[mine], targets[mine] - a, np.arange(len(mine))
-            logits = s @ w["words"][a:b].T + w["word_bias"][a:b]
-            logits -= logits.max(1, keepdims=True)
-            e = np.exp(logits)
-            total = e.sum(1)
-            out[mine] += logits[at, t] - np.log(total)
+            s = states[mine]
+            logits = w["words"][a:b] @ s.T
+            logits += w["word_bias"][a:b, None]
+            found[mine] += _log_softmax(logits, targets[mine] - a, gradient is not None)
             if gradient is not None:
-                d = e / total[:, None]
-                d[at, t] -= 1
-                gradient["words"].append((slice(a, b), d.T @ s))
-                gradient["word_bias"].append((slice(a, b), d.sum(0)))
-                back[mine] += d @ w["words"][a:b]
-        return (out, back) if gradient is not None else out
+                gradient["words"].append((slice(a, b), logits @ s))
+                bias.append(np.add.reduce(logits, 1))
+                met.append(np.s_[a:b])
+                back[mine] += (w["words"][a:b].T @ logits).T
+        out = np.empty_like(found)
+        out[order] = found
+        if gradient is None:
+            return out
+        gradient["word_bias"] = [(np.r_[tuple(met)], np.concatenate(bias))] if met else []
+        into = np.empty_like(back)
+        into[order] = back
+        return out, into
 
     # weights as one vector, to be averaged
 
@@ -293,6 +338,20 @@ class Model:
         return self
 
 
+def _log_softmax(logits, chosen, gradient):
+    """The log probability of each column's choice; ``logits`` become gradients if wanted."""
+    n = logits.shape[1]
+    flat, at = logits.reshape(-1), chosen * n + np.arange(n)
+    logits -= np.maximum.reduce(logits, 0)
+    out = flat.take(at)
+    np.exp(logits, out=logits)
+    total = np.add.reduce(logits, 0)
+    if gradient:
+        logits *= 1 / total
+        flat[at] -= 1
+    return out - np.log(total)
+
+
 class Trainer:
     """Truncated backpropagation over lanes of documents, with Adagrad."""
 
@@ -318,53 +377,58 @@ class Trainer:
 
     def _window(self, inputs, targets, live, h, begins=None):
         m, w, k = self.model, self.model.w, HIDDEN
-        kept, states = [], []
-        rows = w["embed"][inputs] @ w["into"] + w["gate"]
-        for t, x in enumerate(rows):
-            if begins is not None:
-                h = np.where(begins[t][:, None], np.float32(0), h)
-            h = m.step(x, h, kept)
-            states.append(h)
-        states = np.stack(states)
+        states, (fed, before, gates, n, g) = m.window(inputs, h, begins)
+        after = states[-1].T
         on = live.ravel()
         count = int(on.sum())
         if not count:
-            return h
+            return after
         self.tokens += count
         grad = {}
-        _, back = m.log_likelihood(states.reshape(-1, k)[on], targets.ravel()[on], grad)
-        into_state = np.zeros((on.size, k), np.float32)
-        into_state[on] = back
-        into_state = into_state.reshape(states.shape)
-        d_gates = np.zeros((*inputs.shape, 3 * k), np.float32)
-        grad["back"], d_next = np.zeros_like(w["back"]), 0
+        rows = states.transpose(0, 2, 1).reshape(-1, k)
+        _, back = m.log_likelihood(rows[on], targets.ravel()[on], grad)
+        rows = np.zeros_like(rows)
+        rows[on] = back
+        into_state = rows.reshape(*inputs.shape, k).transpose(0, 2, 1).copy()
+        # all that does not wait for the next step's gradient, for all steps at once
+        z, r = gates[:, :k], gates[:, k:]
+        to_n = (1 - z) * (1 - n * n)
+        to_z = (before - n) * z * (1 - z)
+        to_r = g * r * (1 - r)
+        inner, dn = np.empty((len(z), 3 * k, z.shape[2]), z.dtype), np.empty_like(n)
+        d_next = 0
         for t in range(len(inputs) - 1, -1, -1):
-            before, z, r, n, g = kept[t]
-            d = into_state[t] + d_next
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (before - n) * z * (1 - z)
-            dr = dn * g * r * (1 - r)
-            d_gates[t] = np.concatenate([dz, dr, dn], 1)
-            inner = np.concatenate([dz, dr, dn * r], 1)
-            grad["back"] += before.T @ inner
-            d_next = d * z + inner @ w["back"].T
+            d = into_state[t]
+            d += d_next
+            np.multiply(d, to_n[t], out=dn[t])
+            np.multiply(d, to_z[t], out=inner[t, :k])
+            np.multiply(dn[t], to_r[t], out=inner[t, k : 2 * k])
+            np.multiply(dn[t], r[t], out=inner[t, 2 * k :])
+            d_next = w["back"] @ inner[t]
+            d *= z[t]
+            d_next += d
             if begins is not None:
-                d_next[begins[t]] = 0
-        flat, ids = d_gates.reshape(-1, 3 * k), inputs.ravel()
-        grad["gate"] = flat.sum(0)
-        grad["into"] = w["embed"][ids].T @ flat
-        order = np.argsort(ids, kind="stable")
+                d_next *= ~begins[t]
+        grad["back"] = (before @ inner.transpose(0, 2, 1)).sum(0)
+        inner[:, 2 * k :] = dn
+        grad["gate"] = inner.sum((0, 2))
+        grad["into"] = (fed.transpose(0, 2, 1) @ inner.transpose(0, 2, 1)).sum(0)
+        ids = inputs.ravel()
+        order = np.argsort(ids.astype(np.uint16), kind="stable")
         first = np.flatnonzero(np.r_[True, np.diff(ids[order]) != 0])
-        met = np.add.reduceat((flat @ w["into"].T)[order], first)
-        grad["embed"] = [(ids[order[first]], met)]
+        met = (w["into"] @ inner).transpose(0, 2, 1).reshape(len(ids), -1)
+        grad["embed"] = [(ids[order[first]], np.add.reduceat(met[order], first))]
         # only what was met is touched: a window of few tokens costs little
         for name, g in grad.items():
             for at, part in g if isinstance(g, list) else [(slice(None), g)]:
-                part = np.clip(part / count * 16, -1, 1)
+                part *= 16 / count
+                np.clip(part, -1, 1, out=part)
                 seen = self.seen[name][at] + part * part
                 self.seen[name][at] = seen
-                w[name][at] -= RATE * part / np.sqrt(seen)
-        return h
+                part *= RATE
+                part /= np.sqrt(seen, out=seen)
+                w[name][at] -= part
+        return after
 
 
 def _in_lanes(texts, most):
@@ -402,6 +466,7 @@ _PIECE = 1 << 14
 
 def _train(model):
     def run(batches):
+        reuse()
         trainer = Trainer(model)
         held = []
 
@@ -476,24 +541,20 @@ def document_scores(model, texts):
     """Natural log-likelihood of each list of ids, the state carried to its end."""
     targets, owner, begins, sizes = _in_lanes(texts, SCORE_LANES)
     lanes, steps = targets.shape
-    table, score = model.inputs(), np.zeros(len(texts))
+    inputs = np.zeros_like(targets)
+    inputs[:, 1:] = targets[:, :-1]
+    inputs[begins] = _END
+    score = np.zeros(len(texts))
     h = np.zeros((lanes, HIDDEN), np.float32)
-    before = np.zeros(lanes, np.int64)
     for at in range(0, steps, WINDOW):
-        states, cut = [], slice(at, min(at + WINDOW, steps))
+        cut = slice(at, min(at + WINDOW, steps))
         live = np.arange(cut.start, cut.stop) < sizes[:, None]
         n = int((sizes > at).sum())
-        for t in range(cut.start, cut.stop):
-            x, new = before[:n], begins[:n, t]
-            if new.any():
-                x = np.where(new, _END, x)
-                h[:n][new] = 0
-            h[:n] = model.step(table[x], h[:n])
-            before[:n] = targets[:n, t]
-            states.append(h[:n].copy())
+        states, _ = model.window(inputs[:n, cut].T, h[:n], begins[:n, cut].T)
+        h = states[-1].T
         on = live[:n].T.ravel()
-        states = np.concatenate(states)[on]
-        found = model.log_likelihood(states, targets[:n, cut].T.ravel()[on].astype(np.int64))
+        rows = states.transpose(0, 2, 1).reshape(-1, HIDDEN)[on]
+        found = model.log_likelihood(rows, targets[:n, cut].T.ravel()[on].astype(np.int64))
         score += np.bincount(owner[:n, cut].T.ravel()[on], found.astype(np.float64), len(texts))
     return score
 
@@ -502,6 +563,7 @@ def score(ready, model):
     """The documents with ``score``: the model's log10 probability of the whole text."""
 
     def run(batches):
+        reuse()
         # two bytes a token
         for batch in gathered(batches, 6, 2 * SCORE_TOKENS):
             release()

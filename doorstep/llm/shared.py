@@ -31,10 +31,10 @@ def new_folder(spark, name):
     return f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def stored(df, name):
+def stored(df, name, **options):
     """Write ``df`` to the shared folder and read it back; cuts the lineage."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -72,7 +72,20 @@ def forget(but=None):
     release()
 
 
-_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+_libc = ctypes.CDLL(None)
+_trim = getattr(_libc, "malloc_trim", None)
+_option = getattr(_libc, "mallopt", None)
+
+
+def reuse():
+    """Let numpy's working arrays take over each other's memory, until :func:`release`.
+
+    Else the C library hands arrays of a megabyte or so back to the system and asks for them
+    anew each time, and clearing their pages costs as much as computing on them.
+    """
+    if _option:
+        _option(-3, 8 << 20)  # M_MMAP_THRESHOLD: what is larger still goes back at once
+        _option(-1, 32 << 20)  # M_TRIM_THRESHOLD
 
 
 def release():

@@ -167,6 +167,30 @@ def test_gradient_ends_where_a_document_begins():
         assert np.allclose(one.model.w[name], two.model.w[name], atol=2e-3), name
 
 
+def test_windows_take_over_each_others_memory(monkeypatch):
+    """Clearing new pages for every window would take a fifth of the training's time."""
+    import resource
+
+    rng = np.random.default_rng(16)
+    texts = [rng.integers(0, 700, 800).astype("<u2").tobytes() for _ in range(256)]
+    batch = pa.record_batch([pa.array(texts, pa.binary())], names=["ids"])
+    monkeypatch.setattr(gru, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda self: 0})())}))
+    faults = []
+    for _ in range(2):
+        before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+        list(gru._train(small_model())(iter([batch])))
+        faults.append(resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before)
+    assert faults[1] < 100 * 1600 / gru.WINDOW
+
+
+def test_codes_are_stored_in_less_than_half():
+    rng = np.random.default_rng(17)
+    for codes in (np.zeros(0, np.int32), np.array([7, 1 << 24], np.int32), np.minimum(rng.zipf(1.2, 100_000), 1 << 17).astype(np.int32)):
+        raw = gru._packed(codes)
+        assert gru._unpacked(raw, len(codes)).tolist() == codes.tolist()
+    assert len(raw) < 2 * len(codes)
+
+
 def test_model_beats_frequencies(spark):
     docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
     rows = gru.score_documents(docs, fold("doc_id", 5) == 1).where("held_out").collect()
