@@ -30,16 +30,17 @@ _LEAST = 1 << 32
 
 
 def _slot2(x1, x2):
-    return ((x1 * 0x9E3779B1 + x2 * 0x85EBCA6B) & 0xFFFFFFFF) >> (32 - _SLOT_BITS)
+    """Of unsigned 32-bit ids, whose products run over."""
+    return (x1 * np.uint32(0x9E3779B1) + x2 * np.uint32(0x85EBCA6B)) >> np.uint32(32 - _SLOT_BITS)
 
 
 def _slot1(x1):
-    return ((x1 * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - _SLOT_BITS)
+    return (x1 * np.uint32(0x9E3779B1)) >> np.uint32(32 - _SLOT_BITS)
 
 
 def _share(whole, hits, cases, most):
     """A prediction's share of ``whole``, from how often it has held."""
-    return np.clip(whole * (2 * hits + 1) // (2 * cases + 4), whole >> 8, most)
+    return np.minimum(np.maximum(whole * (2 * hits + 1) // (2 * cases + 4), whole >> 8), most)
 
 
 def _borders(n):
@@ -49,7 +50,7 @@ def _borders(n):
     else order 1 right; neither while order 0 was there, of these escapes.
     """
     agree, agree_hit, apart, hit2, hit1, other, escape = n
-    ends = np.empty((3, 2, len(agree)), np.int64)
+    ends = np.empty((3, 2, len(agree)), np.int32)
     whole = np.full(len(agree), _UNIT)
     for k, (cases, hits) in enumerate(((apart, hit2), (agree, agree_hit))):
         f2 = _share(whole, hits, cases, _UNIT * 15 // 16)
@@ -73,9 +74,10 @@ class _Writer:
     def __init__(self, lanes, words):
         self.low = np.zeros(lanes, np.int64)
         self.range = np.full(lanes, _TOP)
-        self.out = np.zeros(lanes * words, "<u2")
-        self.first = np.arange(lanes) * words
-        self.n = self.first.copy()  # where a block's next word goes
+        # a row holds one word of every block: what is written at about one time lies together
+        self.out = np.zeros(words * lanes, "<u2")
+        self.lanes, self.words = lanes, words
+        self.n = np.arange(lanes)  # where a block's next word goes
 
     def put(self, n, bits, start, size):
         """Narrow the first ``n`` blocks to ``start`` .. ``start + size`` of ``2**bits``."""
@@ -92,49 +94,65 @@ class _Writer:
         step = span >> bits
         low = low + step * start
         span = step * size
-        if low.max(initial=0) >= _TOP:
-            carry = low >= _TOP
+        carry = np.flatnonzero(low >= _TOP)
+        if len(carry):
             low[carry] -= _TOP
-            back = at[carry] - 1
+            back = at[carry] - self.lanes
             while len(back):
                 self.out[back] += 1
-                back = back[self.out[back] == 0] - 1
+                back = back[self.out[back] == 0] - self.lanes
         while span.min(initial=_TOP) < _LEAST:
             # every block writes its top word; only where it is due does it count
             due = (span < _LEAST).astype(np.int64)
             self.out[at] = (low >> 32).astype(np.uint16)
-            at = at + due
+            at = at + due * self.lanes
             shift = due << 4
             low = (low & (_TOP - 1 >> shift)) << shift
             span = span << shift
         return low, span, at
 
     def end(self):
+        """The words of each block."""
         for shift in (32, 16, 0):
             self.out[self.n] = ((self.low >> shift) & 0xFFFF).astype(np.uint16)
-            self.n += 1
+            self.n += self.lanes
+        sizes = self.n // self.lanes
+        out = self.out.reshape(self.words, self.lanes)[: sizes.max(initial=0)]
+        # a part of the blocks at once: each needs a copy in its own order
+        for i in range(0, self.lanes, _TOGETHER):
+            for row, n in zip(out[:, i : i + _TOGETHER].T.copy(), sizes[i : i + _TOGETHER]):
+                yield row[:n]
+
+
+def _by_value(values, most):
+    """Per block its values in order, equal ones by place, and all their places in the table."""
+    lanes, steps = values.shape
+    kind = np.int32 if (most + 1) * BLOCK <= 1 << 31 else np.int64
+    # a value and its place in one number, to be sorted as they are
+    keys = np.sort(values.astype(kind) * kind(BLOCK) + np.arange(steps, dtype=kind), axis=1)
+    places = (keys & kind(BLOCK - 1)) + (np.arange(lanes) * steps)[:, None]
+    return keys // kind(BLOCK), places
 
 
 def _last_followers(ids, slots):
     """Per place the id at the last earlier place of its block with the same slot, or 0."""
-    order = np.argsort(slots, axis=1, kind="stable")
-    ranked = np.take_along_axis(slots, order, 1)
+    ranked, places = _by_value(slots, 1 << _SLOT_BITS)
+    by_slot = ids.reshape(-1).take(places)
     before = np.zeros(ids.shape, ids.dtype)
-    by_slot = np.take_along_axis(ids, order, 1)
-    before[:, 1:] = np.where(ranked[:, 1:] == ranked[:, :-1], by_slot[:, :-1], 0)
+    np.multiply(by_slot[:, :-1], ranked[:, 1:] == ranked[:, :-1], out=before[:, 1:])
     out = np.empty_like(before)
-    np.put_along_axis(out, order, before, 1)
+    out.reshape(-1)[places] = before
     return out
 
 
 def _ranks(ids, inside):
     """Ids as their rank among the distinct ids of their block."""
-    order = np.argsort(np.where(inside, ids, np.uint32(0xFFFFFFFF)), axis=1)
-    by_rank = np.take_along_axis(ids, order, 1)
+    most = int(ids.max(initial=0))
+    by_rank, places = _by_value(np.where(inside, ids, np.uint32(most)), most)
     fresh = np.zeros(ids.shape, np.int16)
     fresh[:, 1:] = by_rank[:, 1:] != by_rank[:, :-1]
     ranks = np.empty(ids.shape, np.int16)
-    np.put_along_axis(ranks, order, np.cumsum(fresh, axis=1, dtype=np.int16), 1)
+    ranks.reshape(-1)[places] = np.cumsum(fresh, axis=1, dtype=np.int16)
     return ranks
 
 
@@ -142,20 +160,19 @@ def _spans(ids, lengths):
     """(start, size, whether escaped) of every id, as steps x blocks."""
     lanes, steps = ids.shape
     inside = np.arange(steps) < lengths[:, None]
-    wide = ids.astype(np.int64)
-    x1 = np.zeros_like(wide)
-    x1[:, 1:] = wide[:, :-1]
-    x2 = np.zeros_like(wide)
-    x2[:, 2:] = wide[:, :-2]
-    guess2 = _last_followers(ids, _slot2(x1, x2).astype(np.int16))
-    guess1 = _last_followers(ids, _slot1(x1).astype(np.int16))
-    del wide, x1, x2
+    x1, x2 = np.zeros_like(ids), np.zeros_like(ids)
+    x1[:, 1:] = ids[:, :-1]
+    x2[:, 2:] = ids[:, :-2]
+    guess2 = _last_followers(ids, _slot2(x1, x2))
+    guess1 = _last_followers(ids, _slot1(x1))
+    del x1, x2
     agree, hit2 = guess2 == guess1, guess2 == ids
     hit1 = (guess1 == ids) & ~hit2
     other = ~(hit2 | hit1)
     ranks = _ranks(ids, inside)
-    start = np.zeros((steps, lanes), np.int64)
-    size = np.zeros((steps, lanes), np.int64)
+    # all shares and their products with places in order 0 stay below 2**31
+    start = np.zeros((steps, lanes), np.int32)
+    size = np.zeros((steps, lanes), np.int32)
     escaped = np.zeros((steps, lanes), bool)
     counts = np.zeros((7, lanes), np.int64)
     seen = bits = 0
@@ -167,7 +184,8 @@ def _spans(ids, lengths):
             flat = (np.arange(lanes)[:, None] * width + ranks[:, :at]).ravel()
             many = np.bincount(flat, minlength=lanes * width).reshape(lanes, width)
             # where an id's share begins, and its size, in one number
-            order0 = (((np.cumsum(many, axis=1) - many) << 16) | many).astype(np.int32)
+            order0 = (((np.cumsum(many, axis=1) - many) << 16) | many).astype(np.int32).ravel()
+            row = (np.arange(lanes) * width)[:, None]
         cut = slice(at, min(at + _RENEW, steps))
         a, h2, h1, o = agree[:, cut], hit2[:, cut], hit1[:, cut], other[:, cut]
         ends = _borders(counts)
@@ -175,17 +193,16 @@ def _spans(ids, lengths):
         if not seen:
             ends[2] = ends[1]
         known = np.zeros(a.shape, bool)
-        low = np.where(h2, 0, np.where(h1, ends[0], ends[2]))
-        high = np.where(h2, ends[0], np.where(h1, ends[1], _UNIT))
+        low = np.where(h2, np.int32(0), np.where(h1, ends[0], ends[2]))
+        high = np.where(h2, ends[0], np.where(h1, ends[1], np.int32(_UNIT)))
         if seen:
             r = ranks[:, cut]
-            share = np.take_along_axis(order0, np.minimum(r, width - 1).astype(np.int64), 1)
+            share = order0.take(np.minimum(r, width - 1) + row)
             first, run = share >> 16, share & 0xFFFF
             known = o & (r < width) & (run > 0)
-            f0 = (ends[2] - ends[1])[known]
-            first, run = first[known].astype(np.int64), run[known]
-            low[known] = ends[1][known] + (first * f0 >> bits)
-            high[known] = ends[1][known] + ((first + run) * f0 >> bits)
+            f0 = ends[2] - ends[1]
+            low = np.where(known, ends[1] + (first * f0 >> bits), low)
+            high = np.where(known, ends[1] + ((first + run) * f0 >> bits), high)
         start[cut], size[cut] = low.T, (high - low).T
         escaped[cut] = (o & ~known).T
         counts += _counted(a.T, h2.T, h1.T, o.T, known.T, seen)
@@ -210,7 +227,7 @@ def encode_blocks(blocks):
     for i, k in enumerate(order):
         ids[i, : lengths[k]] = blocks[k]
     wide = bool(ids.max(initial=0) >> 16)
-    start = np.empty((steps, lanes), np.int64)
+    start = np.empty((steps, lanes), np.int32)
     size, escaped = np.empty_like(start), np.empty(start.shape, bool)
     for i in range(0, lanes if steps else 0, _TOGETHER):
         part = slice(i, i + _TOGETHER)
@@ -224,10 +241,9 @@ def encode_blocks(blocks):
             if wide:
                 writer.put_some(k, 16, plain >> 16, 1)
             writer.put_some(k, 16, plain & 0xFFFF, 1)
-    writer.end()
     code = [None] * lanes
-    for i, k in enumerate(order):
-        code[k] = bytes([wide]) + writer.out[writer.first[i] : writer.n[i]].tobytes()
+    for k, words in zip(order, writer.end()):
+        code[k] = bytes([wide]) + words.tobytes()
     return code
 
 
@@ -240,14 +256,15 @@ class _Reader:
             table[i, : len(part)] = part
         w = table[:, :3].astype(np.int64)
         self.code = (w[:, 0] << 32) | (w[:, 1] << 16) | w[:, 2]
-        self.words = table.ravel()
-        self.n = np.arange(len(codes)) * words + 3
+        # a row holds one word of every block: what is read at about one time lies together
+        self.words, self.lanes = table.T.ravel(), len(codes)
+        self.n = np.arange(len(codes)) + 3 * self.lanes
         self.range = np.full(len(codes), _TOP)
 
     def value(self, who, bits):
         # both numbers are below 2**48: the quotient of floats has the right whole part
         step = self.range[who] >> bits
-        return step, np.minimum((self.code[who] / step).astype(np.int64), (1 << bits) - 1)
+        return step, np.minimum((self.code[who] / step).astype(np.int32), np.int32((1 << bits) - 1))
 
     def take(self, who, step, start, size):
         code = self.code[who] - step * start
@@ -258,7 +275,7 @@ class _Reader:
             shift = due << 4
             code = (code << shift) | self.words.take(at, mode="clip") * due
             span = span << shift
-            self.n[who] = at + due
+            self.n[who] = at + due * self.lanes
         self.code[who] = code
         self.range[who] = span
 
@@ -279,11 +296,12 @@ def decode_blocks(codes, lengths):
 def _decode(codes, lengths, wide):
     order, alive = _layout(lengths)
     lanes, steps = len(codes), len(alive)
-    ids = np.zeros((max(steps, 1), lanes), np.uint32)
+    kind = np.uint32 if wide else np.uint16
+    ids = np.zeros((max(steps, 1), lanes), kind)
     reader = _Reader([codes[k] for k in order])
     base = np.arange(lanes) << _SLOT_BITS
-    guess2, guess1 = (np.zeros(lanes << _SLOT_BITS, np.uint32) for _ in range(2))
-    x1, x2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+    guess2, guess1 = (np.zeros(lanes << _SLOT_BITS, kind) for _ in range(2))
+    x1, x2 = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
     counts = np.zeros((7, lanes), np.int64)
     flags = np.zeros((5, _RENEW, lanes), bool)
     seen = bits = 0
@@ -307,9 +325,9 @@ def _decode(codes, lengths, wide):
         hit2 = v < end2
         past = v >= end1
         escaped = v >= end0
-        start = np.where(hit2, 0, np.where(past, end0, end2))
-        end = np.where(hit2, end2, np.where(past, _UNIT, end1))
-        x = np.where(hit2, now2, now1).astype(np.int64)
+        start = np.where(hit2, np.int32(0), np.where(past, end0, end2))
+        end = np.where(hit2, end2, np.where(past, np.int32(_UNIT), end1))
+        x = np.where(hit2, now2, now1)
         known = past & ~escaped
         if seen:
             # for all blocks at once; where order 0 did not send, nothing of it is used
@@ -329,7 +347,7 @@ def _decode(codes, lengths, wide):
                 step, half = reader.value(k, 16)
                 reader.take(k, step, half, 1)
                 plain = (plain << 16) | half
-            x[k] = plain
+            x[k] = plain.astype(kind)
         ids[t, :n] = x
         guess2[at2] = x
         guess1[at1] = x
@@ -340,18 +358,20 @@ def _decode(codes, lengths, wide):
         x2[:n] = x1[:n]
         x1[:n] = x
     found = [None] * lanes
-    for i, k in enumerate(order):
-        found[k] = np.ascontiguousarray(ids[: lengths[k], i])
+    for i in range(0, lanes, _TOGETHER):
+        part = order[i : i + _TOGETHER]
+        for k, column in zip(part, ids[:, i : i + _TOGETHER].T.astype(np.uint32, order="C")):
+            found[k] = column[: lengths[k]]
     return found
 
 
 def _tables(ids):
     """Order 0 from steps x blocks: the ids in order, and where each one's run lies."""
     t, n = ids.shape
-    table = np.sort(ids.T, axis=1)
-    change = np.ones((n, t + 1), bool)
-    change[:, 1:t] = table[:, 1:] != table[:, :-1]
-    edges = np.flatnonzero(change.ravel())
-    place = (np.cumsum(change.ravel()) - 1).reshape(n, t + 1)[:, :t]
-    first = edges[place] - (np.arange(n) * (t + 1))[:, None]
-    return table.ravel(), ((first << 16) | (edges[place + 1] - edges[place])).ravel()
+    table = ids.T.astype(np.uint32, order="C")
+    table.sort(axis=1)
+    change = np.ones((n, t), bool)
+    change[:, 1:] = table[:, 1:] != table[:, :-1]
+    edges = np.flatnonzero(change)
+    runs = np.diff(edges, append=n * t)
+    return table.ravel().astype(ids.dtype), np.repeat((((edges % t) << 16) | runs).astype(np.int32), runs)

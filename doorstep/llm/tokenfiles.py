@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import rangecoder
 from .shared import NewFile, listed, new_folder, opened, stored
-from .text import buffers, whole_rows
+from .text import buffers, reuse, whole_rows
 from .vocab import encoder, tokenizer_path
 
 MAGIC = b"DSTOKEN1"
@@ -173,6 +173,7 @@ def write(docs, folder, path, end=END):
     )
 
     def run(batches):
+        reuse()
         encode = encoder(path)
         name = f"part-{TaskContext.get().partitionId():06d}.tokens"
         documents = tokens = 0
@@ -208,6 +209,7 @@ def read(spark, folder):
     spread = files.repartition(max(1, files.count()))
 
     def run(batches):
+        reuse()
         for batch in batches:
             for address in batch.column(0).to_pylist():
                 system, place = opened(address)

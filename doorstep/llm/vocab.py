@@ -16,13 +16,18 @@ are encoded whole.  Every id comes from the ``tokenizers`` library.
 
 import json
 import os
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .text import CACHES, LOWER, numbered
 
-#: Distinct pieces that a worker remembers; the older half is dropped beyond that.
-CACHE_PIECES = 250_000
+#: Distinct pieces that a worker remembers; beyond that only those last asked for stay.
+CACHE_PIECES = 500_000
+#: Bytes of a piece that is remembered.
+CACHE_BYTES = 255
 
 _LETTER, _SIGN, _DIGIT, _BLANK, _FEED = 1, 2, 3, 4, 5
 _KIND = np.zeros(256, np.uint8)
@@ -91,37 +96,39 @@ class PieceEncoder:
         ]
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.uint16 if self.size <= 1 << 16 else np.uint32
-        self.new, self.old = {}, {}
+        # remembered pieces, their numbers of ids, and all their ids one after another
+        self.pieces = pa.array([], pa.large_binary())
+        self.lengths, self.pool = np.zeros(0, np.int64), np.zeros(0, self.dtype)
 
     def raw(self, text):
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _look_up(self, pieces):
-        """The ids of each piece, as bytes."""
-        new, old = self.new, self.old
-        if len(new) > CACHE_PIECES // 2:
-            self.old = old = new
-            self.new = new = {}
-        found = [new.get(p) for p in pieces]
-        missing = []
-        for i, x in enumerate(found):
-            if x is None:
-                p = pieces[i]
-                x = old.get(p)
-                if x is None:
-                    missing.append(i)
-                else:
-                    new[p] = found[i] = x
-        for at in range(0, len(missing), 20_000):
-            part = missing[at : at + 20_000]
-            made = self.tokenizer.encode_batch_fast(
-                [pieces[i].decode() for i in part], add_special_tokens=False
-            )
-            for i, x in zip(part, made):
-                found[i] = ids = np.array(x.ids, self.dtype).tobytes()
-                if len(pieces[i]) < 256:
-                    new[pieces[i]] = ids
-        return found
+        """(place of each piece, numbers of ids by place, ids by place)."""
+        found = pc.index_in(pieces, value_set=self.pieces)
+        missing = np.flatnonzero(found.is_null().to_numpy(zero_copy_only=False))
+        at = found.fill_null(0).to_numpy().astype(np.int64)
+        at[missing] = len(self.pieces) + np.arange(len(missing))
+        fresh = pieces.take(pa.array(missing))
+        lengths, ids = [self.lengths], [self.pool]
+        for i in range(0, len(fresh), 20_000):
+            part = fresh.slice(i, 20_000).cast(pa.large_string()).to_pylist()
+            made = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            lengths.append(np.fromiter(map(len, made), np.int64, len(made)))
+            ids.append(np.fromiter(chain.from_iterable(made), self.dtype, int(lengths[-1].sum())))
+        lengths, pool = np.concatenate(lengths), np.concatenate(ids)
+        keep = np.ones(len(lengths), bool)
+        keep[len(self.pieces) :] = pc.binary_length(fresh).to_numpy() <= CACHE_BYTES
+        if len(keep) > CACHE_PIECES:
+            asked = np.zeros(len(keep), bool)
+            asked[at] = True
+            keep &= asked
+            keep &= np.cumsum(keep) <= CACHE_PIECES
+        self.pieces, self.lengths, self.pool = pa.concat_arrays([self.pieces, fresh]), lengths, pool
+        if not keep.all():
+            self.pieces = self.pieces.filter(pa.array(keep))
+            self.lengths, self.pool = lengths[keep], pool[np.repeat(keep, lengths)]
+        return at, lengths, pool
 
     def encode(self, data, offsets):
         """(ids of all texts one after another, number of ids before each text)."""
@@ -129,12 +136,10 @@ class PieceEncoder:
             data = LOWER[data]
         places = cuts(data, offsets)
         codes, distinct = numbered(data, places[:-1], places[1:])
-        per_piece = self._look_up(distinct.to_pylist())
-        width = np.dtype(self.dtype).itemsize
-        lengths = np.fromiter(map(len, per_piece), np.int64, len(per_piece)) // width
-        pool = np.frombuffer(b"".join(per_piece), self.dtype)
-        del per_piece, distinct
-        firsts = np.cumsum(lengths) - lengths
+        at, lengths, pool = self._look_up(distinct)
+        firsts = (np.cumsum(lengths) - lengths)[at]
+        lengths = lengths[at]
+        del at, distinct
         edges = np.searchsorted(places, offsets)
         counts = np.zeros(len(codes) + 1, np.int64)
         np.cumsum(lengths[codes], out=counts[1:])

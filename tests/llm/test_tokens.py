@@ -2,12 +2,13 @@
 
 import hashlib
 import os
+import tracemalloc
 import zlib
 
 import numpy as np
 import pytest
 
-from doorstep.llm import chunks, packing, rangecoder, separators, tokenfiles
+from doorstep.llm import chunks, packing, rangecoder, separators, tokenfiles, vocab
 from doorstep.llm.vocab import PieceEncoder, tokenizer_path
 
 from .conftest import ODD, SF
@@ -138,6 +139,37 @@ def test_coder_carries():
         assert all(np.array_equal(a, b) for a, b in zip(blocks, found)), seed
 
 
+def test_coder_works_in_little_memory():
+    rng = np.random.default_rng(4)
+    blocks = list((rng.zipf(1.3, (512, 4096)) % 50257).astype(np.uint32))
+    tracemalloc.start()
+    codes = rangecoder.encode_blocks(blocks)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 28 * 512 * 4096
+    found = rangecoder.decode_blocks(codes, [4096] * 512)
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, found))
+    assert rangecoder.encode_blocks([]) == []
+
+
+def test_pieces_are_remembered_in_little_memory(monkeypatch):
+    import pyarrow as pa
+
+    from doorstep.llm.text import buffers
+
+    monkeypatch.setattr(vocab, "CACHE_PIECES", 300)
+    encode, rng = PieceEncoder(BYTE), np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdeéß"), 8)) for _ in range(1000)] + ["x" * 400]
+    for n in (100, 300, 0, 1001, 250, 250):  # within the bound, beyond it, none, far beyond it
+        column = pa.array([" ".join(rng.permutation(words)[:n])])
+        ids, bounds = encode.encode_column(column, *buffers(column))
+        assert ids.tolist() == encode.raw(column[0].as_py())
+        assert len(encode.pieces) == len(encode.lengths) <= 300
+        assert len(encode.pool) == encode.lengths.sum()
+        assert not any(len(p) > vocab.CACHE_BYTES for p in encode.pieces.to_pylist())
+    assert encode.pieces.nbytes + encode.lengths.nbytes + encode.pool.nbytes < 60 * 300
+
+
 def test_token_files_hold_the_corpus(spark, sf, odd, monkeypatch):
     monkeypatch.setattr(tokenfiles, "FILE_CHARS", 20_000)
     encode = PieceEncoder(BYTE)
