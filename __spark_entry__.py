@@ -85,9 +85,13 @@ def _export(spark, d, review_ids=None):
     )
 
 
+def _text(found):
+    return F.array_join(found, "|")
+
+
 def _joined(column):
     """Lists as text, so that engines' list types need not be compared."""
-    return F.array_join(column, "|").alias(column)
+    return _text(column).alias(column)
 
 
 def _copies(spark, d):
@@ -201,6 +205,12 @@ def _by_address(result):
     )
 
 
+def _texts_by_address(addresses, ballots, **options):
+    """The same of the layer, each list made text once instead of once per address."""
+    layer = elections.ballots_by_address(addresses, ballots, shape=_text, **options)
+    return layer.select("uprn", "address", "postcode", "addressbase_source", "first_letter", "ballot_ids")
+
+
 def ballots_by_address(spark, d):
     return _by_address(elections.ballots_by_address(_base(spark, d), _ballots(spark, d)))
 
@@ -252,9 +262,7 @@ def ballots_union_form(spark, d):
 
 def exported_ballots_by_address(spark, d):
     """The elections export feeding the layer."""
-    return _by_address(
-        elections.ballots_by_address(_base(spark, d), _current_ballots(spark, d))
-    )
+    return _texts_by_address(_base(spark, d), _current_ballots(spark, d))
 
 
 def current_divisionset(spark, d):

@@ -279,6 +279,7 @@ def contains_lists(
     wkt="geometry",
     level=None,
     broadcast_bytes=BROADCAST_BYTES,
+    size=None,
 ):
     """Each point once, with the list of ``value`` of the polygons holding it.
 
@@ -286,7 +287,7 @@ def contains_lists(
     bound allows, and each point meets its one cell.  None when the bound is exceeded;
     ``contains_join`` and a grouping are the way then.
     """
-    size = measure_cover(polygons, wkt)
+    size = size or measure_cover(polygons, wkt)
     if level is None:
         level = size.level(broadcast_bytes)
     if size.bytes(level) > broadcast_bytes:

@@ -19,6 +19,9 @@ NO_GEOGRAPHY = "None"
 
 ADDRESS_KEYS = ["uprn", "address", "postcode", "addressbase_source", "first_letter"]
 
+# Addresses in a stored file.
+ROWS_PER_FILE = 50_000
+
 
 def is_current(as_of):
     """Which elections count: approved single ballots, flagged current, or unflagged
@@ -115,40 +118,88 @@ def _areas_at(points, areas, level, broadcast_bytes):
     return joined.select(*points.columns, "election_ids")
 
 
+def _merged(placed, broadcast_bytes):
+    """``placed`` with the rows of an address as one row: only those that repeat are shuffled.
+
+    A hash that two addresses share only sends their rows the long way as well.
+    """
+    hashed = F.xxhash64(*ADDRESS_KEYS)
+    repeated = materialise(
+        placed.groupBy(hashed.alias("_repeated")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_repeated"),
+        "repeated",
+    )
+    if repeated.isEmpty():
+        return placed
+
+    def cut(how):
+        marked = placed.withColumn("_hash", hashed)
+        return lookup_join(marked, repeated, [("_hash", "_repeated")], how, broadcast_bytes).select(*placed.columns)
+
+    union = F.array_sort(F.array_distinct(F.flatten(F.collect_set("areas"))))
+    merged = cut("left_semi").groupBy(*ADDRESS_KEYS).agg(union.alias("areas"))
+    return cut("left_anti").unionByName(materialise(merged, "merged"))
+
+
+def _placed(points, areas, level, broadcast_bytes, unique):
+    """(the address, ``areas``): the sorted numbers of the areas that each address lies in.
+
+    Stored with the rows of a set of areas together, task by task, so that what is made
+    from them repeats a list next to itself and columnar files hold it once.  Small rows
+    become long ones, so the files are of few rows, to be dealt to all cores.
+    """
+    options = {"level": level, "broadcast_bytes": broadcast_bytes, "size": measure_cover(areas)}
+    found = contains_lists(points, areas, "area", **options)
+    grouped = found is None
+    if grouped:
+        # collect_set skips the null of an address without an area
+        found = contains_join(points, areas, how="left", **options)
+        found = found.groupBy(*ADDRESS_KEYS).agg(F.collect_set("area").alias("area"))
+    numbers = F.array_sort("area").alias("areas")
+    placed = found.select(*ADDRESS_KEYS, numbers).sortWithinPartitions("areas")
+    placed = materialise(placed, "placed", maxRecordsPerFile=ROWS_PER_FILE)
+    return placed if grouped or unique else _merged(placed, broadcast_bytes)
+
+
+def _lists(placed, areas, shape, broadcast_bytes):
+    """(``_areas``, ``ballot_ids``): what each set of areas that occurs has for ballots."""
+    held = areas.select(F.col("area").alias("_number"), "election_ids")
+    sets = placed.select(F.col("areas").alias("_areas")).distinct()
+    members = sets.select("_areas", F.explode_outer("_areas").alias("_area"))
+    listed = lookup_join(members, held, [("_area", "_number")], "left", broadcast_bytes)
+    ids = F.array_sort(F.array_distinct(F.flatten("_found")))
+    return (
+        listed.groupBy("_areas")
+        .agg(F.collect_list("election_ids").alias("_found"))
+        .select("_areas", (shape(ids) if shape else ids).alias("ballot_ids"))
+    )
+
+
 def ballots_by_address(
     addresses,
     ballots,
     level=None,
     broadcast_bytes=BROADCAST_BYTES,
     unique_addresses=False,
+    shape=None,
 ):
     """One row per address with its sorted distinct ballot ids, [] when it has none.
 
-    With a broadcast cover the only shuffle is the grouping, and the rows an address
-    gets from several areas are combined before it.  ``unique_addresses`` states that
-    no address occurs twice, as the checks of the address base establish: then each
-    row is a group of its own and nothing is shuffled.
+    Addresses carry the numbers of their areas; the ballots of each set of areas are
+    gathered once and attached last, so no list is ever shuffled or sorted per address.
+    ``shape`` makes the column of the list, once per set as well.
+
+    With a broadcast cover only a hash per address is shuffled, to find those that occur
+    twice, and the rows of these.  ``unique_addresses`` states that there are none, as
+    the checks of the address base establish: then no address is shuffled.
     """
     points = addresses.select(*ADDRESS_KEYS, "longitude", "latitude")
-    areas = materialise(ballot_areas(ballots), "areas")
-    listed = None
-    if unique_addresses:
-        listed = contains_lists(
-            points, areas.select("election_ids", "geometry"), "election_ids",
-            level=level, broadcast_bytes=broadcast_bytes,
-        )
-    if listed is None:
-        # collect_set skips the null of an address without an area, and holds the
-        # lists of an address's copies once.
-        listed = (
-            _areas_at(points, areas, level, broadcast_bytes)
-            .groupBy(*ADDRESS_KEYS)
-            .agg(F.collect_set("election_ids").alias("election_ids"))
-        )
-    ids = F.array_sort(F.array_distinct(F.flatten("election_ids")))
+    numbered = ballot_areas(ballots).withColumn("area", F.monotonically_increasing_id())
+    areas = materialise(numbered, "areas")
+    placed = _placed(points, areas.select("area", "geometry"), level, broadcast_bytes, unique_addresses)
+    lists = materialise(_lists(placed, areas, shape, broadcast_bytes), "lists")
+    listed = lookup_join(placed, lists, [("areas", "_areas")], "inner", broadcast_bytes)
     return listed.select(
-        "uprn", "address", "postcode", "addressbase_source", ids.alias("ballot_ids"),
-        "first_letter",
+        "uprn", "address", "postcode", "addressbase_source", "ballot_ids", "first_letter"
     )
 
 

@@ -25,7 +25,7 @@ def folder(spark):
     return _own[0]
 
 
-def materialise(df, name):
+def materialise(df, name, **options):
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     Cuts the lineage: the steps that follow do not repeat the work, and an executor
@@ -34,7 +34,7 @@ def materialise(df, name):
     """
     spark = df.sparkSession
     path = f"{folder(spark)}/doorstep-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     _kept.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 

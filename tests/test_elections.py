@@ -1,5 +1,7 @@
 import datetime
 
+from pyspark.sql import functions as F
+
 from doorstep import schemas
 from doorstep.plans import elections
 
@@ -142,6 +144,34 @@ def test_unique_addresses_are_not_shuffled(spark, folder):
     assert "SortMergeJoin" not in plan
 
 
+def test_lists_are_not_shuffled(spark, folder):
+    rows = [(str(i), "a", "AA1 1AA", "v", "A", 0.5, 0.5) for i in range(10)]
+    addresses(spark, rows).write.parquet(f"{folder}/base")
+    areas = ballots(spark, [(f"b{i}", "1", PIECE, "Division") for i in range(100)])
+    out = elections.ballots_by_address(spark.read.parquet(f"{folder}/base"), areas)
+    assert {len(r["ballot_ids"]) for r in out.collect()} == {100}
+    assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_repeated_addresses_are_merged(spark):
+    rows = [(str(i), "a", "AA1 1AA", "v", "A", 0.5 + i % 4, 0.5) for i in range(40)]
+    rows += [(str(i), "a", "AA1 1AA", "v", "A", 0.5 + (i + 1) % 4, 0.5) for i in range(0, 40, 8)]
+    rows += [("0", None, None, "v", None, 2.5, 0.5)] * 3 + [("3", "a", "AA1 1AA", "v", "A", None, None)]
+    areas = ballots(spark, [
+        ("c", "1", PIECE, "Division"), ("b", "1", PIECE, "Division"), ("a", "2", "POLYGON((1 0,3 0,3 1,1 1,1 0))", "Division"),
+        ("b", "3", "POLYGON((1 0,2 0,2 1,1 1,1 0))", "Organisation"),
+    ])
+    base = addresses(spark, rows)
+    columns = [*elections.ADDRESS_KEYS, "ballot_ids"]
+    want = rows_of(elections.ballots_by_address_union(base, areas).select(*columns))
+    assert len(want) == 41
+    for limit in (0, 1 << 26):
+        out = elections.ballots_by_address(base, areas, broadcast_bytes=limit)
+        assert rows_of(out.select(*columns)) == want
+        out = elections.ballots_by_address(base, areas, broadcast_bytes=limit, shape=lambda ids: F.array_join(ids, "|"))
+        assert rows_of(out.select(*columns)) == sorted(((*r[:-1], "|".join(r[-1])) for r in want), key=repr)
+
+
 def test_no_ballots_at_all(spark):
     base = addresses(spark, [("1", "a", "AA1 1AA", "v", "A", 0.5, 0.5)])
     out = elections.ballots_by_address(base, ballots(spark, []))
