@@ -251,7 +251,7 @@ def _wards(spark, d):
 
 
 def ballots_many_areas(spark, d):
-    return _by_address(elections.ballots_by_address(*_wards(spark, d)))
+    return _texts_by_address(*_wards(spark, d))
 
 
 def ballots_union_form(spark, d):

@@ -2,6 +2,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from doorstep import schemas
 from doorstep.plans import elections
 
@@ -153,6 +154,13 @@ def test_lists_are_not_shuffled(spark, folder):
     assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_many_areas_shuffle_no_address(spark):
+    out = entry.ballots_many_areas(spark, "/root/testdata/sf0.001")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(uprn" not in plan  # with the lists of its areas, before
+    assert "array_join" not in plan  # text is made once per list
+
+
 def test_only_repeated_addresses_are_merged(spark):
     rows = [(str(i), "a", "AA1 1AA", "v", "A", 0.5 + i % 4, 0.5) for i in range(40)]
     rows += [(str(i), "a", "AA1 1AA", "v", "A", 0.5 + (i + 1) % 4, 0.5) for i in range(0, 40, 8)]
