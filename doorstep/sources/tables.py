@@ -3,11 +3,18 @@
 from pyspark.sql import functions as F
 
 from .. import schemas
+from .folders import is_local, write_csv_folders
 
 # Quotes are doubled inside quoted fields, as spreadsheet programs write them.
 CSV_OPTIONS = {"escape": '"'}
 # A table in fewer splits than a quarter of the cores is spread over all cores.
 FEW_SPLITS = 4
+# Tasks per core, at least, for a table of many small files.
+GATHERED = 4
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+# Characters of a file's buffer, filled again for longer lines; the default of a million is
+# cleared anew for every small file.
+FILE_BUFFER = 1 << 14
 
 
 def spread(df):
@@ -21,6 +28,19 @@ def spread(df):
     return df
 
 
+def gather(df):
+    """Read very many small files with fewer tasks, as many as their bytes ask for.
+
+    Spark reckons megabytes for the opening of a file and makes a task of a few of them.
+    Only for a plain scan: asking for its partitions runs nothing.
+    """
+    spark = df.sparkSession
+    held = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    most = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    tasks = max(GATHERED * spark.sparkContext.defaultParallelism, held // most)
+    return df.coalesce(tasks) if df.rdd.getNumPartitions() > 2 * tasks else df
+
+
 def read_raw_addresses(spark, path):
     """The cleaned address file: five text columns, no header."""
     return spark.read.schema(schemas.RAW_ADDRESSES).options(**CSV_OPTIONS).csv(path)
@@ -53,9 +73,12 @@ def read_ballots(spark, path):
 def write_boundary_changes(df, path):
     """Headerless CSV under review / generation / type folders."""
     keys = schemas.BOUNDARY_CHANGE_PARTITIONS
+    df = df.select(*schemas.BOUNDARY_CHANGES.fieldNames())
+    if is_local(df.sparkSession, path):
+        write_csv_folders(df, keys, path, CSV_OPTIONS)
+        return
     (
-        df.select(*schemas.BOUNDARY_CHANGES.fieldNames())
-        .hint("rebalance", *keys)
+        df.hint("rebalance", *keys)
         .write.mode("overwrite")
         .partitionBy(*keys)
         .options(**CSV_OPTIONS)
@@ -65,9 +88,17 @@ def write_boundary_changes(df, path):
 
 def read_boundary_changes(spark, path):
     """The declared schema covers the folder keys, so none of them is guessed."""
-    return (
-        spark.read.schema(schemas.BOUNDARY_CHANGES).options(**CSV_OPTIONS).csv(path)
-    )
+    reader = spark.read.schema(schemas.BOUNDARY_CHANGES)
+    reader = reader.options(inputBufferSize=FILE_BUFFER, **CSV_OPTIONS)
+    # The folders are listed now, by default in a task for each of up to 10,000.
+    before = spark.conf.get(LISTING_TASKS)
+    wanted = GATHERED * spark.sparkContext.defaultParallelism
+    spark.conf.set(LISTING_TASKS, min(int(before), wanted))
+    try:
+        listed = reader.csv(path)
+    finally:
+        spark.conf.set(LISTING_TASKS, before)
+    return gather(listed)
 
 
 def write_by_letter(df, path, rebalance=True):

@@ -1,6 +1,9 @@
 import glob
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from doorstep import schemas
 from doorstep.sources import tables
 from doorstep.sources.stage import materialise
@@ -48,6 +51,60 @@ def test_boundary_changes_by_folder(spark, folder):
     assert rows_of(back) == sorted(rows, key=repr)
 
 
+def test_folders_are_written_as_by_spark(spark, folder):
+    texts = ["", None, " a ", 'q"x, y', "it's\\", '""', "é…", ",", "x" * 70_000]
+    rows = [change(i % 3 or None, "old", kind, text) for i, text in enumerate(texts)
+            for kind in ("007", None, "", 'a/b:{c}="%25 d"', "é[x]")]
+    df = spark.createDataFrame(rows, schemas.BOUNDARY_CHANGES).repartition(3)
+    keys = schemas.BOUNDARY_CHANGE_PARTITIONS
+    df.coalesce(1).write.partitionBy(*keys).options(**tables.CSV_OPTIONS).csv(f"{folder}/spark")
+    tables.write_boundary_changes(df, f"file:{folder}/own")
+    tables.write_boundary_changes(df, f"{folder}/own")  # a rewrite leaves nothing behind
+
+    def lines(path):
+        held = {}
+        for f in glob.glob(f"{path}/*/*/*/*.csv"):
+            held.setdefault(os.path.dirname(f)[len(path):], []).extend(open(f, newline="").read().split("\n"))
+        return {k: sorted(v) for k, v in held.items()}
+
+    assert len(lines(f"{folder}/own")) == 12
+    assert lines(f"{folder}/own") == lines(f"{folder}/spark")
+    assert os.path.exists(f"{folder}/own/_SUCCESS")
+    own, other = (rows_of(tables.read_boundary_changes(spark, f"{folder}/{p}")) for p in ("own", "spark"))
+    assert own == other and len(own) == len(rows)
+
+
+def test_small_files_are_read_by_few_tasks(spark, folder):
+    rows = [change(i, "old", "WAC", "a") for i in range(300)]
+    df = spark.createDataFrame(rows, schemas.BOUNDARY_CHANGES)
+    tables.write_boundary_changes(df, f"{folder}/c")
+    assert not glob.glob(f"{folder}/c/*/*/*/.*.crc")  # written by the tasks themselves
+    before = spark.conf.get(tables.LISTING_TASKS)
+    back = tables.read_boundary_changes(spark, f"{folder}/c")
+    assert spark.conf.get(tables.LISTING_TASKS) == before
+    assert back.rdd.getNumPartitions() <= tables.GATHERED * 8
+    assert rows_of(back) == sorted(rows, key=repr)
+    one = back.where("boundary_review_id = 7")
+    assert one.count() == 1
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "boundary_review_id" in plan.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_a_write_that_fails_leaves_the_table(spark, folder):
+    rows = [change(1, "old", "WAC", "a")]
+    df = spark.createDataFrame(rows, schemas.BOUNDARY_CHANGES)
+    tables.write_boundary_changes(df, f"{folder}/c")
+    with pytest.raises(Exception):
+        tables.write_boundary_changes(df.withColumn("slug", F.raise_error(F.lit("no"))), f"{folder}/c")
+    assert rows_of(tables.read_boundary_changes(spark, f"{folder}/c")) == rows
+    assert os.listdir(folder) == ["c"]
+
+
+def test_no_changes_at_all(spark, folder):
+    tables.write_boundary_changes(spark.createDataFrame([], schemas.BOUNDARY_CHANGES), f"{folder}/c")
+    assert tables.read_boundary_changes(spark, f"{folder}/c").count() == 0
+
+
 def test_by_letter(spark, folder):
     rows = [("A1", "1", "x", "A1 1", 1.0, 2.0, "s", "A"), ("B1", "2", "x", "B1 1", None, None, "s", "B"), (None, "3", "x", None, 1.0, 2.0, "s", None)]
     df = spark.createDataFrame(rows, schemas.ADDRESS_BASE)
