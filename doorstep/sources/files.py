@@ -21,3 +21,10 @@ def delete_folder(address):
     files, path = opened(address)
     if files.get_file_info(path).type == fs.FileType.Directory:
         files.delete_dir(path)
+
+
+def subfolders(address):
+    """The names of the folders right below an address, in order."""
+    files, path = opened(address)
+    found = files.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    return sorted(i.base_name for i in found if i.type == fs.FileType.Directory)

@@ -1,8 +1,11 @@
 """Readers and writers of the layers' tables, with declared schemas."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from .. import schemas
+from .files import subfolders
 from .folders import is_local, write_csv_folders
 
 # Quotes are doubled inside quoted fields, as spreadsheet programs write them.
@@ -11,6 +14,8 @@ CSV_OPTIONS = {"escape": '"'}
 FEW_SPLITS = 4
 # Tasks per core, at least, for a table of many small files.
 GATHERED = 4
+# Folders of reviews in one scan.
+FOLDERS_AT_ONCE = 2000
 LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 # Characters of a file's buffer, filled again for longer lines; the default of a million is
 # cleared anew for every small file.
@@ -86,6 +91,18 @@ def write_boundary_changes(df, path):
     )
 
 
+def _by_part(reader, path):
+    """The folders in parts: Spark's time to name a scan's folders grows with their square."""
+    root = path.rstrip("/")
+    names = [n for n in subfolders(root) if not n.startswith(("_", "."))]
+    if len(names) <= FOLDERS_AT_ONCE:
+        return reader.csv(path)
+    reader = reader.option("basePath", root)
+    starts = range(0, len(names), FOLDERS_AT_ONCE)
+    parts = [reader.csv([f"{root}/{n}" for n in names[i:i + FOLDERS_AT_ONCE]]) for i in starts]
+    return reduce(lambda a, b: a.unionAll(b), parts)
+
+
 def read_boundary_changes(spark, path):
     """The declared schema covers the folder keys, so none of them is guessed."""
     reader = spark.read.schema(schemas.BOUNDARY_CHANGES)
@@ -95,7 +112,7 @@ def read_boundary_changes(spark, path):
     wanted = GATHERED * spark.sparkContext.defaultParallelism
     spark.conf.set(LISTING_TASKS, min(int(before), wanted))
     try:
-        listed = reader.csv(path)
+        listed = _by_part(reader, path) if is_local(spark, path) else reader.csv(path)
     finally:
         spark.conf.set(LISTING_TASKS, before)
     return gather(listed)

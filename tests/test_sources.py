@@ -90,6 +90,18 @@ def test_small_files_are_read_by_few_tasks(spark, folder):
     assert "boundary_review_id" in plan.split("PartitionFilters")[1].split("]")[0]
 
 
+def test_many_folders_are_read_in_parts(spark, folder, monkeypatch):
+    rows = [change(i or None, "old", "007", "a") for i in range(11)]
+    tables.write_boundary_changes(spark.createDataFrame(rows, schemas.BOUNDARY_CHANGES), f"{folder}/c")
+    monkeypatch.setattr(tables, "FOLDERS_AT_ONCE", 4)
+    for path in (f"{folder}/c", f"file:{folder}/c/"):
+        back = tables.read_boundary_changes(spark, path)
+        assert back.schema == schemas.BOUNDARY_CHANGES
+        assert rows_of(back) == sorted(rows, key=repr)
+    plan = back.where("boundary_review_id = 7")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("InMemoryFileIndex") == 3 and "boundary_review_id" in plan.split("PartitionFilters")[1].split("]")[0]
+
+
 def test_a_write_that_fails_leaves_the_table(spark, folder):
     rows = [change(1, "old", "WAC", "a")]
     df = spark.createDataFrame(rows, schemas.BOUNDARY_CHANGES)
